@@ -50,6 +50,12 @@ def mean_of_sum(total: Column | str, count: Column | str) -> Column:
     return ratio(total, count)
 
 
+def rounded_mean(total: Column | str, count: Column | str, digits: int = 2) -> Column:
+    """Rounded mean of money over a few rows, divided in decimals so that a half cent is a half."""
+    rows = F.nullif(_col(count).cast("decimal(6,0)"), F.lit(0))
+    return F.round(_col(total).cast("decimal(30,2)") / rows, digits).cast("double")
+
+
 def exact_avg(x: Column | str) -> Column:
     """Aggregate: mean whose sum is taken in decimals, hence the same for any row order."""
     return ratio(F.sum(_col(x).cast(_FINE)), F.count(_col(x)))

@@ -1,7 +1,7 @@
 """The KPI record, its display form, dashboard cards and rule-based facts.
 
 Every section is a one-row aggregate of its input; the sections are put side by side, so the
-record stays a lazy DataFrame of one row with one struct per section.
+record stays a lazy DataFrame of one row with one struct per section. Money stays DECIMAL in it.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ def _months(growth: DataFrame, reference_date: dt.date | str | None) -> DataFram
     month = F.col("month")
     year_ago = F.add_months("_reference", -12)
     two_years_ago = F.add_months("_reference", -24)
-    none = F.lit(0).cast("decimal(18,2)")
+    none = F.lit(0).cast("decimal(28,2)")
     sums = rows.agg(
         F.min("month").alias("start"),
         F.max("month").alias("end"),
@@ -58,9 +58,9 @@ def _months(growth: DataFrame, reference_date: dt.date | str | None) -> DataFram
             "total_months",
             F.date_format("reference_date", "yyyy-MM-dd").alias("reference_date"),
         ).alias("period"),
-        double("total").alias("_total"),
-        double("last_12").alias("_last_12"),
-        double("prev_12").alias("_prev_12"),
+        F.col("total").alias("_total"),
+        F.col("last_12").alias("_last_12"),
+        F.col("prev_12").alias("_prev_12"),
         F.col("orders").alias("_orders"),
         F.struct(
             F.when(F.col("prev_12") > 0, growth_pct("last_12", "prev_12", 1)).alias("yoy_pct"),
@@ -89,7 +89,7 @@ def _products(products: DataFrame) -> DataFrame:
             F.col("n").alias("total_products"),
             F.col("a").alias("a_class_count"),
             F.col("top.name").alias("top_product_name"),
-            double("top.total_revenue").alias("top_product_revenue"),
+            F.col("top.total_revenue").alias("top_product_revenue"),
             F.col("top.margin_pct").alias("top_product_margin"),
             F.col("worst.name").alias("worst_product_name"),
         ).alias("products"),
@@ -125,8 +125,8 @@ def _places(region_channel: DataFrame) -> DataFrame:
     regions = region_channel.groupBy("region").agg(F.sum("revenue").alias("revenue")).agg(
         F.min_by("region", F.struct(-revenue, F.col("region"))).alias("best_region"),
         F.min_by("region", F.struct(revenue, F.col("region"))).alias("worst_region"),
-        double(F.max("revenue")).alias("best_region_revenue"),
-        double(F.min("revenue")).alias("worst_region_revenue"),
+        F.max("revenue").alias("best_region_revenue"),
+        F.min("revenue").alias("worst_region_revenue"),
     )
     channels = region_channel.groupBy("channel").agg(F.sum("revenue").alias("revenue")).agg(
         F.min_by("channel", F.struct(-revenue, F.col("channel"))).alias("best_channel")
@@ -199,7 +199,7 @@ def kpi_display(record: DataFrame) -> DataFrame:
 def dashboard_cards(record: DataFrame) -> DataFrame:
     """Four cards: title, value, line below, and whether it is good news."""
     yoy, mom = F.col("growth.yoy_pct"), F.col("growth.avg_mom_pct_last6m")
-    millions = F.format_string("€%.2fM", rounded(F.col("revenue.total") / 1e6, 2))
+    millions = F.format_string("€%.2fM", F.round(F.col("revenue.total") / F.lit(1_000_000).cast("decimal(7,0)"), 2).cast("double"))
     signed = F.format_string("%+.1f%%", mom)
 
     def card(number: int, title: str, value: Column, below: Column, positive: Column) -> Column:
@@ -265,8 +265,8 @@ def insight_facts(record: DataFrame) -> DataFrame:
     return record.select(
         F.when(yoy > 10, "strong").when(yoy > 0, "moderate").otherwise("declining").alias("growth_rating"),
         F.when(margin > 30, "healthy").otherwise("pressured").alias("margin_rating"),
-        rounded(best - worst, 2).alias("region_gap"),
-        rounded((best - worst) / F.greatest(worst, F.lit(1.0)) * 100, 0).alias("region_gap_pct"),
+        (best - worst).alias("region_gap"),
+        percent_of(best - worst, F.greatest(worst, F.lit(1).cast("decimal(28,2)")), 0).alias("region_gap_pct"),
         rounded(lost, 2).alias("recovery_potential"),
-        rounded(F.col("revenue.total") * 1.1, 2).alias("outlook_revenue"),
+        F.round(F.col("revenue.total") * F.lit("1.1").cast("decimal(2,1)"), 2).alias("outlook_revenue"),
     )

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillwise.functions.dates import month_index, quarter_label
-from tillwise.functions.numbers import double, exact_avg, growth_pct, ratio, rounded, safe_pct_change
+from tillwise.functions.numbers import double, exact_avg, growth_pct, ratio, rounded, rounded_mean, safe_pct_change
 from tillwise.operators.joins import beside
 
 
@@ -31,7 +31,7 @@ def monthly_growth(monthly: DataFrame, series: Sequence[str] = (), calendar: boo
 
     def trailing_mean(rows: int) -> Column:
         frame = in_order.rowsBetween(1 - rows, 0)
-        return rounded(ratio(F.sum("revenue").over(frame), F.count("revenue").over(frame)), 2)
+        return rounded_mean(F.sum("revenue").over(frame), F.count("revenue").over(frame))
 
     return (
         monthly.withColumns({"_month_ago": earlier(1), "_year_ago": earlier(12)})

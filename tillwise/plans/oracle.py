@@ -58,7 +58,9 @@ def _growth_step(source: str, series: str = "") -> str:
 
     def mean(n: int) -> str:
         f = frame.format(n=n)
-        return _rnd(_ratio(f"SUM(revenue) {f}", f"COUNT(*) {f}"), 2)
+        # whole cents, halves up: decimals divide into doubles here
+        cents, rows = f"CAST(SUM(revenue) {f} * 100 AS HUGEINT)", f"COUNT(*) {f}"
+        return f"(CAST((2 * {cents} + {rows}) // (2 * {rows}) AS DOUBLE) / 100.0)"
 
     return f"""
       SELECT *, {change(1)} AS mom_growth_pct, {change(12)} AS yoy_growth_pct,
@@ -537,7 +539,7 @@ QUERIES = {
              {_rnd('(top_performers_best_region_revenue - top_performers_worst_region_revenue) / GREATEST(top_performers_worst_region_revenue, 1) * 100', 0)}
                AS region_gap_pct,
              {_rnd('customers_at_risk_count * COALESCE(revenue_avg_order_value, 100) * CAST(0.2 AS DOUBLE)', 2)} AS recovery_potential,
-             {_rnd('revenue_total * CAST(1.1 AS DOUBLE)', 2)} AS outlook_revenue
+             {_dbl("ROUND(CAST(revenue_total AS DECIMAL(28,2)) * CAST(1.1 AS DECIMAL(2,1)), 2)")} AS outlook_revenue
       FROM kpi""",
 }
 

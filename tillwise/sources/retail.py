@@ -8,15 +8,29 @@ from tillwise.functions.numbers import MONEY
 from tillwise.sources.tables import Tables
 
 
+# the columns used here; naming them saves a job per table that would look them up
+_COLUMNS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_regionkey int",
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_quantity double, l_extendedprice double, l_discount double",
+}
+
+
 def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(_COLUMNS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def retail_tables(spark: SparkSession, folder: str) -> Tables:
     """The three input tables over ``folder``.
 
     Orders meet their customers first: that join moves only orders. The line items, the one table
-    of full size, are then shuffled once, on the order key.
+    of full size, are then shuffled once, on the order key. Both joins ask for a sort merge: the
+    planner multiplies the sizes of joined tables and would otherwise take the line items for the
+    smaller side and broadcast them. A hot order or customer is split by the adaptive skew rule,
+    and the other side holds one row per key.
     """
     part = _read(spark, folder, "part")
     price = F.col("p_retailprice").cast(MONEY)
@@ -44,10 +58,11 @@ def retail_tables(spark: SparkSession, folder: str) -> Tables:
         )
     )
 
+    buyers = customers.select(F.col("id").alias("customer_id"), "region")
     status = F.col("o_orderstatus")
     headers = (
         _read(spark, folder, "orders")
-        .join(customers.select(F.col("id").alias("customer_id"), "region"), F.col("o_custkey") == F.col("customer_id"))
+        .join(buyers.hint("merge"), F.col("o_custkey") == F.col("customer_id"))
         .select(
             F.col("o_orderkey").alias("id"),
             F.col("o_orderdate").cast("date").alias("date"),
@@ -59,7 +74,7 @@ def retail_tables(spark: SparkSession, folder: str) -> Tables:
     kept_share = F.lit(1) - F.col("l_discount").cast("decimal(4,2)")
     sales = (
         _read(spark, folder, "lineitem")
-        .join(headers, F.col("l_orderkey") == F.col("id"))
+        .join(headers.hint("merge"), F.col("l_orderkey") == F.col("id"))
         .select(
             "id",
             "date",
