@@ -1,0 +1,162 @@
+"""The KPI record and what is derived from it."""
+
+from decimal import Decimal as D
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillwise.operators import kpis, matrix, reports, timeseries
+from tillwise.plans.model import SalesModel
+
+
+def parts(spark, months, revenues, start="2023-01-01", regions=(("N", "c1", 10), ("S", "c2", 5)), segments=("Champions",)):
+    growth = timeseries.monthly_growth(months(revenues, start))
+    products = spark.createDataFrame(
+        [(1, "Lamp", D("75.00"), 20.0, "A"), (2, "Desk", D("75.00"), 40.0, "B"), (3, "Mat", D("50.00"), 10.0, "C"),
+         (4, "Rug", D("50.00"), 10.0, "C")],
+        "id bigint, name string, total_revenue decimal(28,2), margin_pct double, abc_class string",
+    )
+    places = spark.createDataFrame([(r, c, D(v)) for r, c, v in regions], "region string, channel string, revenue decimal(28,2)")
+    stats = spark.createDataFrame([(1, D("100.00"), 50.0), (2, D("30.00"), 10.0)],
+                                  "customer_id bigint, total_revenue decimal(28,2), avg_order_value double")
+    rfm = spark.createDataFrame([(i, s) for i, s in enumerate(segments)], "customer_id bigint, rfm_segment string")
+    return growth, products, places, stats, rfm
+
+
+def record(*args, reference_date=None, **kw):
+    return kpis.kpis(*parts(*args, **kw), reference_date)
+
+
+def test_full_record(spark, months):
+    r = record(spark, months, [10] * 12 + [20] * 12, segments=("Champions", "At Risk")).first()
+    assert r["period"].asDict() == {"start": "2023-01", "end": "2024-12", "total_months": 24, "reference_date": "2024-12-01"}
+    assert (r["revenue"]["total"], r["revenue"]["last_12_months"], r["revenue"]["prev_12_months"]) == (360, 240, 120)
+    assert r["revenue"]["total_orders"] == 300
+    assert r["revenue"]["gross_margin_pct"] == 22.0  # (75*20 + 75*40 + 50*10 + 50*10) / 250
+    assert r["revenue"]["avg_order_value"] == 30.0   # mean of the customers' means
+    assert r["growth"].asDict() == {"yoy_pct": 100.0, "avg_mom_pct_last6m": 0.0, "avg_yoy_pct_last3m": 100.0}
+    assert r["products"].asDict() == {
+        "total_products": 4, "a_class_count": 1, "top_product_name": "Lamp", "top_product_revenue": D("75.00"),
+        "top_product_margin": 20.0, "worst_product_name": "Rug",
+    }
+    assert r["customers"].asDict() == {
+        "active_total": 2, "avg_clv": 65.0, "champions_count": 1, "at_risk_count": 1, "champions_pct": 50.0,
+    }
+
+
+def test_less_than_a_year(spark, months):
+    r = record(spark, months, [10, 20]).first()
+    assert r["growth"]["yoy_pct"] is None and r["growth"]["avg_yoy_pct_last3m"] is None
+    assert (r["revenue"]["last_12_months"], r["revenue"]["prev_12_months"]) == (30, 0)
+    assert r["growth"]["avg_mom_pct_last6m"] == 100.0
+
+
+def test_no_change_is_zero_not_missing(spark, months):
+    assert record(spark, months, [10] * 24).first()["growth"]["yoy_pct"] == 0.0
+
+
+def test_reference_date_moves_the_window(spark, months):
+    r = record(spark, months, [10] * 12 + [20] * 12, reference_date="2023-12-01").first()
+    assert r["period"]["reference_date"] == "2023-12-01"
+    assert (r["revenue"]["last_12_months"], r["revenue"]["prev_12_months"]) == (360, 0)
+
+
+def test_tied_regions_go_to_the_first_name(spark, months):
+    r = record(spark, months, [1], regions=(("S", "b", 5), ("N", "a", 5))).first()["top_performers"]
+    assert (r["best_region"], r["worst_region"], r["best_channel"]) == ("N", "N", "a")
+
+
+def test_display(spark, months):
+    r = kpis.kpi_display(record(spark, months, [1234.5] * 12 + [2469] * 12)).first()
+    assert r["total_revenue"] == "€   44.442,00"
+    assert (r["yoy_growth"], r["gross_margin"], r["active_customers"]) == ("+100.0%", "22.0%", "2")
+    assert kpis.kpi_display(record(spark, months, [1])).first()["yoy_growth"] == "N/A"
+
+
+def test_cards_and_table(spark, months):
+    rec = record(spark, months, [2_000_000] * 12 + [1_000_000] * 12)
+    cards = kpis.dashboard_cards(rec).collect()
+    assert [(c["value"], c["sub"], c["positive"]) for c in cards] == [
+        ("€36.00M", "-50.0% YoY", False), ("+0.0%", "Last 6 months", False),
+        ("22.0%", "Weighted mean margin", True), ("2", "50.0% Champions", True),
+    ]
+    table = kpis.kpi_table(rec).collect()
+    assert len(table) == 15
+    assert (table[0]["value"], table[0]["period"]) == (36e6, "2023-01 – 2024-12")
+    assert (table[11]["value"], table[11]["text"]) == (None, "N")
+
+
+def test_facts(spark, months):
+    r = kpis.insight_facts(record(spark, months, [10] * 12 + [20] * 12, segments=("At Risk", "At Risk"))).first()
+    assert (r["growth_rating"], r["margin_rating"]) == ("strong", "pressured")
+    assert (r["region_gap"], r["region_gap_pct"]) == (D("5.00"), 100.0)
+    assert (r["recovery_potential"], r["outlook_revenue"]) == (12.0, D("396.00"))
+
+
+def test_outlook_rounds_half_a_cent_up(spark, months):
+    assert kpis.insight_facts(record(spark, months, ["0.05"])).first()["outlook_revenue"] == D("0.06")
+
+
+def test_rollup_equals_single_marts(shop):
+    from tillwise.operators import marts
+
+    model = SalesModel(shop)
+    sides = [
+        (model.rollup.by_month(), marts.monthly_revenue(shop.sales).select("month", "revenue", "orders")),
+        (model.rollup.by_product(), marts.sums_by_product(shop.sales)),
+        (model.rollup.by_customer(), marts.sums_by_customer(shop.sales)),
+        (model.rollup.by_place(), marts.revenue_by_region_channel(shop.sales).select("region", "channel", "revenue", "orders")),
+    ]
+    for a, b in sides:
+        assert a.columns == b.columns
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_rollup_keeps_a_missing_key_apart_from_rolled_up_rows(spark, shop):
+    gaps = shop.sales.withColumn("customer_id", F.when(F.col("id") != 1, F.col("customer_id")))
+    got = SalesModel(shop._replace(sales=gaps)).rollup.by_customer().collect()
+    assert sorted((r["customer_id"] or 0, r["total_orders"]) for r in got) == [(0, 1), (1, 1), (2, 2), (3, 1)]
+
+
+def test_matrix_with_totals(shop):
+    cells = shop.sales.groupBy("region", "channel").agg(F.sum("revenue").alias("revenue"))
+    got = [tuple(r) for r in matrix.revenue_matrix(cells).collect()]
+    assert got == [
+        ("North", D("20.00"), D("390.00"), D("410.00")),
+        ("South", D("90.00"), D("0.00"), D("90.00")),
+        ("Total", D("110.00"), D("390.00"), D("500.00")),
+    ]
+    other = matrix.revenue_matrix(cells, row_total="Gesamt", column_total="GESAMT", by_total=False)
+    assert other.columns == ["region", "Online", "Store", "Gesamt"]
+    assert [r["region"] for r in other.collect()] == ["North", "South", "GESAMT"]
+
+
+def test_matrix_refuses_too_many_columns(spark, shop):
+    cells = shop.sales.groupBy("region", "channel").agg(F.sum("revenue").alias("revenue"))
+    spark.conf.set("spark.sql.pivotMaxValues", "1")
+    try:
+        with pytest.raises(ValueError):
+            matrix.revenue_matrix(cells)
+    finally:
+        spark.conf.unset("spark.sql.pivotMaxValues")
+
+
+def test_heatmap_keeps_gaps(shop):
+    from tillwise.operators import marts
+
+    rows = matrix.region_month_heatmap(marts.revenue_by_region_month(shop.sales)).collect()
+    assert [(r["label"], r["fourth_quarter"], r["North"], r["South"]) for r in rows] == [
+        ("Jan 24", False, 0.21, None), ("Feb 24", False, None, 0.01), ("May 24", False, 0.2, 0.08),
+    ]
+
+
+def test_top_and_flop_months(months):
+    rows = reports.top_bottom_months(timeseries.monthly_growth(months([5, 9, 7, 1, 3])), 2).collect()
+    assert [(r["part"], r["label"], float(r["revenue"])) for r in rows] == [
+        ("top", "February 2023", 9), ("top", "March 2023", 7), ("flop", "May 2023", 3), ("flop", "April 2023", 1),
+    ]
+
+
+def test_export_keeps_only_known_columns(spark):
+    df = spark.createDataFrame([("Lamp", 1.0, 3)], "name string, total_revenue double, other int")
+    assert reports.product_export(df).columns == ["Name", "Total Revenue"]

@@ -1,0 +1,137 @@
+"""Tables, checks, sinks and the report run."""
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from tillwise.plans.report import run_report
+from tillwise.sources import checks, tables as T
+from tillwise.sources.sinks import write_datasets
+
+
+def test_round_trip(spark, shop, tmp_path):
+    T.save_tables(shop, str(tmp_path))
+    back = T.load_tables(spark, str(tmp_path))
+    for name in T.Tables._fields:
+        a, b = getattr(shop, name), getattr(back, name)
+        assert [(f.name, f.dataType) for f in a.schema] == [(f.name, f.dataType) for f in b.schema]
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_second_load_keeps_or_replaces(spark, shop, tmp_path):
+    folder = str(tmp_path)
+    T.save_tables(shop, folder)
+    less = shop._replace(sales=shop.sales.limit(1))
+    T.save_tables(less, folder)
+    assert T.load_tables(spark, folder).sales.count() == 5
+    T.save_tables(less, folder, force=True)
+    assert T.load_tables(spark, folder).sales.count() == 1
+
+
+def test_text_dates_and_double_money_are_converted(spark):
+    raw = spark.createDataFrame(
+        [(1, "2024-03-05", 1, 2, 3, 19.99, "N", "B2B")],
+        "id int, date string, product_id int, customer_id int, quantity bigint, revenue double, region string, channel string",
+    )
+    r = T.typed(raw, T.SALES).first()
+    assert str(r["date"]) == "2024-03-05" and str(r["revenue"]) == "19.99"
+
+
+def test_missing_folder_is_an_error(spark, tmp_path):
+    with pytest.raises(AnalysisException):
+        T.load_tables(spark, str(tmp_path / "nothing")).sales.count()
+
+
+def test_query_parameters(shop):
+    q = "SELECT COUNT(*) AS n FROM sales s JOIN products p ON s.product_id = p.id WHERE p.category = :c"
+    assert T.run_query(shop, q, {"c": "Wood"}).first()["n"] == 2
+    assert T.run_query(shop, q, {"c": "' OR '1'='1"}).first()["n"] == 0
+    assert T.run_query(shop, "SELECT COUNT(*) AS n FROM sales WHERE quantity >= ?", [2]).first()["n"] == 2
+
+
+def test_jdbc_reads_are_split_by_id(monkeypatch):
+    """No database here: a stand-in records what Spark would be asked to read."""
+    seen = []
+
+    class Reader:
+        def __init__(self, opts=None):
+            self.opts = opts or {}
+
+        def format(self, name):
+            assert name == "jdbc"
+            return self
+
+        def option(self, k, v):
+            return Reader({**self.opts, k: v})
+
+        def options(self, **kw):
+            return Reader({**self.opts, **kw})
+
+        def load(self):
+            seen.append(self.opts)
+            return self
+
+        def first(self):
+            return (1, 900)
+
+    class Session:
+        @property
+        def read(self):
+            return Reader()
+
+    monkeypatch.setattr(T, "typed", lambda df, schema: df)
+    T.jdbc_tables(Session(), "jdbc:x", 16, user="u")
+    split = [o for o in seen if "dbtable" in o]
+    assert [o["dbtable"] for o in split] == ["products", "customers", "sales"]
+    assert all((o["lowerBound"], o["upperBound"], o["numPartitions"], o["user"]) == (1, 900, 16, "u") for o in split)
+
+
+def test_validation(spark, shop):
+    assert checks.validate(shop.products, "products", ["id", "name"])
+    assert not checks.validate(None, "products", [])
+    assert not checks.validate(shop.products, "products", ["colour"])
+    assert not checks.validate(shop.products.filter("id < 0"), "products", ["id"])
+    assert not checks.validate(shop.products, "products", ["id"], min_rows=3)
+    assert checks.validate(shop.products, "products", ["id"], min_rows=2)
+
+
+def test_contract_report(spark, shop):
+    twice = shop._replace(
+        products=shop.products.unionByName(shop.products.filter("id = 1")),
+        sales=shop.sales.withColumn("channel", F.when(F.col("id") > 2, F.col("channel"))),
+    )
+    got = {r["table_name"]: tuple(r)[1:] for r in checks.contract_report(twice).collect()}
+    assert got == {"products": (3, 0, 1, 0, 0), "customers": (3, 0, 0, 0, 0), "sales": (5, 2, 0, 1, 0)}
+
+
+def test_one_failing_dataset_does_not_stop_the_others(spark, tmp_path):
+    def broken():
+        raise ValueError("no plan")
+
+    written = write_datasets(
+        {"good": lambda: spark.range(3), "broken": broken, "late": lambda: spark.sql("SELECT raise_error('x') AS x"),
+         "also_good": lambda: spark.range(2)},
+        str(tmp_path),
+    )
+    assert written["broken"] is None and written["late"] is None
+    assert spark.read.parquet(written["good"]).count() == 3
+    assert spark.read.parquet(written["also_good"]).count() == 2
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_report_run(spark, shop, tmp_path, fmt):
+    result = run_report(shop, str(tmp_path), 2024, fmt)
+    assert result.success and all(result.datasets.values()), result.datasets
+    reader = spark.read.option("header", True).option("inferSchema", True).format(fmt)
+    assert reader.load(result.datasets["kpi_table"]).count() == 15
+    assert reader.load(result.datasets["monthly_growth"]).count() == 3
+
+
+def test_report_stops_at_a_bad_table(spark, shop, tmp_path):
+    result = run_report(shop._replace(sales=shop.sales.drop("channel")), str(tmp_path), 2024)
+    assert not result.success and "sales" in result.error and result.datasets == {}
+
+
+def test_report_of_a_period(spark, shop, tmp_path):
+    result = run_report(shop, str(tmp_path), 2024, start="2024-01-01", end="2024-02-29")
+    assert spark.read.parquet(result.datasets["monthly_revenue"]).count() == 2

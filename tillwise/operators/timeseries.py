@@ -75,7 +75,7 @@ def trend_forecast(monthly: DataFrame, ahead: int = 3) -> DataFrame:
         nothing.alias("revenue"),
         on_line,
     )
-    return fitted.unionByName(forecast).orderBy("idx", F.desc("kind"))
+    return fitted.unionByName(forecast).orderBy("idx", "kind")
 
 
 def mom_bars(growth: DataFrame) -> DataFrame:

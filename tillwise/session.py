@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 # Runtime SQL settings only; cluster sizing stays with whoever starts the session.
 SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join partition even where the split costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
