@@ -1,4 +1,6 @@
-"""Every registered query against DuckDB: same columns, rows, values and types."""
+"""Every registered query against DuckDB: same columns, rows, values and types, and no Python in its plan."""
+
+import re
 
 import pytest
 from compare import TABLES, differences, duck
@@ -19,7 +21,10 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query_equals_sql(spark, con, name):
-    assert differences(queries()[name](spark, FOLDER), con, oracle_sql()[name]) is None
+    df = queries()[name](spark, FOLDER)
+    assert differences(df, con, oracle_sql()[name]) is None
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"PythonUDF|ArrowEval|MapInPandas|FlatMapGroups|CartesianProduct|NestedLoopJoin", plan)
 
 
 def test_entry_gives_growth_by_month(spark):

@@ -1,7 +1,5 @@
 """Physical plans: what reaches the scan, what is shuffled, and what never runs in one task."""
 
-import re
-
 import pytest
 from pyspark.sql import Window, functions as F
 
@@ -31,31 +29,24 @@ def test_scan_reads_only_what_is_used(tables):
     assert "p_partkey" not in text
 
 
-def test_date_filter_reaches_the_scan(tables):
+def test_date_filter_reaches_the_scan(spark, tables):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
     text = plan(marts.monthly_revenue(tables.during("2000-01-01", "2000-12-31").sales))
     pushed = scan_of(text, "o_orderdate")
-    assert "GreaterThanOrEqual(o_orderdate,2000-01-01T00:00)" in pushed and "LessThan(o_orderdate,2001" in pushed
+    assert "GreaterThanOrEqual(o_orderdate,2000-01-01T00:00)" in pushed and "LessThan(o_orderdate,2001-01-01T00:00)" in pushed
 
 
 def test_line_items_are_shuffled_not_broadcast(tables):
     text = plan(tables.sales)
-    join = text.index("l_orderkey")
-    assert "SortMergeJoin [l_orderkey" in text and join >= 0
-
-
-@pytest.mark.parametrize("name", sorted(registered()))
-def test_no_python_in_the_data_path_and_no_pair_products(spark, name):
-    text = plan(registered()[name](spark, FOLDER))
-    assert not re.search(r"PythonUDF|ArrowEval|BatchEval|MapInPandas|FlatMapGroups|CartesianProduct", text)
+    assert "SortMergeJoin [l_orderkey" in text
 
 
 @pytest.mark.parametrize("name", ["top_products_revenue_margin", "customer_lifetime_value"])
 def test_facts_are_summed_before_the_dimension_join(spark, name):
     lines = plan(registered()[name](spark, FOLDER)).splitlines()
-    depth = {key: i for i, line in enumerate(lines) for key in ("Join", "HashAggregate") if key in line}
     first_join = next(i for i, line in enumerate(lines) if "Join" in line)
     first_sum = next(i for i, line in enumerate(lines) if "Aggregate" in line)
-    assert first_join < first_sum and depth  # the join sits above the aggregate
+    assert first_join < first_sum  # the join sits above the aggregate
 
 
 def test_numbering_has_no_single_partition_exchange_of_rows(spread):

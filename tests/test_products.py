@@ -54,7 +54,7 @@ def catalogue(make_tables):
 
 def test_quadrants(catalogue):
     got = {r["id"]: (r["growth_h1_to_h2"], float(r["total_revenue_year"]), r["bcg_quadrant"])
-           for r in products.bcg_matrix(catalogue, 2000).collect()}
+           for r in products.bcg_matrix(products.growth_matrix(catalogue, 2000)).collect()}
     assert got == {  # medians: revenue 162.5, growth 50; equal counts as high, missing as low
         1: (100.0, 300.0, "Star"),
         2: (-50.0, 300.0, "Cash Cow"),
@@ -64,7 +64,7 @@ def test_quadrants(catalogue):
 
 
 def test_points_have_margin_and_short_labels(catalogue):
-    got = {r["id"]: r for r in products.product_matrix_points(catalogue, 2000).collect()}
+    got = {r["id"]: r for r in products.product_matrix_points(products.growth_matrix(catalogue, 2000)).collect()}
     assert set(got) == {1, 2, 3}
     assert got[1]["label"] == "A product with a l…" and got[2]["label"] == "P2" and got[3]["label"] is None
     assert (got[1]["margin_pct"], got[1]["revenue_median"], got[1]["growth_median"]) == (50.0, 162.5, 50.0)

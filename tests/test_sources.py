@@ -118,20 +118,18 @@ def test_one_failing_dataset_does_not_stop_the_others(spark, tmp_path):
     assert spark.read.parquet(written["also_good"]).count() == 2
 
 
-@pytest.mark.parametrize("fmt", ["parquet", "csv"])
-def test_report_run(spark, shop, tmp_path, fmt):
-    result = run_report(shop, str(tmp_path), 2024, fmt)
+def test_tables_can_be_written_as_csv(spark, shop, tmp_path):
+    written = write_datasets({"products": lambda: shop.products}, str(tmp_path), "csv")
+    assert spark.read.option("header", True).csv(written["products"]).columns == shop.products.columns
+
+
+def test_report_run_over_a_period(spark, shop, tmp_path):
+    result = run_report(shop, str(tmp_path), 2024, start="2024-01-01", end="2024-02-29")
     assert result.success and all(result.datasets.values()), result.datasets
-    reader = spark.read.option("header", True).option("inferSchema", True).format(fmt)
-    assert reader.load(result.datasets["kpi_table"]).count() == 15
-    assert reader.load(result.datasets["monthly_growth"]).count() == 3
+    assert spark.read.parquet(result.datasets["kpi_table"]).count() == 15
+    assert spark.read.parquet(result.datasets["monthly_growth"]).count() == 2
 
 
 def test_report_stops_at_a_bad_table(spark, shop, tmp_path):
     result = run_report(shop._replace(sales=shop.sales.drop("channel")), str(tmp_path), 2024)
     assert not result.success and "sales" in result.error and result.datasets == {}
-
-
-def test_report_of_a_period(spark, shop, tmp_path):
-    result = run_report(shop, str(tmp_path), 2024, start="2024-01-01", end="2024-02-29")
-    assert spark.read.parquet(result.datasets["monthly_revenue"]).count() == 2

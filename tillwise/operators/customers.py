@@ -63,7 +63,7 @@ def rfm_from_sums(by_customer: DataFrame, reference_date: dt.date | str | None =
     recency = F.datediff("reference_date", "last").alias("recency")
     days = beside(by_value.groupBy("last").agg(F.count("*").alias("customers")), reference)
     edges = edges_of_counts(days.select(recency, "customers"), "recency", "customers", _FIFTHS)
-    rows = beside(beside(by_value, reference), edges).select(
+    rows = beside(by_value, beside(reference, edges)).select(
         "customer_id", recency, "frequency", "monetary", "edges", "f_score",
         rank_bin(F.col("row_num"), F.col("n_rows")).alias("m_score"),
     )
@@ -151,8 +151,9 @@ def churn_risk(
     """
     stats = durable(customer_stats.select("customer_id", "segment", "total_revenue", "total_orders", "last_purchase"))
     segment_means = sized(stats.groupBy("segment").agg(exact_avg("total_orders").alias("segment_orders")))
-    facts = stats.agg(exact_avg("total_revenue").alias("mean_revenue")).crossJoin(
-        F.broadcast(_reference(stats, "last_purchase", reference_date))
+    facts = beside(
+        stats.agg(exact_avg("total_revenue").alias("mean_revenue")),
+        _reference(stats, "last_purchase", reference_date),
     )
     days = F.col("days_since_last_purchase")
     high_value = double("total_revenue") > F.col("mean_revenue")

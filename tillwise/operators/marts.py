@@ -117,17 +117,21 @@ def product_monthly_revenue(tables: Tables, ordered: bool = True) -> DataFrame:
 
 
 def category_revenue_share(tables: Tables, ordered: bool = True) -> DataFrame:
-    """Revenue per category and its share of all sales, those of unknown products included.
+    """Revenue per category and its share of all sales, those of unknown products included."""
+    return category_shares(sums_by_product(tables.sales), tables.products, ordered)
+
+
+def category_shares(by_product: DataFrame, products: DataFrame, ordered: bool = True) -> DataFrame:
+    """Shares of the categories, from product sums.
 
     The left join keeps unknown products as one extra row, so the total needs no second pass over
-    the sales; sums and counts are merged per category on the way.
+    the sales.
     """
-    by_product = tables.sales.groupBy("product_id").agg(_revenue(), _orders())
-    known = tables.products.select("id", "category", F.lit(True).alias("known"))
+    known = products.select("id", "category", F.lit(True).alias("known"))
     per_category = (
         by_product.join(known, F.col("product_id") == F.col("id"), "left")
         .groupBy("category", "known")
-        .agg(F.sum("revenue").alias("revenue"), F.sum("orders").alias("orders"))
+        .agg(F.sum("total_revenue").alias("revenue"), F.sum("total_orders").alias("orders"))
     )
     # one row per category is left, few enough for one task
     everything = F.sum("revenue").over(Window.partitionBy())
@@ -171,11 +175,13 @@ def customer_lifetime_value(tables: Tables, ordered: bool = True) -> DataFrame:
 
 def acquisition_channel_efficiency(tables: Tables, ordered: bool = True) -> DataFrame:
     """Customers, mean revenue and mean orders per acquisition channel."""
-    per_customer = tables.sales.groupBy("customer_id").agg(
-        F.count("*").alias("total_orders"), F.sum("revenue").alias("total_revenue")
-    )
+    return channel_efficiency(sums_by_customer(tables.sales), tables.customers, ordered)
+
+
+def channel_efficiency(by_customer: DataFrame, customers: DataFrame, ordered: bool = True) -> DataFrame:
+    """Means per acquisition channel, from customer sums."""
     out = (
-        per_customer.join(tables.customers, F.col("customer_id") == F.col("id"))
+        by_customer.join(customers, F.col("customer_id") == F.col("id"))
         .groupBy("acquisition_channel")
         # one row per customer is left, so rows are customers
         .agg(

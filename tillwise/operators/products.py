@@ -69,43 +69,38 @@ def quadrant(high_revenue: Column, high_growth: Column) -> Column:
     )
 
 
-def _with_medians(tables: Tables, year: int) -> DataFrame:
-    halves = half_year_sums(tables.sales, year)
+def growth_matrix(tables: Tables, year: int) -> DataFrame:
+    """Products sold in ``year`` with the growth between its halves, the medians and the quadrant."""
+    described = tables.products.select("id", "name", "category", "price", "cost")
     base = durable(
-        halves.join(tables.products.select("id", "name", "category", "price", "cost"), F.col("product_id") == F.col("id"))
+        half_year_sums(tables.sales, year)
+        .join(described, F.col("product_id") == F.col("id"))
         .withColumn("growth_h1_to_h2", growth_pct("h2_revenue", F.nullif("h1_revenue", F.lit(0))))
         .drop("product_id")
     )
-    medians = exact_quantile(base, "total_revenue_year", "id", name="revenue_median").crossJoin(
-        F.broadcast(exact_quantile(base, "growth_h1_to_h2", "id", name="growth_median"))
-    )
-    return beside(base, medians).withColumn(
-        "bcg_quadrant",
-        quadrant(
-            double("total_revenue_year") >= F.col("revenue_median"), F.col("growth_h1_to_h2") >= F.col("growth_median")
-        ),
-    )
+    high_revenue = double("total_revenue_year") >= F.col("revenue_median")
+    high_growth = F.col("growth_h1_to_h2") >= F.col("growth_median")
+    rows = base
+    for value, name in (("total_revenue_year", "revenue_median"), ("growth_h1_to_h2", "growth_median")):
+        rows = beside(rows, exact_quantile(base, value, "id", name=name))
+    return rows.withColumn("bcg_quadrant", quadrant(high_revenue, high_growth))
 
 
-def bcg_matrix(tables: Tables, year: int) -> DataFrame:
-    """Products sold in ``year`` with the growth between its halves and a median-split quadrant."""
-    return _with_medians(tables, year).select(
+def bcg_matrix(matrix: DataFrame) -> DataFrame:
+    """Revenue, growth and quadrant per product."""
+    return matrix.select(
         "id", "name", "category", "h1_revenue", "h2_revenue", "growth_h1_to_h2", "total_revenue_year", "bcg_quadrant"
     )
 
 
-def product_matrix_points(tables: Tables, year: int) -> DataFrame:
-    """The points of the product matrix: those with a growth rate, margin as size, label if large."""
+def product_matrix_points(matrix: DataFrame) -> DataFrame:
+    """The points of the matrix chart: those with a growth rate, margin as size, label if large."""
     margin = percent_of(F.col("price") - F.col("cost"), "price", 1)
     large = double("total_revenue_year") > F.col("revenue_median")
-    return (
-        _with_medians(tables, year)
-        .filter(F.col("growth_h1_to_h2").isNotNull())
-        .select(
-            "id", "category", "total_revenue_year", "growth_h1_to_h2",
-            margin.alias("margin_pct"),
-            rounded("revenue_median", 2).alias("revenue_median"),
-            rounded("growth_median", 2).alias("growth_median"),
-            F.when(large, shorten("name")).alias("label"),
-        )
+    return matrix.filter(F.col("growth_h1_to_h2").isNotNull()).select(
+        "id", "category", "total_revenue_year", "growth_h1_to_h2",
+        margin.alias("margin_pct"),
+        rounded("revenue_median", 2).alias("revenue_median"),
+        rounded("growth_median", 2).alias("growth_median"),
+        F.when(large, shorten("name")).alias("label"),
     )

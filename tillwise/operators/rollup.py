@@ -2,7 +2,8 @@
 
 The KPI record and the reports need sums by month, by product, by customer and by region and
 channel. One grouping-sets aggregation reads and shuffles the sales once for all of them; the
-result is kept, so what follows works on rows per product and customer instead of rows per sale.
+result is kept in one partition per level, so what follows works on rows per month, product or
+customer instead of rows per sale, and reads no other level.
 """
 
 from __future__ import annotations
@@ -43,7 +44,8 @@ class SalesRollup:
                 F.count("*").alias("orders"),
                 F.min("date").alias("first_date"),
                 F.max("date").alias("last_date"),
-            )
+            ),
+            by="level",
         )
 
     def _level(self, name: str) -> DataFrame:

@@ -99,7 +99,7 @@ TABLE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "revenue_matrix": lambda t: matrix.revenue_matrix(_cells(t), values=CHANNELS),
     "abc_analysis": lambda t: products.abc_analysis(marts.top_products_revenue_margin(t, ordered=False)),
     "abc_summary": lambda t: products.abc_summary(_products_abc(t)),
-    "bcg_matrix": lambda t: products.bcg_matrix(t, YEAR),
+    "bcg_matrix": lambda t: products.bcg_matrix(products.growth_matrix(t, YEAR)),
     "rfm": lambda t: customers.rfm(t.sales),
     "clv_by_segment": lambda t: customers.clv_by_segment(_stats(t)),
     "churn_risk": lambda t: customers.churn_risk(_stats(t)),
@@ -117,7 +117,7 @@ TABLE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "rfm_segment_summary": lambda t: customers.rfm_segment_summary(customers.rfm(t.sales)),
     "revenue_trend_forecast": lambda t: timeseries.trend_forecast(_month_sums(t)),
     "region_month_heatmap": lambda t: matrix.region_month_heatmap(marts.revenue_by_region_month(t.sales, ordered=False), REGIONS),
-    "product_matrix_points": lambda t: products.product_matrix_points(t, YEAR),
+    "product_matrix_points": lambda t: products.product_matrix_points(products.growth_matrix(t, YEAR)),
     "rfm_scatter_points": lambda t: customers.rfm_scatter_points(customers.rfm(t.sales)),
     "mom_bars": lambda t: timeseries.mom_bars(_lean_growth(t)),
     "yoy_compare": lambda t: timeseries.yoy_compare(_month_sums(t), YEAR),

@@ -20,8 +20,9 @@ class SalesModel:
     tables that several results start from are made durable.
     """
 
-    def __init__(self, tables: Tables, reference_date: dt.date | str | None = None):
+    def __init__(self, tables: Tables, year: int | None = None, reference_date: dt.date | str | None = None):
         self.tables = tables
+        self.year = year
         self.reference_date = reference_date
 
     @cached_property
@@ -36,10 +37,17 @@ class SalesModel:
     def region_channel(self) -> DataFrame:
         return self.rollup.by_place()
 
+    @cached_property
+    def product_stats(self) -> DataFrame:
+        return marts.describe_products(self.rollup.by_product(), self.tables.products)
+
     @cached_property
     def classified_products(self) -> DataFrame:
-        described = marts.describe_products(self.rollup.by_product(), self.tables.products)
-        return products.abc_analysis(described, ordered=False)
+        return products.abc_analysis(self.product_stats, ordered=False)
+
+    @cached_property
+    def growth_matrix(self) -> DataFrame:
+        return products.growth_matrix(self.tables, self.year)
 
     @cached_property
     def customer_stats(self) -> DataFrame:

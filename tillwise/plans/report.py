@@ -27,23 +27,28 @@ class ReportResult:
     error: str | None = None
 
 
-def mart_datasets(tables: Tables) -> dict[str, Callable[[], DataFrame]]:
-    """The marts by name; the denormalised fact is left out, it is as large as the sales."""
+def mart_datasets(model: SalesModel) -> dict[str, Callable[[], DataFrame]]:
+    """The marts by name; the denormalised fact is left out, it is as large as the sales.
+
+    Marts by product and by customer start from the rollup. Those that count distinct buyers, or
+    sum over two keys, read the sales.
+    """
+    tables, m = model.tables, model
     return {
         "monthly_revenue": lambda: marts.monthly_revenue(tables.sales),
         "quarterly_revenue": lambda: marts.quarterly_revenue(tables.sales),
         "revenue_by_region_channel": lambda: marts.revenue_by_region_channel(tables.sales),
         "revenue_by_region_month": lambda: marts.revenue_by_region_month(tables.sales),
-        "top_products_revenue_margin": lambda: marts.top_products_revenue_margin(tables),
+        "top_products_revenue_margin": lambda: m.product_stats.orderBy(F.desc("total_revenue"), "id"),
         "product_monthly_revenue": lambda: marts.product_monthly_revenue(tables),
-        "category_revenue_share": lambda: marts.category_revenue_share(tables),
-        "customer_lifetime_value": lambda: marts.customer_lifetime_value(tables),
-        "acquisition_channel_efficiency": lambda: marts.acquisition_channel_efficiency(tables),
+        "category_revenue_share": lambda: marts.category_shares(m.rollup.by_product(), tables.products),
+        "customer_lifetime_value": lambda: m.customer_stats.orderBy(F.desc("total_revenue"), "customer_id"),
+        "acquisition_channel_efficiency": lambda: marts.channel_efficiency(m.rollup.by_customer(), tables.customers),
         "kpi_overview": lambda: marts.kpi_overview(tables),
     }
 
 
-def report_datasets(model: SalesModel, year: int, min_orders: int = 2) -> dict[str, Callable[[], DataFrame]]:
+def report_datasets(model: SalesModel, min_orders: int = 2) -> dict[str, Callable[[], DataFrame]]:
     """Analyses, report tables and chart data by name, all from one model."""
     tables, m = model.tables, model
     return {
@@ -57,7 +62,7 @@ def report_datasets(model: SalesModel, year: int, min_orders: int = 2) -> dict[s
         "top_bottom_months": lambda: reports.top_bottom_months(m.growth),
         "revenue_trend_forecast": lambda: timeseries.trend_forecast(m.rollup.by_month()),
         "mom_bars": lambda: timeseries.mom_bars(m.growth),
-        "yoy_compare": lambda: timeseries.yoy_compare(m.rollup.by_month(), year),
+        "yoy_compare": lambda: timeseries.yoy_compare(m.rollup.by_month(), m.year),
         "quarter_totals": lambda: timeseries.quarter_totals(m.growth),
         "november_peak": lambda: timeseries.november_peak(m.rollup.by_month()),
         "region_month_heatmap": lambda: matrix.region_month_heatmap(
@@ -71,8 +76,8 @@ def report_datasets(model: SalesModel, year: int, min_orders: int = 2) -> dict[s
         "abc_summary": lambda: products.abc_summary(m.classified_products),
         "top10_products": lambda: reports.top_products(m.classified_products, 10),
         "product_export": lambda: reports.product_export(m.classified_products),
-        "bcg_matrix": lambda: products.bcg_matrix(tables, year),
-        "product_matrix_points": lambda: products.product_matrix_points(tables, year),
+        "bcg_matrix": lambda: products.bcg_matrix(m.growth_matrix),
+        "product_matrix_points": lambda: products.product_matrix_points(m.growth_matrix),
         "rfm": lambda: m.segments,
         "rfm_segment_share": lambda: customers.rfm_segment_share(m.segments),
         "rfm_segment_summary": lambda: customers.rfm_segment_summary(m.segments),
@@ -102,8 +107,8 @@ def run_report(
             return ReportResult(False, seconds=time.monotonic() - began, error=f"table {name} failed its check")
     if start is not None and end is not None:
         tables = tables.during(start, end)
-    model = SalesModel(tables, reference_date)
-    builders = {**mart_datasets(tables), **report_datasets(model, year, min_orders)}
+    model = SalesModel(tables, year, reference_date)
+    builders = {**mart_datasets(model), **report_datasets(model, min_orders)}
     plain = {name: (lambda build=build: as_reported(build())) for name, build in builders.items()}
     written = write_datasets(plain, folder, fmt)
     done = sum(path is not None for path in written.values())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,15 +39,8 @@ def local_session(app: str = "tillwise", cpus: str = "8", memory: str = "8g") ->
     return tune(spark)
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the checkpoint folder and read it back from there.
-
-    Used where two passes must see the very same rows in the same partitions, and where several
-    branches start from one expensive aggregate. A reliable checkpoint outlives its executors,
-    unlike a cache. The folder is the one the session names; a temporary folder is made only for
-    a local session that names none.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder of the session; a temporary one only for a local session that names none."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -55,4 +49,18 @@ def durable(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="tillwise-checkpoint-")
         context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    return context.getCheckpointDir()
+
+
+def durable(df: DataFrame, by: str | None = None) -> DataFrame:
+    """Write ``df`` once to a table in the checkpoint folder and read it back from there.
+
+    Used where two passes must see the very same rows, and where several branches start from one
+    expensive aggregate. The table outlives any executor; readers take only the columns they
+    need, skip partitions of ``by``, and plan their joins with its true size.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    writer = df.write if by is None else df.write.partitionBy(by)
+    writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

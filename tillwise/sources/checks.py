@@ -55,9 +55,8 @@ def contract_report(tables: Tables) -> DataFrame:
     none = F.lit(0).cast("long")
     products = _base(tables.products, "products").withColumns({"unknown_products": none, "unknown_customers": none})
     customers = _base(tables.customers, "customers").withColumns({"unknown_products": none, "unknown_customers": none})
-    sales = (
-        _base(tables.sales, "sales")
-        .crossJoin(F.broadcast(_orphans(tables.sales, tables.products, "product_id").toDF("unknown_products")))
-        .crossJoin(F.broadcast(_orphans(tables.sales, tables.customers, "customer_id").toDF("unknown_customers")))
-    )
+    sales = _base(tables.sales, "sales").withColumns({
+        "unknown_products": _orphans(tables.sales, tables.products, "product_id").scalar(),
+        "unknown_customers": _orphans(tables.sales, tables.customers, "customer_id").scalar(),
+    })
     return products.unionByName(customers).unionByName(sales).orderBy("table_name")
