@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillwise.functions.numbers import double, exact_avg, percent_of, ratio, rounded
 from tillwise.operators.joins import beside, sized
@@ -83,9 +83,9 @@ def rfm_segment_share(segments: DataFrame) -> DataFrame:
     per_segment = segments.groupBy("rfm_segment").agg(
         F.count("*").alias("customers"), F.sum("monetary").alias("revenue")
     )
-    total = per_segment.agg(F.sum("customers").alias("everyone"))
-    return beside(per_segment, total).select(
-        "rfm_segment", "customers", percent_of("customers", "everyone", 1).alias("share_pct"), "revenue"
+    everyone = F.sum("customers").over(Window.partitionBy())  # of the few segments
+    return per_segment.select(
+        "rfm_segment", "customers", percent_of("customers", everyone, 1).alias("share_pct"), "revenue"
     ).orderBy(F.desc("customers"), "rfm_segment")
 
 

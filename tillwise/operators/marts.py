@@ -7,10 +7,12 @@ of a join is broadcast is left to the planner, which knows the sizes.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwise.functions.dates import month_start, quarter_of_year
 from tillwise.functions.numbers import double, mean_of_sum, percent_of, ratio, rounded
+from tillwise.operators.joins import beside
+from tillwise.session import durable
 from tillwise.sources.tables import Tables
 
 
@@ -128,16 +130,14 @@ def category_shares(by_product: DataFrame, products: DataFrame, ordered: bool =
     the sales.
     """
     known = products.select("id", "category", F.lit(True).alias("known"))
-    per_category = (
+    per_category = durable(
         by_product.join(known, F.col("product_id") == F.col("id"), "left")
         .groupBy("category", "known")
         .agg(F.sum("total_revenue").alias("revenue"), F.sum("total_orders").alias("orders"))
     )
-    # one row per category is left, few enough for one task
-    everything = F.sum("revenue").over(Window.partitionBy())
+    everything = per_category.agg(F.sum("revenue").alias("everything"))
     out = (
-        per_category.withColumn("everything", everything)
-        .filter("known")
+        beside(per_category.filter("known"), everything)
         .select(
             "category", "revenue", "orders",
             rounded(ratio(double("revenue") * F.lit(100.0), "everything"), 2).alias("revenue_share_pct"),

@@ -10,10 +10,8 @@ from tillwise.functions.dates import is_fourth_quarter, short_month
 from tillwise.functions.numbers import double
 
 
-def _known(values: Sequence[str] | None, df: DataFrame, column: str) -> list[str]:
-    """The pivot columns: those given, or the distinct ones, which become columns and so are few."""
-    if values is not None:
-        return list(values)
+def column_values(df: DataFrame, column: str) -> list[str]:
+    """Distinct values that are to become columns, and so are few; too many are an error."""
     limit = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
     found = [row[0] for row in df.select(column).distinct().orderBy(column).limit(limit + 1).collect()]
     if len(found) > limit:
@@ -35,7 +33,7 @@ def revenue_matrix(
     One cube gives the cells and all three kinds of totals. Rows are sorted by their total, or by
     name if not ``by_total``.
     """
-    names = _known(values, cells, columns)
+    names = column_values(cells, columns) if values is None else list(values)
     cube = cells.cube(rows, columns).agg(
         F.sum("revenue").alias("revenue"), F.grouping(rows).alias("_all_rows"), F.grouping(columns).alias("_all_columns")
     )
@@ -57,7 +55,7 @@ def revenue_matrix(
 
 def region_month_heatmap(cells: DataFrame, values: Sequence[str] | None = None) -> DataFrame:
     """Month by region in thousands, with the month label and a mark for the fourth quarter."""
-    names = _known(values, cells, "region")
+    names = column_values(cells, "region") if values is None else list(values)
     wide = cells.groupBy("month").pivot("region", names).agg(F.sum("revenue"))
     return wide.select(
         "month",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillwise.functions.dates import in_period
 from tillwise.functions.numbers import double, growth_pct, percent_of, ratio, rounded
@@ -37,9 +37,9 @@ def abc_summary(classified: DataFrame) -> DataFrame:
     per_class = classified.groupBy("abc_class").agg(
         F.count("*").alias("products"), F.sum("total_revenue").alias("revenue")
     )
-    total = per_class.agg(F.sum("revenue").alias("everything"))
-    return beside(per_class, total).select(
-        "abc_class", "products", "revenue", percent_of("revenue", "everything", 2).alias("revenue_share_pct")
+    everything = F.sum("revenue").over(Window.partitionBy())  # of three rows
+    return per_class.select(
+        "abc_class", "products", "revenue", percent_of("revenue", everything, 2).alias("revenue_share_pct")
     ).orderBy("abc_class")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tillwise.functions.dates import long_month
 from tillwise.functions.text import magnitude, titled
@@ -14,11 +14,12 @@ PRODUCT_COLUMNS = (
 
 def top_bottom_months(growth: DataFrame, k: int = 3) -> DataFrame:
     """The ``k`` months with the most and the ``k`` with the least revenue, best first in both."""
-    months = growth.select("month", "revenue", "mom_growth_pct")
-    top = months.orderBy(F.desc("revenue"), "month").limit(k).withColumn("part", F.lit("top"))
-    flop = months.orderBy("revenue", F.desc("month")).limit(k).withColumn("part", F.lit("flop"))
+    up = F.row_number().over(Window.orderBy(F.desc("revenue"), "month"))
+    down = F.row_number().over(Window.orderBy("revenue", F.desc("month")))
+    parts = F.array_compact(F.array(F.when(F.col("_up") <= k, "top"), F.when(F.col("_down") <= k, "flop")))
     return (
-        top.unionByName(flop)
+        growth.withColumns({"_up": up, "_down": down})
+        .select("*", F.explode(parts).alias("part"))
         .select(
             "part", "month", long_month("month").alias("label"), "revenue",
             magnitude("revenue").alias("revenue_short"), "mom_growth_pct",
@@ -48,12 +49,14 @@ def upper_titles(region_channel: DataFrame) -> DataFrame:
 
 def distinct_dimension_values(region_channel: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
     """Every value of the categorical columns, in long form."""
-    sources = [
-        (region_channel, "region"), (region_channel, "channel"), (products, "category"),
-        (customers, "segment"), (customers, "acquisition_channel"),
-    ]
-    parts = [df.select(F.lit(c).alias("dimension"), F.col(c).alias("value")).distinct() for df, c in sources]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.orderBy("dimension", "value")
+
+    def values(df: DataFrame, *names: str) -> DataFrame:
+        pairs = F.array(*[F.struct(F.lit(n).alias("dimension"), F.col(n).alias("value")) for n in names])
+        return df.select(F.inline(pairs)).distinct()
+
+    return (
+        values(region_channel, "region", "channel")
+        .unionByName(values(products, "category"))
+        .unionByName(values(customers, "segment", "acquisition_channel"))
+        .orderBy("dimension", "value")
+    )

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillwise.functions.dates import month_index, quarter_label
 from tillwise.functions.numbers import double, exact_avg, growth_pct, ratio, rounded, rounded_mean, safe_pct_change
-from tillwise.operators.joins import beside
 
 
 def monthly_growth(monthly: DataFrame, series: Sequence[str] = (), calendar: bool = False) -> DataFrame:
@@ -48,56 +47,66 @@ def monthly_growth(monthly: DataFrame, series: Sequence[str] = (), calendar: boo
     )
 
 
-def _with_index(monthly: DataFrame) -> DataFrame:
-    return monthly.withColumn("idx", F.row_number().over(Window.orderBy("month")) - 1)
-
-
 def trend_forecast(monthly: DataFrame, ahead: int = 3) -> DataFrame:
     """Least-squares line over the month index, at every month and ``ahead`` months beyond.
 
-    The forecast starts at the last known month, so that the two lines meet.
+    The forecast starts at the last known month, so that the two lines meet: that month yields its
+    own row and those of the forecast.
     """
-    indexed = _with_index(monthly.select("month", "revenue"))
-    line = indexed.agg(
-        F.regr_slope(double("revenue"), double("idx")).alias("slope"),
-        F.regr_intercept(double("revenue"), double("idx")).alias("intercept"),
-        F.max("idx").alias("last_idx"),
-        F.max("month").alias("last_month"),
-    )
-    on_line = rounded(F.col("intercept") + F.col("slope") * F.col("idx"), 2).alias("trend")
-    fitted = beside(indexed, line).select(F.lit("fitted").alias("kind"), "idx", "month", "revenue", on_line)
-    steps = line.filter("last_idx IS NOT NULL").select("*", F.explode(F.sequence(F.lit(0), F.lit(ahead))).alias("step"))
-    nothing = F.lit(None).cast(monthly.schema["revenue"].dataType)
-    forecast = steps.withColumn("idx", F.col("last_idx") + F.col("step")).select(
-        F.lit("forecast").alias("kind"),
-        "idx",
-        F.add_months("last_month", F.col("step")).alias("month"),
-        nothing.alias("revenue"),
-        on_line,
+    everything = Window.partitionBy()
+    x, y = double("idx"), double("revenue")
+    indexed = monthly.select("month", "revenue").withColumn("idx", F.row_number().over(Window.orderBy("month")) - 1)
+    lined = indexed.withColumns({
+        "slope": F.regr_slope(y, x).over(everything),
+        "intercept": F.regr_intercept(y, x).over(everything),
+        "last_idx": F.max("idx").over(everything),
+    })
+    step = F.explode(F.when(F.col("idx") == F.col("last_idx"), F.sequence(F.lit(-1), F.lit(ahead))).otherwise(F.array(F.lit(-1))))
+    fitted = F.col("step") < 0
+    return (
+        lined.select("*", step.alias("step"))
+        .select(
+            F.when(fitted, "fitted").otherwise("forecast").alias("kind"),
+            (F.col("idx") + F.greatest(F.col("step"), F.lit(0))).alias("idx"),
+            F.add_months("month", F.greatest(F.col("step"), F.lit(0))).alias("month"),
+            F.when(fitted, F.col("revenue")).alias("revenue"),
+            "slope", "intercept",
+        )
+        .withColumn("trend", rounded(F.col("intercept") + F.col("slope") * F.col("idx"), 2))
+        .drop("slope", "intercept")
+        .orderBy("idx", "kind")
     )
-    return fitted.unionByName(forecast).orderBy("idx", "kind")
 
 
 def mom_bars(growth: DataFrame) -> DataFrame:
     """Months with a growth rate, whether it is not negative, and the mean rate."""
-    known = growth.select("month", "mom_growth_pct").na.drop(subset=["mom_growth_pct"])
-    mean = known.agg(rounded(exact_avg("mom_growth_pct"), 2).alias("mean_mom_pct"))
-    return beside(known, mean).select(
-        "month", "mom_growth_pct", (F.col("mom_growth_pct") >= 0).alias("not_negative"), "mean_mom_pct"
-    ).orderBy("month")
+    everything = Window.partitionBy()
+    rate = F.col("mom_growth_pct").cast("decimal(28,8)")
+    mean = ratio(F.sum(rate).over(everything), F.count(rate).over(everything))
+    return (
+        growth.select("month", "mom_growth_pct")
+        .na.drop(subset=["mom_growth_pct"])
+        .select(
+            "month", "mom_growth_pct", (F.col("mom_growth_pct") >= 0).alias("not_negative"),
+            rounded(mean, 2).alias("mean_mom_pct"),
+        )
+        .orderBy("month")
+    )
 
 
 def yoy_compare(monthly: DataFrame, year: int) -> DataFrame:
-    """Months that both ``year`` and the year before have, side by side."""
+    """Months that both ``year`` and the year before have, side by side, in one pass."""
+    which = F.year("month")
 
-    def of(which: int, name: str) -> DataFrame:
-        inside = F.col("month").between(F.lit(f"{which}-01-01").cast("date"), F.lit(f"{which}-12-31").cast("date"))
-        return monthly.filter(inside).select(F.month("month").alias("month_num"), F.col("revenue").alias(name))
+    def of(y: int) -> Column:
+        return F.max(F.when(which == y, F.col("revenue")))
 
     return (
-        of(year - 1, "revenue_before")
-        .join(of(year, "revenue"), "month_num")
-        .select("month_num", "revenue_before", "revenue", (F.col("revenue") >= F.col("revenue_before")).alias("grew"))
+        monthly.filter(which.isin(year - 1, year))
+        .groupBy(F.month("month").alias("month_num"))
+        .agg(of(year - 1).alias("revenue_before"), of(year).alias("revenue"))
+        .na.drop()
+        .withColumn("grew", F.col("revenue") >= F.col("revenue_before"))
         .orderBy("month_num")
     )
 
@@ -115,10 +124,9 @@ def quarter_change(growth: DataFrame) -> DataFrame:
 
 def november_peak(monthly: DataFrame) -> DataFrame:
     """The November with the highest revenue; the earliest if several reach it."""
-    novembers = monthly.filter(F.month("month") == 11).select("month", "revenue")
-    best = novembers.agg(F.max("revenue").alias("best"))
-    peaks = beside(novembers, best).filter(F.col("revenue") == F.col("best"))
-    return peaks.groupBy("revenue").agg(F.min("month").alias("month")).select("month", "revenue")
+    best_first = F.struct(-F.col("revenue"), F.col("month"))
+    peak = monthly.filter(F.month("month") == 11).agg(F.min_by(F.struct("month", "revenue"), best_first).alias("peak"))
+    return peak.filter("peak IS NOT NULL").select("peak.*")
 
 
 def trend_signals(growth: DataFrame) -> DataFrame:

@@ -120,7 +120,7 @@ TABLE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "product_matrix_points": lambda t: products.product_matrix_points(products.growth_matrix(t, YEAR)),
     "rfm_scatter_points": lambda t: customers.rfm_scatter_points(customers.rfm(t.sales)),
     "mom_bars": lambda t: timeseries.mom_bars(_lean_growth(t)),
-    "yoy_compare": lambda t: timeseries.yoy_compare(_month_sums(t), YEAR),
+    "yoy_compare": lambda t: timeseries.yoy_compare(_month_sums(t.during(f"{YEAR - 1}-01-01", f"{YEAR}-12-31")), YEAR),
     "quarter_totals": lambda t: timeseries.quarter_totals(_lean_growth(t)),
     "november_peak": lambda t: timeseries.november_peak(_month_sums(t)),
     "prompt_top5_products": lambda t: reports.top_products(_products_abc(t), 5),

@@ -66,7 +66,7 @@ def report_datasets(model: SalesModel, min_orders: int = 2) -> dict[str, Callabl
         "quarter_totals": lambda: timeseries.quarter_totals(m.growth),
         "november_peak": lambda: timeseries.november_peak(m.rollup.by_month()),
         "region_month_heatmap": lambda: matrix.region_month_heatmap(
-            marts.revenue_by_region_month(tables.sales, ordered=False)
+            marts.revenue_by_region_month(tables.sales, ordered=False), matrix.column_values(m.region_channel, "region")
         ),
         "revenue_matrix": lambda: matrix.revenue_matrix(m.region_channel),
         "region_matrix_export": lambda: matrix.revenue_matrix(

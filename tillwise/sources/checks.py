@@ -5,8 +5,9 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from tillwise.operators.joins import beside
 from tillwise.sources.tables import SCHEMAS, Tables
 
 logger = logging.getLogger(__name__)
@@ -41,22 +42,30 @@ def _base(df: DataFrame, name: str) -> DataFrame:
     )
 
 
-def _orphans(sales: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
-    """Sales whose key is unknown; counted per key first, so a hot key is one row in the join."""
-    return (
-        sales.groupBy(key).count()
-        .join(dimension.select(F.col("id").alias(key)), key, "left_anti")
-        .agg(F.coalesce(F.sum("count"), F.lit(0)).alias("orphans"))
-    )
+def _orphans(tables: Tables) -> DataFrame:
+    """Sales with an unknown product, and with an unknown customer: one row, one pass.
+
+    Both keys of a sale are counted together, per kind and key, so a hot key is one row in the join.
+    """
+    kinds = {"product": tables.products, "customer": tables.customers}
+    keys = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"{k}_id").alias("key")) for k in kinds])
+    used = tables.sales.select(F.inline(keys)).groupBy("kind", "key").agg(F.count("*").alias("n"))
+    products, customers = [df.select(F.lit(kind).alias("kind"), F.col("id").alias("key")) for kind, df in kinds.items()]
+    unknown = used.join(products.unionByName(customers), ["kind", "key"], "left_anti")
+
+    def total(kind: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0)).alias(f"unknown_{kind}s")
+
+    return unknown.agg(total("product"), total("customer"))
 
 
 def contract_report(tables: Tables) -> DataFrame:
     """Per table: rows, missing values, repeated ids, and facts without their dimension row."""
     none = F.lit(0).cast("long")
-    products = _base(tables.products, "products").withColumns({"unknown_products": none, "unknown_customers": none})
-    customers = _base(tables.customers, "customers").withColumns({"unknown_products": none, "unknown_customers": none})
-    sales = _base(tables.sales, "sales").withColumns({
-        "unknown_products": _orphans(tables.sales, tables.products, "product_id").scalar(),
-        "unknown_customers": _orphans(tables.sales, tables.customers, "customer_id").scalar(),
-    })
-    return products.unionByName(customers).unionByName(sales).orderBy("table_name")
+    dimensions = _base(tables.products, "products").unionByName(_base(tables.customers, "customers"))
+    facts = beside(_base(tables.sales, "sales"), _orphans(tables))
+    return (
+        dimensions.withColumns({"unknown_products": none, "unknown_customers": none})
+        .unionByName(facts)
+        .orderBy("table_name")
+    )
