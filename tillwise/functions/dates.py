@@ -25,6 +25,11 @@ def short_month(date: Column | str) -> Column:
     return F.date_format(_col(date), "MMM yy")
 
 
+def axis_month(date: Column | str) -> Column:
+    """Mar 2024"""
+    return F.date_format(_col(date), "MMM yyyy")
+
+
 def long_month(date: Column | str) -> Column:
     """March 2024"""
     return F.date_format(_col(date), "MMMM yyyy")

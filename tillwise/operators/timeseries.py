@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tillwise.functions.dates import month_index, quarter_label
+from tillwise.functions.dates import axis_month, is_fourth_quarter, month_index, quarter_label
 from tillwise.functions.numbers import double, exact_avg, growth_pct, ratio, rounded, rounded_mean, safe_pct_change
 
 
@@ -78,6 +78,24 @@ def trend_forecast(monthly: DataFrame, ahead: int = 3) -> DataFrame:
     )
 
 
+def dashboard_months(growth: DataFrame) -> DataFrame:
+    """What the main chart shows per month: revenue, both rolling means, the line, the Q4 mark."""
+    everything = Window.partitionBy()
+    x = double(F.row_number().over(Window.orderBy("month")) - 1)
+    return (
+        growth.withColumn("idx", x)
+        .withColumn("trend", rounded(
+            F.regr_intercept(double("revenue"), F.col("idx")).over(everything)
+            + F.regr_slope(double("revenue"), F.col("idx")).over(everything) * F.col("idx"), 2,
+        ))
+        .select(
+            "month", axis_month("month").alias("label"), "revenue", is_fourth_quarter("month").alias("fourth_quarter"),
+            "revenue_ma3", "revenue_ma6", "trend",
+        )
+        .orderBy("month")
+    )
+
+
 def mom_bars(growth: DataFrame) -> DataFrame:
     """Months with a growth rate, whether it is not negative, and the mean rate."""
     everything = Window.partitionBy()
@@ -143,7 +161,7 @@ def trend_signals(growth: DataFrame) -> DataFrame:
         return F.max(F.when(known & (F.col("_known_from_end") == position), F.col("mom_growth_pct")))
 
     label = F.date_format("month", "yyyy-MM")
-    q4 = F.when(F.month("month").isin(10, 11, 12), F.col("revenue"))
+    q4 = F.when(is_fourth_quarter("month"), F.col("revenue"))
     mean = ratio(F.sum("revenue"), F.count("revenue"))
     return ranked.agg(
         F.max(F.when(F.col("_from_end") == 1, F.col("revenue"))).alias("last_month_revenue"),

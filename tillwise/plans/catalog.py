@@ -119,6 +119,7 @@ TABLE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "region_month_heatmap": lambda t: matrix.region_month_heatmap(marts.revenue_by_region_month(t.sales, ordered=False), REGIONS),
     "product_matrix_points": lambda t: products.product_matrix_points(products.growth_matrix(t, YEAR)),
     "rfm_scatter_points": lambda t: customers.rfm_scatter_points(customers.rfm(t.sales)),
+    "dashboard_months": lambda t: timeseries.dashboard_months(_lean_growth(t)),
     "mom_bars": lambda t: timeseries.mom_bars(_lean_growth(t)),
     "yoy_compare": lambda t: timeseries.yoy_compare(_month_sums(t.during(f"{YEAR - 1}-01-01", f"{YEAR}-12-31")), YEAR),
     "quarter_totals": lambda t: timeseries.quarter_totals(_lean_growth(t)),

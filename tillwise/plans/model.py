@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import cached_property
+import threading
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import wraps
 
 from pyspark.sql import DataFrame
 
@@ -13,6 +16,20 @@ from tillwise.session import durable
 from tillwise.sources.tables import Tables
 
 
+def _once(build: Callable) -> property:
+    """A property built by the first thread that asks; the others wait for it."""
+    name = build.__name__
+
+    @wraps(build)
+    def guarded(self):
+        with self._locks[name]:
+            if name not in self._built:
+                self._built[name] = build(self)
+        return self._built[name]
+
+    return property(guarded)
+
+
 class SalesModel:
     """Everything that follows from one pass over the sales.
 
@@ -24,42 +41,46 @@ class SalesModel:
         self.tables = tables
         self.year = year
         self.reference_date = reference_date
+        self._built: dict[str, object] = {}
+        self._locks = {name: threading.Lock() for name, p in vars(SalesModel).items() if isinstance(p, property)}
 
-    @cached_property
+    @_once
     def rollup(self) -> SalesRollup:
         return SalesRollup(self.tables.sales)
 
-    @cached_property
+    @_once
     def growth(self) -> DataFrame:
         return timeseries.monthly_growth(self.rollup.by_month())
 
-    @cached_property
+    @_once
     def region_channel(self) -> DataFrame:
         return self.rollup.by_place()
 
-    @cached_property
+    @_once
     def product_stats(self) -> DataFrame:
         return marts.describe_products(self.rollup.by_product(), self.tables.products)
 
-    @cached_property
+    @_once
     def classified_products(self) -> DataFrame:
         return products.abc_analysis(self.product_stats, ordered=False)
 
-    @cached_property
+    @_once
     def growth_matrix(self) -> DataFrame:
         return products.growth_matrix(self.tables, self.year)
 
-    @cached_property
+    @_once
     def customer_stats(self) -> DataFrame:
         return durable(marts.describe_customers(self.rollup.by_customer(), self.tables.customers))
 
-    @cached_property
+    @_once
     def segments(self) -> DataFrame:
         return customers.rfm_from_sums(self.rollup.by_customer())
 
-    @cached_property
+    @_once
     def kpis(self) -> DataFrame:
-        """The KPI record; one row, kept because six reports are projections of it."""
+        """The KPI record; one row, kept because five reports are projections of it."""
+        with ThreadPoolExecutor() as pool:  # three chains of jobs that do not depend on each other
+            list(pool.map(lambda name: getattr(self, name), ("classified_products", "customer_stats", "segments")))
         return durable(
             kpis.kpis(
                 self.growth, self.classified_products, self.region_channel, self.customer_stats, self.segments,

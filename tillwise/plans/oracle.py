@@ -435,6 +435,11 @@ QUERIES = {
       FROM bcg WHERE growth_h1_to_h2 IS NOT NULL""",
     "rfm_scatter_points": f"""
       SELECT customer_id, {_int('recency')} AS recency, {_dbl('monetary')} AS monetary, frequency, rfm_segment FROM rfm""",
+    "dashboard_months": f"""
+      SELECT {_LABEL.replace('month', 'g.month')} AS month, strftime(g.month, '%b %Y') AS label,
+             {_dbl('g.revenue')} AS revenue, month(g.month) IN (10, 11, 12) AS fourth_quarter, revenue_ma3, revenue_ma6,
+             {_rnd('intercept + slope * idx', 2)} AS trend
+      FROM growth g JOIN numbered n ON g.month = n.month CROSS JOIN line""",
     "mom_bars": f"""
       SELECT {_LABEL} AS month, mom_growth_pct, mom_growth_pct >= 0 AS not_negative,
              (SELECT {_rnd(_avg('mom_growth_pct'), 2)} FROM growth) AS mean_mom_pct

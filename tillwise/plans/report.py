@@ -61,6 +61,7 @@ def report_datasets(model: SalesModel, min_orders: int = 2) -> dict[str, Callabl
         "trend_signals": lambda: timeseries.trend_signals(m.growth),
         "top_bottom_months": lambda: reports.top_bottom_months(m.growth),
         "revenue_trend_forecast": lambda: timeseries.trend_forecast(m.rollup.by_month()),
+        "dashboard_months": lambda: timeseries.dashboard_months(m.growth),
         "mom_bars": lambda: timeseries.mom_bars(m.growth),
         "yoy_compare": lambda: timeseries.yoy_compare(m.rollup.by_month(), m.year),
         "quarter_totals": lambda: timeseries.quarter_totals(m.growth),
