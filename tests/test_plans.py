@@ -6,6 +6,7 @@ from pyspark.sql import Window, functions as F
 from tillwise.operators import marts, ordered
 from tillwise.plans.catalog import registered
 from tillwise.sources.retail import retail_tables
+from tillwise.sources.tables import Tables
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -66,3 +67,55 @@ def test_hot_product_is_one_row_in_the_join(spark, make_tables):
     assert marts.sums_by_product(t.sales).count() == 2
     got = {r["name"]: r["total_orders"] for r in marts.top_products_revenue_margin(t).collect()}
     assert got == {"Hot": 30, "Cold": 60}
+
+
+@pytest.fixture
+def large_plans(spark):
+    """Shuffled joins and small skew limits, so that small data is planned as large data would be."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2.0",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def hot_tables(spark, rows=60_000):
+    """Sales of which a third are of one product by one customer, spread over several files' worth of tasks."""
+    hot = F.col("n") % 3 == 0
+    sales = spark.range(0, rows, 1, 8).toDF("n").select(
+        F.col("n").alias("id"), F.expr("date_add(date'2024-01-01', int(n % 300))").alias("date"),
+        F.when(hot, 1).otherwise(F.col("n") % 997).cast("long").alias("product_id"),
+        F.when(hot, 1).otherwise(F.col("n") % 499).cast("long").alias("customer_id"),
+        F.lit(1).alias("quantity"), (F.xxhash64("n") % 100_000 / 100 + 2_000).cast("decimal(18,2)").alias("revenue"),
+        F.lit("N").alias("region"), F.lit("B2B").alias("channel"),
+    )
+    products = spark.range(1000).select(
+        "id", F.concat(F.lit("p"), "id").alias("name"), F.lit("c").alias("category"),
+        F.lit("3.00").cast("decimal(18,2)").alias("price"), F.lit("1.00").cast("decimal(18,2)").alias("cost"),
+    )
+    customers = spark.range(500).select(
+        "id", F.lit("A").alias("segment"), F.lit("N").alias("region"), F.lit("B2B").alias("acquisition_channel")
+    )
+    return Tables(products, customers, sales)
+
+
+@pytest.mark.parametrize("mart, rows", [(marts.raw_sales, 60_000), (marts.kpi_overview, 1)])
+def test_hot_key_is_split_in_a_join_of_single_sales(large_plans, mart, rows):
+    df = mart(hot_tables(large_plans))
+    assert len(df.collect()) == rows
+    assert "SortMergeJoin(skew=true)" in plan(df)
+
+
+def test_hot_key_needs_no_split_where_sales_are_summed_first(large_plans):
+    df = marts.top_products_revenue_margin(hot_tables(large_plans))
+    got = {r["id"]: r["total_orders"] for r in df.collect()}
+    assert "skew=true" not in plan(df)
+    assert sum(got.values()) == 60_000 and got[1] > 20_000

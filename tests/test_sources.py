@@ -28,6 +28,12 @@ def test_second_load_keeps_or_replaces(spark, shop, tmp_path):
     assert T.load_tables(spark, folder).sales.count() == 1
 
 
+def test_remains_of_a_failed_load_are_replaced(spark, shop, tmp_path):
+    (tmp_path / "sales").mkdir()
+    T.save_tables(shop, str(tmp_path))
+    assert T.load_tables(spark, str(tmp_path)).sales.count() == 5
+
+
 def test_text_dates_and_double_money_are_converted(spark):
     raw = spark.createDataFrame(
         [(1, "2024-03-05", 1, 2, 3, 19.99, "N", "B2B")],
@@ -133,3 +139,33 @@ def test_report_run_over_a_period(spark, shop, tmp_path):
 def test_report_stops_at_a_bad_table(spark, shop, tmp_path):
     result = run_report(shop._replace(sales=shop.sales.drop("channel")), str(tmp_path), 2024)
     assert not result.success and "sales" in result.error and result.datasets == {}
+
+
+def test_shared_base_is_built_once(shop, monkeypatch):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from tillwise.plans import model as M
+
+    built = []
+    monkeypatch.setattr(M, "SalesRollup", lambda sales: built.append(sales) or "rollup")
+    model = M.SalesModel(shop)
+    with ThreadPoolExecutor(8) as pool:
+        assert list(pool.map(lambda _: model.rollup, range(32))) == ["rollup"] * 32
+    assert len(built) == 1
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from tillwise.session import shared_folder
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Session())

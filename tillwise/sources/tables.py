@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from pathlib import PurePosixPath
 from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tillwise.functions.dates import in_period
@@ -55,6 +56,14 @@ def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def _present(spark: SparkSession, path: str, schema: T.StructType) -> bool:
+    """Whether a load has been committed to ``path``; a folder left by a failed one has no rows."""
+    try:
+        return not spark.read.schema(schema).parquet(path).isEmpty()
+    except AnalysisException:
+        return False
+
+
 def save_tables(tables: Tables, folder: str, force: bool = False) -> None:
     """Load the three tables into ``folder`` as Parquet.
 
@@ -62,12 +71,14 @@ def save_tables(tables: Tables, folder: str, force: bool = False) -> None:
     other keys behind it so that one busy day spreads over several files; the row-group
     statistics then let a date filter skip most of the table.
     """
-    mode = "overwrite" if force else "ignore"
     for name, schema in SCHEMAS.items():
+        path = str(PurePosixPath(folder) / name)
         df = typed(getattr(tables, name), schema)
+        if not force and _present(df.sparkSession, path, schema):
+            continue
         if name == "sales":
             df = df.repartitionByRange("date", "id", "product_id").sortWithinPartitions("date")
-        df.write.mode(mode).parquet(str(PurePosixPath(folder) / name))
+        df.write.mode("overwrite").parquet(path)
 
 
 def load_tables(spark: SparkSession, folder: str) -> Tables:
