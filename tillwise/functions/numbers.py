@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-MONEY = "decimal(18,2)"
 _FINE = "decimal(28,8)"
 
 

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillwise.functions.numbers import double, exact_avg, percent_of, ratio, rounded
-from tillwise.operators.joins import beside, sized
+from tillwise.operators.joins import beside, sized, sorted_small
 from tillwise.operators.marts import sums_by_customer
 from tillwise.operators.ordered import edges_of_counts, exact_quantile, number_rows, rank_bin, value_bin
 from tillwise.session import durable
@@ -91,13 +91,14 @@ def rfm_segment_share(segments: DataFrame) -> DataFrame:
 
 def rfm_segment_summary(segments: DataFrame) -> DataFrame:
     """Customers, mean and total revenue, mean orders and mean recency per segment."""
-    return segments.groupBy("rfm_segment").agg(
+    summary = segments.groupBy("rfm_segment").agg(
         F.count("*").alias("customers"),
         rounded(exact_avg("monetary"), 2).alias("avg_revenue"),
         rounded(exact_avg("frequency"), 2).alias("avg_orders"),
         rounded(exact_avg("recency"), 2).alias("avg_recency_days"),
         F.sum("monetary").alias("total_revenue"),
-    ).orderBy("rfm_segment")
+    )
+    return sorted_small(summary, "rfm_segment")
 
 
 def rfm_scatter_points(segments: DataFrame) -> DataFrame:
@@ -178,4 +179,5 @@ def churn_risk(
 
 def churn_distribution(risks: DataFrame) -> DataFrame:
     """Customers per risk label."""
-    return risks.groupBy("churn_risk").agg(F.count("*").alias("customers")).orderBy(F.desc("customers"), "churn_risk")
+    counts = risks.groupBy("churn_risk").agg(F.count("*").alias("customers"))
+    return sorted_small(counts, F.desc("customers"), "churn_risk")

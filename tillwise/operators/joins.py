@@ -1,8 +1,8 @@
-"""Joins with small sides whose size is known or checked."""
+"""Joins with small sides, and sorts of small results, whose size is known or checked."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwise.session import durable
 
@@ -24,3 +24,12 @@ def sized(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     if kept.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(kept)
     return kept
+
+
+def sorted_small(rows: DataFrame, *keys: str | Column) -> DataFrame:
+    """Sort a result whose rows are few by nature: months, quarters, classes, segments, KPI rows.
+
+    They go to one partition and are sorted there; a global sort would first run the whole plan
+    once more to sample ranges.
+    """
+    return rows.repartition(1).sortWithinPartitions(*keys)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tillwise.functions.dates import month_label
 from tillwise.functions.numbers import double, exact_avg, growth_pct, percent_of, ratio, rounded
 from tillwise.functions.text import euro, percent, whole
-from tillwise.operators.joins import beside
+from tillwise.operators.joins import beside, sorted_small
 
 SECTIONS = ("period", "revenue", "growth", "products", "customers", "top_performers")
 
@@ -219,7 +219,7 @@ def dashboard_cards(record: DataFrame) -> DataFrame:
         card(4, "ACTIVE CUSTOMERS", whole("customers.active_total"),
              F.concat(percent("customers.champions_pct"), F.lit(" Champions")), F.lit(True)),
     )
-    return record.select(F.inline(cards)).orderBy("card")
+    return sorted_small(record.select(F.inline(cards)), "card")
 
 
 def kpi_table(record: DataFrame) -> DataFrame:
@@ -253,7 +253,7 @@ def kpi_table(record: DataFrame) -> DataFrame:
         row(14, "Best channel", "", "", text="top_performers.best_channel"),
         row(15, "Top product", "", "", text="products.top_product_name"),
     ]
-    return record.select(F.inline(F.array(*rows))).orderBy("position")
+    return sorted_small(record.select(F.inline(F.array(*rows))), "position")
 
 
 def insight_facts(record: DataFrame) -> DataFrame:

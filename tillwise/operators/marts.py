@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwise.functions.dates import month_start, quarter_of_year
 from tillwise.functions.numbers import double, mean_of_sum, percent_of, ratio, rounded
-from tillwise.operators.joins import beside
+from tillwise.operators.joins import beside, sorted_small
 from tillwise.session import durable
 from tillwise.sources.tables import Tables
 
@@ -47,7 +47,7 @@ def monthly_revenue(sales: DataFrame, ordered: bool = True) -> DataFrame:
             mean_of_sum("revenue", "orders").alias("avg_order_value"),
         )
     )
-    return _sorted(out, ordered, "month")
+    return sorted_small(out, "month") if ordered else out
 
 
 def quarterly_revenue(sales: DataFrame, ordered: bool = True) -> DataFrame:
@@ -55,7 +55,7 @@ def quarterly_revenue(sales: DataFrame, ordered: bool = True) -> DataFrame:
     out = sales.groupBy(F.year("date").alias("year"), quarter_of_year("date").alias("quarter")).agg(
         _revenue(), _orders(), _buyers()
     )
-    return _sorted(out, ordered, "year", "quarter")
+    return sorted_small(out, "year", "quarter") if ordered else out
 
 
 def revenue_by_region_channel(sales: DataFrame, ordered: bool = True) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillwise.functions.dates import axis_month, is_fourth_quarter, month_index, quarter_label
 from tillwise.functions.numbers import double, exact_avg, growth_pct, ratio, rounded, rounded_mean, safe_pct_change
+from tillwise.operators.joins import sorted_small
 
 
 def monthly_growth(monthly: DataFrame, series: Sequence[str] = (), calendar: bool = False) -> DataFrame:
@@ -119,19 +120,18 @@ def yoy_compare(monthly: DataFrame, year: int) -> DataFrame:
     def of(y: int) -> Column:
         return F.max(F.when(which == y, F.col("revenue")))
 
-    return (
+    pairs = (
         monthly.filter(which.isin(year - 1, year))
         .groupBy(F.month("month").alias("month_num"))
         .agg(of(year - 1).alias("revenue_before"), of(year).alias("revenue"))
         .na.drop()
-        .withColumn("grew", F.col("revenue") >= F.col("revenue_before"))
-        .orderBy("month_num")
     )
+    return sorted_small(pairs.withColumn("grew", F.col("revenue") >= F.col("revenue_before")), "month_num")
 
 
 def quarter_totals(growth: DataFrame) -> DataFrame:
     """Revenue per quarter label."""
-    return growth.groupBy("quarter").agg(F.sum("revenue").alias("revenue")).orderBy("quarter")
+    return sorted_small(growth.groupBy("quarter").agg(F.sum("revenue").alias("revenue")), "quarter")
 
 
 def quarter_change(growth: DataFrame) -> DataFrame:

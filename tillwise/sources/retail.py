@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwise.functions.numbers import MONEY
 from tillwise.sources.tables import Tables
 
 
@@ -32,58 +31,41 @@ def retail_tables(spark: SparkSession, folder: str) -> Tables:
     smaller side and broadcast them. A hot order or customer is split by the adaptive skew rule,
     and the other side holds one row per key.
     """
-    part = _read(spark, folder, "part")
-    price = F.col("p_retailprice").cast(MONEY)
-    products = part.select(
-        F.col("p_partkey").alias("id"),
-        F.col("p_name").alias("name"),
-        F.col("p_type").alias("category"),
-        price.alias("price"),
-        (price * (F.col("p_size") + 40).cast("decimal(4,0)") * F.lit("0.01").cast("decimal(3,2)"))
-        .cast(MONEY).alias("cost"),
+    products = _read(spark, folder, "part").selectExpr(
+        "p_partkey AS id",
+        "p_name AS name",
+        "p_type AS category",
+        "CAST(p_retailprice AS DECIMAL(18,2)) AS price",
+        """CAST(CAST(p_retailprice AS DECIMAL(18,2)) * CAST(40 + p_size AS DECIMAL(4,0))
+                * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(18,2)) AS cost""",
     )
 
-    places = _read(spark, folder, "nation").join(
-        _read(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-    )
-    turn = F.col("c_custkey") % 3
-    customers = (
-        _read(spark, folder, "customer")
-        .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.col("c_custkey").alias("id"),
-            F.col("c_mktsegment").alias("segment"),
-            F.col("r_name").alias("region"),
-            F.when(turn == 0, "Online").when(turn == 1, "Store").otherwise("B2B").alias("acquisition_channel"),
-        )
+    nation, region = _read(spark, folder, "nation"), _read(spark, folder, "region")
+    places = nation.join(region, F.expr("n_regionkey = r_regionkey"))
+    customers = _read(spark, folder, "customer").join(places, F.expr("c_nationkey = n_nationkey")).selectExpr(
+        "c_custkey AS id",
+        "c_mktsegment AS segment",
+        "r_name AS region",
+        "CASE c_custkey % 3 WHEN 0 THEN 'Online' WHEN 1 THEN 'Store' ELSE 'B2B' END AS acquisition_channel",
     )
 
-    buyers = customers.select(F.col("id").alias("customer_id"), "region")
-    status = F.col("o_orderstatus")
-    headers = (
-        _read(spark, folder, "orders")
-        .join(buyers.hint("merge"), F.col("o_custkey") == F.col("customer_id"))
-        .select(
-            F.col("o_orderkey").alias("id"),
-            F.col("o_orderdate").cast("date").alias("date"),
-            "customer_id",
-            "region",
-            F.when(status == "F", "Online").when(status == "O", "Store").otherwise("B2B").alias("channel"),
-        )
-    )
-    kept_share = F.lit(1) - F.col("l_discount").cast("decimal(4,2)")
-    sales = (
-        _read(spark, folder, "lineitem")
-        .join(headers.hint("merge"), F.col("l_orderkey") == F.col("id"))
-        .select(
-            "id",
-            "date",
-            F.col("l_partkey").alias("product_id"),
-            "customer_id",
-            F.col("l_quantity").cast("int").alias("quantity"),
-            (F.col("l_extendedprice").cast(MONEY) * kept_share).cast(MONEY).alias("revenue"),
-            "region",
-            "channel",
-        )
+    buyers = customers.selectExpr("id AS customer_id", "region").hint("merge")
+    headers = _read(spark, folder, "orders").join(buyers, F.expr("o_custkey = customer_id")).selectExpr(
+        "o_orderkey AS id",
+        "CAST(o_orderdate AS DATE) AS date",
+        "customer_id",
+        "region",
+        "CASE o_orderstatus WHEN 'F' THEN 'Online' WHEN 'O' THEN 'Store' ELSE 'B2B' END AS channel",
+    ).hint("merge")
+    sales = _read(spark, folder, "lineitem").join(headers, F.expr("l_orderkey = id")).selectExpr(
+        "id",
+        "date",
+        "l_partkey AS product_id",
+        "customer_id",
+        "CAST(l_quantity AS INT) AS quantity",
+        """CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))
+                AS DECIMAL(18,2)) AS revenue""",
+        "region",
+        "channel",
     )
     return Tables(products, customers, sales)
