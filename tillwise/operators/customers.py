@@ -10,7 +10,6 @@ from tillwise.functions.numbers import double, exact_avg, percent_of, ratio, rou
 from tillwise.operators.joins import beside, sized, sorted_small
 from tillwise.operators.marts import sums_by_customer
 from tillwise.operators.ordered import edges_of_counts, exact_quantile, number_rows, rank_bin, value_bin
-from tillwise.session import durable
 
 _FIFTHS = (0.2, 0.4, 0.6, 0.8)
 
@@ -110,10 +109,11 @@ def clv_by_segment(customer_stats: DataFrame, min_orders: int = 2) -> DataFrame:
     """Lifetime value per segment over customers with at least ``min_orders`` orders.
 
     A lifespan counts at least a tenth of a year. The values are rounded to cents per customer and
-    summed as decimals; the median is looked up by position, not gathered.
+    summed as decimals; the median is looked up by position, not gathered. The stats are read
+    twice, so they should be a stored table.
     """
     years = F.greatest(F.col("customer_lifespan_days") / F.lit(365.0), F.lit(0.1))
-    per_customer = durable(
+    per_customer = (
         customer_stats.filter(F.col("total_orders") >= min_orders)
         .withColumn("lifespan_years", years)
         .withColumn("annual_purchase_freq", F.col("total_orders") / F.col("lifespan_years"))
@@ -149,8 +149,9 @@ def churn_risk(
 
     Without a reference date the last purchase of all counts as today. The segment means come from
     an aggregate that is joined back, so a large segment is not gathered in one window partition.
+    The stats are read several times, so they should be a stored table.
     """
-    stats = durable(customer_stats.select("customer_id", "segment", "total_revenue", "total_orders", "last_purchase"))
+    stats = customer_stats.select("customer_id", "segment", "total_revenue", "total_orders", "last_purchase")
     segment_means = sized(stats.groupBy("segment").agg(exact_avg("total_orders").alias("segment_orders")))
     facts = beside(
         stats.agg(exact_avg("total_revenue").alias("mean_revenue")),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tillwise.functions.text import as_reported
 from tillwise.operators import customers, kpis, marts, matrix, products, reports, timeseries
 from tillwise.plans.model import SalesModel
-from tillwise.session import tune
+from tillwise.session import durable, tune
 from tillwise.sources.checks import contract_report
 from tillwise.sources.retail import retail_tables
 from tillwise.sources.tables import Tables, run_query
@@ -74,7 +74,8 @@ def _period_sql(t: Tables) -> DataFrame:
 
 
 def _stats(t: Tables) -> DataFrame:
-    return marts.customer_lifetime_value(t, ordered=False)
+    """Customer stats, stored once for the analyses that read them several times."""
+    return durable(marts.customer_lifetime_value(t, ordered=False))
 
 
 TABLE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
