@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import copies, mixing
+from tillwise.llm import copies, fano, mixing, slack
 from tillwise.llm.shipping import ship
 from tillwise.session import tune
 
@@ -17,6 +18,20 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return ship(tune(spark)).read.parquet(f"{folder}/{name}.parquet")
 
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    files = fano.token_folder(spark)
+    fano.write_token_files(docs, files, TOKENIZER, end_id=2)
+    return fano.read_token_files(spark, files)
+
+
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return slack.packed(_table(spark, folder, "documents"), TOKENIZER, end_id=0)
+
+
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix_sources(_table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -27,6 +42,8 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_token_files": op2_token_files,
+    "op4_packing": op4_packing,
     "op5_mixing": op5_mixing,
     "op7_exact_dedup": op7_exact_dedup,
 }
