@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.llm import copies, fano, mixing, slack
+from tillwise.llm import copies, fano, mixing, ngram_join, slack
 from tillwise.llm.shipping import ship
 from tillwise.session import tune
 
@@ -41,11 +41,17 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return copies.exact_copies(_table(spark, folder, "documents"))
 
 
+def op8_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    like = ngram_join.Similarity(words=4, percent=85)
+    return ngram_join.ngram_components(_table(spark, folder, "documents"), like)
+
+
 QUERIES: dict[str, Query] = {
     "op2_token_files": op2_token_files,
     "op4_packing": op4_packing,
     "op5_mixing": op5_mixing,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_ngram_join": op8_ngram_join,
 }
 
 ORACLES: dict[str, str] = {
