@@ -385,3 +385,14 @@ def ngram_components(docs: DataFrame, like: Similarity = Similarity(), doc_id: s
         F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
     )
+
+
+def one_of_each(docs: DataFrame, like: Similarity = Similarity(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents, all columns, without those that links lead from to a smaller id.
+
+    Rows without an id stay; rows that share an id stay if any of them does.
+    """
+    found = ngram_components(docs, like, doc_id, text)
+    stays = F.max(F.col("doc_id") == F.col("component_id"))
+    dropped = found.groupBy("doc_id").agg(stays.alias("stays")).filter("NOT stays").select(F.col("doc_id").alias("_dropped"))
+    return docs.join(durable(dropped), F.col(doc_id) == F.col("_dropped"), "left_anti")

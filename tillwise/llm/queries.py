@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwise.llm import copies, fano, mixing, ngram_join, slack
+from tillwise.llm import blocks, copies, crf, edits, fano, mixing, ngram_join, passages, projections, slack
 from tillwise.llm.shipping import ship
 from tillwise.session import tune
 
@@ -21,6 +21,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return projections.nearest(_table(spark, folder, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     files = fano.token_folder(spark)
@@ -28,6 +32,10 @@ def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return fano.read_token_files(spark, files)
 
 
+def op3_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return blocks.extracted(_table(spark, folder, "pages"))
+
+
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     return slack.packed(_table(spark, folder, "documents"), TOKENIZER, end_id=0)
 
@@ -37,6 +45,14 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    model = crf.fit_quality(docs, labels.filter(~crf.held_out("doc_id", 4, 2)))
+    return crf.scored(docs, model).select(
+        "doc_id", crf.held_out("doc_id", 4, 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return copies.exact_copies(_table(spark, folder, "documents"))
 
@@ -46,12 +62,30 @@ def op8_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.ngram_components(_table(spark, folder, "documents"), like)
 
 
+def op9_edited_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Token counts of every document before and after its private data is taken out."""
+    return edits.edited_counts(_table(spark, folder, "documents"), edits.private_data(), TOKENIZER)
+
+
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    model = passages.fit_toxicity(docs, labels.filter(~crf.held_out("doc_id", 5, 0)))
+    return passages.toxic_passages(docs, model).select(
+        "doc_id", crf.held_out("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op1_neighbours": op1_neighbours,
     "op2_token_files": op2_token_files,
+    "op3_main_text": op3_main_text,
     "op4_packing": op4_packing,
     "op5_mixing": op5_mixing,
+    "op6_quality": op6_quality,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_ngram_join": op8_ngram_join,
+    "op9_edited_counts": op9_edited_counts,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {
