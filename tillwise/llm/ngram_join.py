@@ -31,7 +31,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tillwise.llm.components import components
 from tillwise.llm.shipping import utf8
@@ -113,7 +113,7 @@ def slot_counts(texts: DataFrame, size: int) -> np.ndarray:
 def _common(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of every slot its class of commonness (0: nothing stands out) and over how many tasks its postings are spread."""
     mean = max(1.0, counts.mean())
-    stands_out = counts > 4 * mean + 32
+    stands_out = counts > mean + 8 * np.sqrt(mean) + 4  # beyond what chance puts into a slot
     return np.where(stands_out, np.log2(np.maximum(counts, 1) / mean).astype(np.uint8), 0).astype(np.uint8), np.minimum(1 + counts // RUN, 65535).astype(np.uint16)
 
 
@@ -356,16 +356,17 @@ def linked_classes(docs: DataFrame, like: Similarity = Similarity(), doc_id: str
     # the rest: what shares a prefix shingle, or a whole prefix, and is not connected yet
     rooted = members.join(roots, "cid", "left").select("gid", "cid", F.coalesce("root", "cid").alias("root"))
     of_group = rooted.groupBy("gid").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    # the group's shingles just before this one: a pair that has one of them in common was formed there
+    just_before = Window.partitionBy("gid").orderBy("pos").rowsBetween(-4, -1)
     marked = durable(
-        listed.join(of_group, "gid").join(of_group.toDF("head", "head_low", "head_high"), "head")
+        listed.join(of_group, "gid").withColumn("earlier", F.collect_list("token").over(just_before))
+        .join(of_group.toDF("head", "head_low", "head_high"), "head")
         .withColumn("apart", F.expr("NOT (low = high AND head_low = head_high AND low = head_low)"))
-        .select("token", "gid", "n", "pos", "low", "high", "apart")
-    )
-    others = marked.toDF("token", "gid2", "n2", "pos2", "low2", "high2", "apart2")
-    unconnected = F.expr("gid != gid2 AND NOT (low = high AND low2 = high2 AND low = low2)")
-    rest = marked.filter("apart").join(
-        others, (marked.token == others.token) & unconnected & _may_link(like.percent, "n", "pos", "n2", "pos2")
+        .select("token", "gid", "n", "pos", "low", "high", "earlier", "apart")
     )
+    others = marked.toDF("token2", "gid2", "n2", "pos2", "low2", "high2", "earlier2", "apart2")
+    unconnected = F.expr("gid != gid2 AND NOT (low = high AND low2 = high2 AND low = low2) AND NOT arrays_overlap(earlier, earlier2)")
+    rest = marked.filter("apart").join(others, F.expr("token = token2") & unconnected & _may_link(like.percent, "n", "pos", "n2", "pos2"))
     between_groups = expanded(_ordered_pairs(rest, "gid", "gid2"), members)
     split = rooted.join(of_group.filter("low != high").select("gid"), "gid", "left_semi")
     within = split.toDF("gid", "cid_x", "root_x").join(split.toDF("gid", "cid_y", "root_y"), "gid").filter("root_x != root_y AND cid_x < cid_y")
