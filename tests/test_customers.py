@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import day
 from tillwise.operators import customers
 
 SUMS = "customer_id bigint, total_orders bigint, total_revenue decimal(28,2), first_purchase date, last_purchase date"
@@ -97,3 +98,15 @@ def test_churn_order_and_default_date(spark):
         (2, "critical", 370), (1, "high", 370), (4, "low", 0), (3, "medium", 170),
     ]
     assert sum(r["customers"] for r in customers.churn_distribution(got).collect()) == 4
+
+
+def test_churn_keeps_customers_without_a_segment(spark):
+    rows = [
+        (1, "A", D(10), 4, day("2024-01-01")), (2, "A", D(10), 1, day("2024-04-20")), (3, None, D(10), 1, day("2024-04-20")),
+        (4, None, D(99), 1, day("2024-06-30")),
+    ]
+    stats = spark.createDataFrame(rows, "customer_id long, segment string, total_revenue decimal(18,2), total_orders long, last_purchase date")
+    got = {r["customer_id"]: r["churn_risk"] for r in customers.churn_risk(stats).collect()}
+    # 71 days without a sale and few orders against the segment: 2 is at medium risk; 3 has no segment to compare with
+    assert got == {1: "high", 2: "medium", 3: "low", 4: "low"}
+    assert sum(r["customers"] for r in customers.churn_distribution(customers.churn_risk(stats)).collect()) == 4

@@ -5,6 +5,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import day
 from tillwise.operators import kpis, matrix, reports, timeseries
 from tillwise.plans.model import SalesModel
 
@@ -131,6 +132,25 @@ def test_matrix_with_totals(shop):
     assert [r["region"] for r in other.collect()] == ["North", "South", "GESAMT"]
 
 
+def test_matrix_shows_every_value(spark):
+    cells = spark.createDataFrame(
+        [("N", "B2B", 10), ("N", "Outlet", 90), ("NORDICS", None, 5), (None, "total", 3), ("N", "TOTAL", 2)], "region string, channel string, revenue int"
+    )
+    wide = matrix.revenue_matrix(cells)
+    assert wide.columns == ["region", "B2B", "Outlet", "TOTAL (channel)", "total (channel) (channel)", "(none)", "total"]
+    rows = [tuple(r) for r in wide.collect()]
+    assert rows[-1] == ("Total", 10, 90, 2, 3, 5, 110)
+    assert {r[0] for r in rows} == {"N", "NORDICS", None, "Total"}
+    assert all(sum(r[1:-1]) == r[-1] for r in rows)
+
+
+def test_heatmap_shows_every_region(spark):
+    cells = spark.createDataFrame([(day("2024-01-01"), "N", 1000), (day("2024-01-01"), "month", 2000), (day("2024-02-01"), None, 500)], "month date, region string, revenue int")
+    wide = matrix.region_month_heatmap(cells)
+    assert wide.columns[3:] == ["N", "month (region)", "(none)"]
+    assert [tuple(r)[3:] for r in wide.collect()] == [(1.0, 2.0, None), (None, None, 0.5)]
+
+
 def test_matrix_refuses_too_many_columns(spark, shop):
     cells = shop.sales.groupBy("region", "channel").agg(F.sum("revenue").alias("revenue"))
     spark.conf.set("spark.sql.pivotMaxValues", "1")

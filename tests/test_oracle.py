@@ -5,7 +5,9 @@ import re
 import pytest
 from compare import TABLES, differences, duck
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tillwise.plans.catalog import registered as queries
+from tillwise.plans.oracle import oracle as oracle_sql
 
 FOLDER = "/root/testdata/sf0.01"
 

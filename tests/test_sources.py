@@ -49,10 +49,10 @@ def test_missing_folder_is_an_error(spark, tmp_path):
 
 
 def test_query_parameters(shop):
-    q = "SELECT COUNT(*) AS n FROM sales s JOIN products p ON s.product_id = p.id WHERE p.category = :c"
+    q = "SELECT COUNT(*) AS n FROM {sales} s JOIN {products} p ON s.product_id = p.id WHERE p.category = :c"
     assert T.run_query(shop, q, {"c": "Wood"}).first()["n"] == 2
     assert T.run_query(shop, q, {"c": "' OR '1'='1"}).first()["n"] == 0
-    assert T.run_query(shop, "SELECT COUNT(*) AS n FROM sales WHERE quantity >= ?", [2]).first()["n"] == 2
+    assert T.run_query(shop, "SELECT COUNT(*) AS n FROM {sales} WHERE quantity >= ?", [2]).first()["n"] == 2
 
 
 def test_jdbc_reads_are_split_by_id(monkeypatch):
@@ -107,7 +107,7 @@ def test_contract_report(spark, shop):
         sales=shop.sales.withColumn("channel", F.when(F.col("id") > 2, F.col("channel"))),
     )
     got = {r["table_name"]: tuple(r)[1:] for r in checks.contract_report(twice).collect()}
-    assert got == {"products": (3, 0, 1, 0, 0), "customers": (3, 0, 0, 0, 0), "sales": (5, 2, 0, 1, 0)}
+    assert got == {"products": (3, 0, 1, 0, 0), "customers": (3, 0, 0, 0, 0), "sales": (5, 2, None, 1, 0)}
 
 
 def test_one_failing_dataset_does_not_stop_the_others(spark, tmp_path):
@@ -136,6 +136,63 @@ def test_report_run_over_a_period(spark, shop, tmp_path):
     assert spark.read.parquet(result.datasets["monthly_growth"]).count() == 2
 
 
+@pytest.mark.parametrize("start, end, months", [("2024-02-01", None, 2), (None, "2024-02-29", 2), (None, None, 3)])
+def test_a_period_may_be_open(spark, shop, tmp_path, start, end, months):
+    result = run_report(shop, str(tmp_path), 2024, start=start, end=end)
+    assert result.success and spark.read.parquet(result.datasets["monthly_growth"]).count() == months
+
+
+def test_report_keeps_types_and_leaves_no_scratch(spark, shop, tmp_path):
+    from pathlib import Path
+
+    from tillwise.session import shared_folder
+
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    result = run_report(shop, str(tmp_path), 2024)
+    assert all(result.datasets.values()) and len(result.datasets) == 41, result.datasets
+    types = dict(spark.read.parquet(result.datasets["monthly_growth"]).dtypes)
+    assert types["month"] == "date" and types["revenue"].startswith("decimal")
+    assert set(folder.iterdir()) == before
+    assert result.warnings == ["sales: 1 unknown products"]
+
+
+def test_report_marts_equal_the_marts(spark, shop, tmp_path):
+    from tillwise.operators import marts
+
+    result = run_report(shop, str(tmp_path), 2024)
+    wanted = {
+        "monthly_revenue": marts.monthly_revenue(shop.sales), "quarterly_revenue": marts.quarterly_revenue(shop.sales),
+        "revenue_by_region_channel": marts.revenue_by_region_channel(shop.sales),
+        "revenue_by_region_month": marts.revenue_by_region_month(shop.sales),
+        "product_monthly_revenue": marts.product_monthly_revenue(shop), "kpi_overview": marts.kpi_overview(shop),
+    }
+    for name, df in wanted.items():
+        found = spark.read.parquet(result.datasets[name]).select(*df.columns)
+        assert sorted(map(str, found.collect())) == sorted(map(str, df.collect())), name
+
+
+def test_report_stops_at_a_broken_dimension(spark, shop, tmp_path):
+    twice = shop._replace(products=shop.products.unionByName(shop.products.filter("id = 1")))
+    result = run_report(twice, str(tmp_path), 2024)
+    assert not result.success and result.error == "products: 1 repeated ids" and result.datasets == {}
+
+
+def test_report_reads_the_sales_once(spark, shop, monkeypatch):
+    from tillwise.operators import rollup
+    from tillwise.plans import report
+    from tillwise.plans.model import SalesModel
+
+    passes = []
+    plain = rollup.durable
+    monkeypatch.setattr(rollup, "durable", lambda df, by=None: passes.append(df) or plain(df, by))
+    model = SalesModel(shop, 2024)
+    assert model.rollup and len(passes) == 1
+    model.tables = shop._replace(sales=None)  # whoever reads them again fails
+    for build in {**report.mart_datasets(model), **report.report_datasets(model)}.values():
+        build()
+
+
 def test_report_stops_at_a_bad_table(spark, shop, tmp_path):
     result = run_report(shop._replace(sales=shop.sales.drop("channel")), str(tmp_path), 2024)
     assert not result.success and "sales" in result.error and result.datasets == {}

@@ -62,6 +62,12 @@ def is_fourth_quarter(date: Column | str) -> Column:
     return F.month(_col(date)).isin(10, 11, 12)
 
 
-def in_period(date: Column | str, start: dt.date | str, end: dt.date | str) -> Column:
-    """Inclusive date range, in a form that reaches the Parquet scan."""
-    return _col(date).between(F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date"))
+def in_period(date: Column | str, start: dt.date | str | None = None, end: dt.date | str | None = None) -> Column:
+    """Inclusive date range, open at a side that is not given, in a form that reaches the Parquet scan."""
+    inside = F.lit(True)
+    if start is not None:
+        inside = _col(date) >= F.lit(str(start)).cast("date")
+    if end is not None:
+        before_end = _col(date) <= F.lit(str(end)).cast("date")
+        inside = before_end if start is None else inside & before_end
+    return inside

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillwise.functions.numbers import double, exact_avg, percent_of, ratio, rounded
-from tillwise.operators.joins import beside, sized, sorted_small
+from tillwise.operators.joins import beside, sorted_small
 from tillwise.operators.marts import sums_by_customer
 from tillwise.operators.ordered import edges_of_counts, exact_quantile, number_rows, rank_bin, value_bin
 
@@ -23,7 +23,8 @@ def _reference(rows: DataFrame, last: str, date: dt.date | str | None) -> DataFr
 
 def rfm_segment(score: Column, r: Column, f: Column) -> Column:
     """Segment from the score sum and the recency and frequency scores; the first rule wins."""
-    # fixed values: labels and limits of the segments, in order of precedence
+    # fixed values: labels and limits of the segments, in order of precedence; the rule before the last cannot be
+    # reached, since "At Risk" covers it, and stays as part of the definition
     return (
         F.when(score >= 13, "Champions")
         .when((score >= 10) & (r >= 3), "Loyal Customers")
@@ -149,10 +150,11 @@ def churn_risk(
 
     Without a reference date the last purchase of all counts as today. The segment means come from
     an aggregate that is joined back, so a large segment is not gathered in one window partition.
+    A customer without a segment stays; there is no mean to be seldom against, so that rule does not hold.
     The stats are read several times, so they should be a stored table.
     """
     stats = customer_stats.select("customer_id", "segment", "total_revenue", "total_orders", "last_purchase")
-    segment_means = sized(stats.groupBy("segment").agg(exact_avg("total_orders").alias("segment_orders")))
+    segment_means = stats.groupBy("segment").agg(exact_avg("total_orders").alias("segment_orders"))
     facts = beside(
         stats.agg(exact_avg("total_revenue").alias("mean_revenue")),
         _reference(stats, "last_purchase", reference_date),
@@ -168,7 +170,7 @@ def churn_risk(
         .otherwise("low")
     )
     out = (
-        beside(stats.join(segment_means, "segment"), facts)
+        beside(stats.join(segment_means, "segment", "left"), facts)
         .withColumn("days_since_last_purchase", F.datediff("reference_date", "last_purchase"))
         .select(
             "customer_id", "segment", "total_revenue", "total_orders", "days_since_last_purchase",

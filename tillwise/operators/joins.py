@@ -1,13 +1,9 @@
-"""Joins with small sides, and sorts of small results, whose size is known or checked."""
+"""Joins with one-row facts, and sorts of results that are small by nature."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillwise.session import durable
-
-BROADCAST_ROWS = 200_000
-
 
 def beside(rows: DataFrame, one_row: DataFrame) -> DataFrame:
     """Put the columns of a one-row aggregate on every row, as a scalar subquery: no join at all."""
@@ -15,17 +11,6 @@ def beside(rows: DataFrame, one_row: DataFrame) -> DataFrame:
     return rows.withColumn("_facts", facts).select(*rows.columns, "_facts.*")
 
 
-def sized(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """An aggregate, materialised, counted and marked for broadcast only if it is small.
-
-    Beyond ``max_rows`` it stays unmarked and joins by shuffle, with skewed partitions split.
-    """
-    kept = durable(small)
-    if kept.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(kept)
-    return kept
-
-
 def sorted_small(rows: DataFrame, *keys: str | Column) -> DataFrame:
     """Sort a result whose rows are few by nature: months, quarters, classes, segments, KPI rows.
 

@@ -7,12 +7,11 @@ of a join is broadcast is left to the planner, which knows the sizes.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillwise.functions.dates import month_start, quarter_of_year
 from tillwise.functions.numbers import double, mean_of_sum, percent_of, ratio, rounded
-from tillwise.operators.joins import beside, sorted_small
-from tillwise.session import durable
+from tillwise.operators.joins import sorted_small
 from tillwise.sources.tables import Tables
 
 
@@ -34,10 +33,17 @@ def _sorted(df: DataFrame, ordered: bool, *keys: str | Column) -> DataFrame:
 
 def monthly_revenue(sales: DataFrame, ordered: bool = True) -> DataFrame:
     """Revenue, orders, buyers and mean order value per month."""
+    return _months(sales.groupBy(month_start("date").alias("month")).agg(_revenue(), _orders(), _buyers()), ordered)
+
+
+def months_of(by_month_and_customer: DataFrame) -> DataFrame:
+    """The same from sums per month and customer."""
+    return _months(by_month_and_customer.groupBy("month").agg(_revenue(), F.sum("orders").alias("orders"), F.count("customer_id").alias("unique_customers")), True)
+
+
+def _months(sums: DataFrame, ordered: bool) -> DataFrame:
     out = (
-        sales.groupBy(month_start("date").alias("month"))
-        .agg(_revenue(), _orders(), _buyers())
-        .select(
+        sums.select(
             "month",
             F.year("month").alias("year"),
             F.month("month").alias("month_num"),
@@ -58,16 +64,28 @@ def quarterly_revenue(sales: DataFrame, ordered: bool = True) -> DataFrame:
     return sorted_small(out, "year", "quarter") if ordered else out
 
 
+def quarters_of(by_month_and_customer: DataFrame) -> DataFrame:
+    """The same from sums per month and customer."""
+    out = by_month_and_customer.groupBy(F.year("month").alias("year"), quarter_of_year("month").alias("quarter")).agg(
+        _revenue(), F.sum("orders").alias("orders"), _buyers()
+    )
+    return sorted_small(out, "year", "quarter")
+
+
 def revenue_by_region_channel(sales: DataFrame, ordered: bool = True) -> DataFrame:
     """Cross table of region and channel in long form."""
-    out = (
-        sales.groupBy("region", "channel")
-        .agg(_revenue(), _orders(), _buyers())
-        .select(
-            "region", "channel", "revenue", "orders",
-            mean_of_sum("revenue", "orders").alias("avg_order_value"),
-            "unique_customers",
-        )
+    return _places(sales.groupBy("region", "channel").agg(_revenue(), _orders(), _buyers()), ordered)
+
+
+def places_of(by_place_and_customer: DataFrame) -> DataFrame:
+    """The same from sums per region, channel and customer."""
+    counts = [F.sum("orders").alias("orders"), F.count("customer_id").alias("unique_customers")]
+    return _places(by_place_and_customer.groupBy("region", "channel").agg(_revenue(), *counts), True)
+
+
+def _places(sums: DataFrame, ordered: bool) -> DataFrame:
+    out = sums.select(
+        "region", "channel", "revenue", "orders", mean_of_sum("revenue", "orders").alias("avg_order_value"), "unique_customers"
     )
     return _sorted(out, ordered, F.desc("revenue"), "region", "channel")
 
@@ -110,8 +128,13 @@ def product_monthly_revenue(tables: Tables, ordered: bool = True) -> DataFrame:
     per_product = tables.sales.groupBy(month_start("date").alias("month"), "product_id").agg(
         F.sum("revenue").alias("revenue"), F.sum("quantity").alias("units")
     )
+    return named_months(per_product, tables.products, ordered)
+
+
+def named_months(per_product: DataFrame, products: DataFrame, ordered: bool = True) -> DataFrame:
+    """The same from sums per month and product."""
     out = (
-        per_product.join(tables.products, F.col("product_id") == F.col("id"))
+        per_product.join(products, F.col("product_id") == F.col("id"))
         .groupBy("month", "category", "name")
         .agg(F.sum("revenue").alias("revenue"), F.sum("units").alias("units"))
     )
@@ -130,18 +153,15 @@ def category_shares(by_product: DataFrame, products: DataFrame, ordered: bool =
     the sales.
     """
     known = products.select("id", "category", F.lit(True).alias("known"))
-    per_category = durable(
+    per_category = (
         by_product.join(known, F.col("product_id") == F.col("id"), "left")
         .groupBy("category", "known")
         .agg(F.sum("total_revenue").alias("revenue"), F.sum("total_orders").alias("orders"))
+        .withColumn("everything", F.sum("revenue").over(Window.partitionBy()))  # of the few categories
     )
-    everything = per_category.agg(F.sum("revenue").alias("everything"))
-    out = (
-        beside(per_category.filter("known"), everything)
-        .select(
-            "category", "revenue", "orders",
-            rounded(ratio(double("revenue") * F.lit(100.0), "everything"), 2).alias("revenue_share_pct"),
-        )
+    out = per_category.filter("known").select(
+        "category", "revenue", "orders",
+        rounded(ratio(double("revenue") * F.lit(100.0), "everything"), 2).alias("revenue_share_pct"),
     )
     return _sorted(out, ordered, F.desc("revenue"), "category")
 
@@ -221,19 +241,31 @@ def raw_sales(tables: Tables, ordered: bool = False) -> DataFrame:
     return _sorted(out, ordered, "date")
 
 
+def sums_by_buyer(sales: DataFrame) -> DataFrame:
+    """One row per product and customer that bought it, before any join."""
+    return sales.groupBy("product_id", "customer_id").agg(
+        F.sum("revenue").alias("revenue"), F.sum("quantity").alias("units"), F.count("*").alias("orders")
+    )
+
+
 def kpi_overview(tables: Tables) -> DataFrame:
-    """One row of totals, with the margin realised on the sales."""
-    profit = F.col("revenue") - F.col("quantity") * F.col("cost")
-    totals = tables.sales.join(tables.products.select(F.col("id").alias("product_id"), "cost"), "product_id").agg(
+    """One row of totals, with the margin realised on the sales. Sales of unknown products count nowhere."""
+    return overview(sums_by_buyer(tables.sales), tables.products)
+
+
+def overview(by_buyer: DataFrame, products: DataFrame) -> DataFrame:
+    """The totals, from sums per product and customer."""
+    profit = F.col("revenue") - F.col("units") * F.col("cost")
+    totals = by_buyer.join(products.select(F.col("id").alias("product_id"), "cost"), "product_id").agg(
         F.sum("revenue").alias("revenue"),
-        F.count("*").alias("total_orders"),
+        F.sum("orders").alias("total_orders"),
         F.countDistinct("customer_id").alias("active_customers"),
-        F.sum("quantity").alias("units"),
+        F.sum("units").alias("units"),
         F.sum(profit).alias("profit"),
     )
     return totals.select(
         double("revenue").alias("total_revenue"),
-        "total_orders",
+        F.coalesce("total_orders", F.lit(0)).alias("total_orders"),
         "active_customers",
         rounded(mean_of_sum("revenue", "total_orders"), 2).alias("avg_order_value"),
         F.col("units").alias("total_units_sold"),

@@ -15,7 +15,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tillwise.operators.joins import sized
 from tillwise.session import durable
 
 _POSITION_BITS = 33  # of monotonically_increasing_id
@@ -107,8 +106,7 @@ def exact_quantile(
             ))).alias("row_num"),
         )
     )
-    # two rows per group: a proven bound without groups, a checked one with them
-    targets = sized(targets) if by else F.broadcast(targets)
+    # two rows per group; how to join them is left to the adaptive planner, which sees their bytes
     low, high = F.min("_value"), F.max("_value")
     return (
         ranked.select("row_num", "_value")

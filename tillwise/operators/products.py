@@ -71,9 +71,14 @@ def quadrant(high_revenue: Column, high_growth: Column) -> Column:
 
 def growth_matrix(tables: Tables, year: int) -> DataFrame:
     """Products sold in ``year`` with the growth between its halves, the medians and the quadrant."""
-    described = tables.products.select("id", "name", "category", "price", "cost")
+    return growth_of(tables.sales, tables.products, year)
+
+
+def growth_of(sales: DataFrame, products: DataFrame, year: int) -> DataFrame:
+    """The same from any sums of revenue by product and a date of the month or finer."""
+    described = products.select("id", "name", "category", "price", "cost")
     base = durable(
-        half_year_sums(tables.sales, year)
+        half_year_sums(sales, year)
         .join(described, F.col("product_id") == F.col("id"))
         .withColumn("growth_h1_to_h2", growth_pct("h2_revenue", F.nullif("h1_revenue", F.lit(0))))
         .drop("product_id")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -9,22 +10,22 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tillwise.functions.text import as_reported
 from tillwise.operators import customers, kpis, marts, matrix, products, reports, timeseries
 from tillwise.plans.model import SalesModel
-from tillwise.session import durable, tune
+from tillwise.session import durable, shared_folder
 from tillwise.sources.checks import contract_report
 from tillwise.sources.retail import retail_tables
-from tillwise.sources.tables import Tables, run_query
+from tillwise.sources.sinks import write_datasets
+from tillwise.sources.tables import Tables, load_tables, run_query, save_tables
 
 YEAR = 2000  # the last full year of the data
 PERIOD = ("1998-01-01", "1999-12-31")
-REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
-CHANNELS = ["B2B", "Online", "Store"]
+SINCE = "2000-06-15"  # of the period that is open at its end
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _over_tables(build: Callable[[Tables], DataFrame]) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return as_reported(build(retail_tables(tune(spark), folder)))
+        return as_reported(build(retail_tables(spark, folder)))
 
     return run
 
@@ -64,7 +65,7 @@ def _period_sql(t: Tables) -> DataFrame:
         t,
         """
         SELECT region, channel, SUM(revenue) AS revenue, COUNT(*) AS orders
-        FROM sales
+        FROM {sales}
         WHERE date BETWEEN CAST(:first AS DATE) AND CAST(:last AS DATE)
         GROUP BY 1, 2
         ORDER BY 1, 2
@@ -73,6 +74,26 @@ def _period_sql(t: Tables) -> DataFrame:
     )
 
 
+def _loaded(t: Tables) -> DataFrame:
+    """The tables saved, saved again (which keeps them) and read back: sales per channel with their dimension columns."""
+    spark = t.sales.sparkSession
+    folder = f"{shared_folder(spark)}/loaded-{uuid.uuid4().hex}"
+    save_tables(t, folder)
+    save_tables(t._replace(sales=t.sales.limit(0)), folder)
+    loaded = marts.raw_sales(load_tables(spark, folder))
+    return loaded.groupBy("channel", "segment", "category").agg(
+        F.sum("revenue").alias("revenue"), F.sum("quantity").alias("units"), F.count("*").alias("orders"), F.min("date").alias("first_date")
+    )
+
+
+def _written(t: Tables) -> DataFrame:
+    """The growth table as the report writes it, read back with its types."""
+    spark = t.sales.sparkSession
+    folder = f"{shared_folder(spark)}/written-{uuid.uuid4().hex}"
+    written = write_datasets({"monthly_growth": lambda: _growth(t)}, folder)
+    return spark.read.parquet(written["monthly_growth"])
+
+
 def _stats(t: Tables) -> DataFrame:
     """Customer stats, stored once for the analyses that read them several times."""
     return durable(marts.customer_lifetime_value(t, ordered=False))
@@ -96,8 +117,9 @@ TABLE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "monthly_growth_by_region": lambda t: _growth_by_region(t, calendar=False),
     "monthly_growth_calendar": lambda t: _growth_by_region(t, calendar=True),
     "monthly_revenue_in_period": lambda t: marts.monthly_revenue(t.during(*PERIOD).sales),
+    "monthly_revenue_since": lambda t: marts.monthly_revenue(t.during(start=SINCE).sales),
     "region_channel_in_period": _period_sql,
-    "revenue_matrix": lambda t: matrix.revenue_matrix(_cells(t), values=CHANNELS),
+    "revenue_matrix": lambda t: matrix.revenue_matrix(_cells(t)),
     "abc_analysis": lambda t: products.abc_analysis(marts.top_products_revenue_margin(t, ordered=False)),
     "abc_summary": lambda t: products.abc_summary(_products_abc(t)),
     "bcg_matrix": lambda t: products.bcg_matrix(products.growth_matrix(t, YEAR)),
@@ -113,11 +135,11 @@ TABLE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "monthly_export": _growth,
     "product_export": lambda t: reports.product_export(products.abc_analysis(marts.top_products_revenue_margin(t, ordered=False))),
     "region_matrix_export": lambda t: matrix.revenue_matrix(
-        _cells(t), values=CHANNELS, row_total="Gesamt", column_total="GESAMT", by_total=False
+        _cells(t), row_total="Gesamt", column_total="GESAMT", by_total=False
     ),
     "rfm_segment_summary": lambda t: customers.rfm_segment_summary(customers.rfm(t.sales)),
     "revenue_trend_forecast": lambda t: timeseries.trend_forecast(_month_sums(t)),
-    "region_month_heatmap": lambda t: matrix.region_month_heatmap(marts.revenue_by_region_month(t.sales, ordered=False), REGIONS),
+    "region_month_heatmap": lambda t: matrix.region_month_heatmap(marts.revenue_by_region_month(t.sales, ordered=False)),
     "product_matrix_points": lambda t: products.product_matrix_points(products.growth_matrix(t, YEAR)),
     "rfm_scatter_points": lambda t: customers.rfm_scatter_points(customers.rfm(t.sales)),
     "dashboard_months": lambda t: timeseries.dashboard_months(_lean_growth(t)),
@@ -126,6 +148,9 @@ TABLE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "quarter_totals": lambda t: timeseries.quarter_totals(_lean_growth(t)),
     "november_peak": lambda t: timeseries.november_peak(_month_sums(t)),
     "prompt_top5_products": lambda t: reports.top_products(_products_abc(t), 5),
+    # tables and results written and read back
+    "loaded_tables": _loaded,
+    "written_growth": _written,
     # building blocks not reached above
     "table_contract_check": contract_report,
     "safe_pct_change": lambda t: timeseries.quarter_change(_lean_growth(t)),

@@ -5,14 +5,13 @@ from __future__ import annotations
 import datetime as dt
 import threading
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from functools import wraps
 
 from pyspark.sql import DataFrame
 
 from tillwise.operators import customers, kpis, marts, products, timeseries
 from tillwise.operators.rollup import SalesRollup
-from tillwise.session import durable
+from tillwise.session import durable, in_threads
 from tillwise.sources.tables import Tables
 
 
@@ -66,7 +65,7 @@ class SalesModel:
 
     @_once
     def growth_matrix(self) -> DataFrame:
-        return products.growth_matrix(self.tables, self.year)
+        return products.growth_of(self.rollup.by_month_and_product(), self.tables.products, self.year)
 
     @_once
     def customer_stats(self) -> DataFrame:
@@ -74,13 +73,13 @@ class SalesModel:
 
     @_once
     def segments(self) -> DataFrame:
-        return customers.rfm_from_sums(self.rollup.by_customer())
+        return customers.rfm_from_sums(self.rollup.by_customer(), self.reference_date)
 
     @_once
     def kpis(self) -> DataFrame:
         """The KPI record; one row, kept because five reports are projections of it."""
-        with ThreadPoolExecutor() as pool:  # three chains of jobs that do not depend on each other
-            list(pool.map(lambda name: getattr(self, name), ("classified_products", "customer_stats", "segments")))
+        # three chains of jobs that do not depend on each other
+        in_threads(lambda name: getattr(self, name), ("classified_products", "customer_stats", "segments"))
         return durable(
             kpis.kpis(
                 self.growth, self.classified_products, self.region_channel, self.customer_stats, self.segments,

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from tillwise.plans.catalog import PERIOD, YEAR
+from tillwise.plans.catalog import PERIOD, SINCE, YEAR
 
 
 def _dbl(x: str) -> str:
@@ -174,7 +174,7 @@ STEPS = {
         SELECT c.*, date_diff('day', last_purchase, (SELECT MAX(last_purchase) FROM customer_stats)) AS days,
                {_dbl('total_revenue')} > (SELECT {_avg('total_revenue')} FROM customer_stats) AS rich, g.seg_orders
         FROM customer_stats c
-        JOIN (SELECT segment, {_avg('total_orders')} AS seg_orders FROM customer_stats GROUP BY 1) g
+        LEFT JOIN (SELECT segment, {_avg('total_orders')} AS seg_orders FROM customer_stats GROUP BY 1) g
           ON c.segment = g.segment)""",
     "recent": f"""
       SELECT *, MAX(month) OVER () AS ref,
@@ -269,17 +269,16 @@ _ABC_COLUMNS = f"""
     {_big('total_units')} AS total_units, {_big('total_orders')} AS total_orders,
     {_ratio('total_revenue', 'total_orders')} AS avg_order_revenue"""
 
-_CELL_SUMS = f"""
-    {_dbl("COALESCE(SUM(CASE WHEN channel = 'B2B' THEN revenue END), 0)")} AS "B2B",
-    {_dbl("COALESCE(SUM(CASE WHEN channel = 'Online' THEN revenue END), 0)")} AS "Online",
-    {_dbl("COALESCE(SUM(CASE WHEN channel = 'Store' THEN revenue END), 0)")} AS "Store" """
+def _pivot(rows: str, key: str, column: str, value: str, others: str = "") -> str:
+    """A pivot over the values there are; the rows come with the totals as rows and columns like any other."""
+    return f"PIVOT ({rows}) ON {column} USING {value} GROUP BY {key}{others}"
 
 
 def _matrix(row_total: str, column_total: str) -> str:
     return f"""
-      SELECT CASE WHEN GROUPING(region) = 1 THEN '{column_total}' ELSE region END AS region, {_CELL_SUMS},
-             {_dbl('SUM(revenue)')} AS "{row_total}"
-      FROM cells GROUP BY ROLLUP (region)"""
+      SELECT CASE WHEN GROUPING(region) = 1 THEN '{column_total}' ELSE region END AS region,
+             CASE WHEN GROUPING(channel) = 1 THEN '{row_total}' ELSE channel END AS heading, SUM(revenue) AS revenue
+      FROM cells GROUP BY CUBE (region, channel)"""
 
 
 def _top(k: int) -> str:
@@ -288,10 +287,6 @@ def _top(k: int) -> str:
       FROM abc ORDER BY total_revenue DESC, id LIMIT {k}"""
 
 
-def _heat(region: str) -> str:
-    return f"""{_dbl(f"SUM(CASE WHEN region = '{region}' THEN revenue END)")} / 1000.0 AS "{region}" """
-
-
 _CALENDAR_BASE = f"""
     SELECT {_LABEL.replace('month', 'a.month')} AS month, a.region, {_dbl('a.revenue')} AS revenue,
            {_rnd(_ratio('a.revenue - b.revenue', 'b.revenue') + ' * 100.0', 2)} AS mom_growth_pct,
@@ -350,6 +345,15 @@ QUERIES = {
     "monthly_growth_calendar": _CALENDAR_BASE,
     "monthly_revenue_in_period": f"""
       SELECT {_MONTH_COLUMNS} FROM monthly WHERE month BETWEEN DATE '{PERIOD[0]}' AND DATE '{PERIOD[1]}' ORDER BY 1""",
+    "monthly_revenue_since": f"""
+      SELECT {_MONTH_COLUMNS}
+      FROM (SELECT {_MONTH} AS month, SUM(revenue) AS revenue, COUNT(*) AS orders, COUNT(DISTINCT customer_id) AS unique_customers
+            FROM sales WHERE date >= DATE '{SINCE}' GROUP BY 1)""",
+    "loaded_tables": f"""
+      SELECT channel, segment, category, {_dbl('SUM(revenue)')} AS revenue, {_big('SUM(quantity)')} AS units, COUNT(*) AS orders,
+             strftime(MIN(date), '%Y-%m-%d') AS first_date
+      FROM sales JOIN products ON product_id = products.id JOIN customers ON customer_id = customers.id GROUP BY 1, 2, 3""",
+    "written_growth": f"SELECT {_MONTH_COLUMNS}, {_GROWTH_COLUMNS} FROM growth",
     "region_channel_in_period": f"""
       SELECT region, channel, {_dbl('SUM(revenue)')} AS revenue, COUNT(*) AS orders FROM sales
       WHERE date BETWEEN DATE '{PERIOD[0]}' AND DATE '{PERIOD[1]}' GROUP BY 1, 2 ORDER BY 1, 2""",
@@ -424,9 +428,8 @@ QUERIES = {
                    CAST((SELECT MAX(month) FROM numbered) + to_months(CAST(step AS INT)) AS DATE), NULL
             FROM range(0, 4) AS steps(step)) CROSS JOIN line""",
     "region_month_heatmap": f"""
-      SELECT {_LABEL} AS month, strftime(month, '%b %y') AS label, month(month) IN (10, 11, 12) AS fourth_quarter,
-             {', '.join(_heat(r) for r in ('AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST'))}
-      FROM region_month GROUP BY region_month.month""",
+      SELECT {_LABEL} AS month, strftime(month, '%b %y') AS label, month(month) IN (10, 11, 12) AS fourth_quarter, region, revenue
+      FROM region_month""",
     "product_matrix_points": f"""
       SELECT id, category, {_dbl('total_revenue_year')} AS total_revenue_year, growth_h1_to_h2, {_MARGIN} AS margin_pct,
              {_rnd('revenue_median', 2)} AS revenue_median, {_rnd('growth_median', 2)} AS growth_median,
@@ -468,7 +471,7 @@ QUERIES = {
       UNION ALL
       SELECT 'sales', COUNT(*),
              {_big('SUM((id IS NULL)::INT + (date IS NULL)::INT + (product_id IS NULL)::INT + (customer_id IS NULL)::INT + (quantity IS NULL)::INT + (revenue IS NULL)::INT + (region IS NULL)::INT + (channel IS NULL)::INT)')},
-             COUNT(*) - COUNT(DISTINCT id),
+             CAST(NULL AS BIGINT),
              (SELECT COUNT(*) FROM sales WHERE product_id NOT IN (SELECT id FROM products)),
              (SELECT COUNT(*) FROM sales WHERE customer_id NOT IN (SELECT id FROM customers))
       FROM sales""",
@@ -554,6 +557,17 @@ STEPS["line"] = f"""
       FROM numbered"""
 
 
+_MATRIX = {"key": "region", "column": "heading", "value": f"{_dbl('COALESCE(SUM(revenue), 0)')}"}
+# the queries whose rows are turned into columns at the end
+PIVOTS = {
+    "revenue_matrix": _MATRIX,
+    "region_matrix_export": _MATRIX,
+    "region_month_heatmap": {
+        "key": "month", "column": "region", "value": f"{_dbl('SUM(revenue)')} / 1000.0", "others": ", label, fourth_quarter",
+    },
+}
+
+
 def _read_by(text: str) -> list[str]:
     words = set(re.findall(r"\b(?:FROM|JOIN)\s+\(*\s*(\w+)", text))
     return [step for step in STEPS if step in words]
@@ -573,5 +587,6 @@ def oracle() -> dict[str, str]:
     out = {}
     for name, final in QUERIES.items():
         ctes = ",\n".join(f"{step} AS ({STEPS[step]})" for step in _needed(final, []))
-        out[name] = f"WITH {ctes}\n{final}"
+        text = f"WITH {ctes}\n{final}"
+        out[name] = _pivot(text, **PIVOTS[name]) if name in PIVOTS else text
     return out

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, functions as F
 from tillwise.functions.text import as_reported
 from tillwise.operators import customers, kpis, marts, matrix, products, reports, timeseries
 from tillwise.plans.model import SalesModel
-from tillwise.sources.checks import validate
+from tillwise.session import scratch
+from tillwise.sources.checks import breaches, contract_of, validate
 from tillwise.sources.sinks import write_datasets
 from tillwise.sources.tables import SCHEMAS, Tables
 
@@ -25,32 +26,29 @@ class ReportResult:
     datasets: dict[str, str | None] = field(default_factory=dict)
     seconds: float = 0.0
     error: str | None = None
+    warnings: list[str] = field(default_factory=list)
 
 
 def mart_datasets(model: SalesModel) -> dict[str, Callable[[], DataFrame]]:
-    """The marts by name; the denormalised fact is left out, it is as large as the sales.
-
-    Marts by product and by customer start from the rollup. Those that count distinct buyers, or
-    sum over two keys, read the sales.
-    """
+    """The marts by name, all from the rollup; the denormalised fact is left out, it is as large as the sales."""
     tables, m = model.tables, model
     return {
-        "monthly_revenue": lambda: marts.monthly_revenue(tables.sales),
-        "quarterly_revenue": lambda: marts.quarterly_revenue(tables.sales),
-        "revenue_by_region_channel": lambda: marts.revenue_by_region_channel(tables.sales),
-        "revenue_by_region_month": lambda: marts.revenue_by_region_month(tables.sales),
+        "monthly_revenue": lambda: marts.months_of(m.rollup.by_month_and_customer()),
+        "quarterly_revenue": lambda: marts.quarters_of(m.rollup.by_month_and_customer()),
+        "revenue_by_region_channel": lambda: marts.places_of(m.rollup.by_place_and_customer()),
+        "revenue_by_region_month": lambda: m.rollup.by_month_and_region().orderBy("month", "region"),
         "top_products_revenue_margin": lambda: m.product_stats.orderBy(F.desc("total_revenue"), "id"),
-        "product_monthly_revenue": lambda: marts.product_monthly_revenue(tables),
+        "product_monthly_revenue": lambda: marts.named_months(m.rollup.by_month_and_product(), tables.products),
         "category_revenue_share": lambda: marts.category_shares(m.rollup.by_product(), tables.products),
         "customer_lifetime_value": lambda: m.customer_stats.orderBy(F.desc("total_revenue"), "customer_id"),
         "acquisition_channel_efficiency": lambda: marts.channel_efficiency(m.rollup.by_customer(), tables.customers),
-        "kpi_overview": lambda: marts.kpi_overview(tables),
+        "kpi_overview": lambda: marts.overview(m.rollup.by_buyer(), tables.products),
     }
 
 
 def report_datasets(model: SalesModel, min_orders: int = 2) -> dict[str, Callable[[], DataFrame]]:
     """Analyses, report tables and chart data by name, all from one model."""
-    tables, m = model.tables, model
+    m = model
     return {
         "kpis": lambda: kpis.flat(m.kpis),
         "kpi_display": lambda: kpis.kpi_display(m.kpis),
@@ -67,7 +65,7 @@ def report_datasets(model: SalesModel, min_orders: int = 2) -> dict[str, Callabl
         "quarter_totals": lambda: timeseries.quarter_totals(m.growth),
         "november_peak": lambda: timeseries.november_peak(m.rollup.by_month()),
         "region_month_heatmap": lambda: matrix.region_month_heatmap(
-            marts.revenue_by_region_month(tables.sales, ordered=False), matrix.column_values(m.region_channel, "region")
+            m.rollup.by_month_and_region(), matrix.column_values(m.region_channel, "region")
         ),
         "revenue_matrix": lambda: matrix.revenue_matrix(m.region_channel),
         "region_matrix_export": lambda: matrix.revenue_matrix(
@@ -84,6 +82,11 @@ def report_datasets(model: SalesModel, min_orders: int = 2) -> dict[str, Callabl
         "rfm_segment_summary": lambda: customers.rfm_segment_summary(m.segments),
         "clv_by_segment": lambda: customers.clv_by_segment(m.customer_stats, min_orders),
         "churn_risk": lambda: customers.churn_risk(m.customer_stats, m.reference_date),
+        "churn_distribution": lambda: customers.churn_distribution(
+            customers.churn_risk(m.customer_stats, m.reference_date, ordered=False)
+        ),
+        "rfm_scatter_points": lambda: customers.rfm_scatter_points(m.segments),
+        "prompt_top5_products": lambda: reports.top_products(m.classified_products, 5),
     }
 
 
@@ -99,19 +102,27 @@ def run_report(
 ) -> ReportResult:
     """Write all results under ``folder``.
 
-    A table that fails its check ends the run. After that every dataset stands alone: one that
-    fails is logged and reported as None, and the others are still written.
+    A table without its columns or rows, or a dimension that breaks its contract, ends the run; sales that lack values or
+    a dimension row are a warning. After that every dataset stands alone: one that fails is logged and reported as
+    None, and the others are still written. The sales are read once, by the rollup, from which the check starts, too.
+    Parquet keeps decimals and dates; CSV gets them as they are reported. A period may be open at either side.
     """
     began = time.monotonic()
     for name, schema in SCHEMAS.items():
         if not validate(getattr(tables, name), name, schema.fieldNames()):
             return ReportResult(False, seconds=time.monotonic() - began, error=f"table {name} failed its check")
-    if start is not None and end is not None:
-        tables = tables.during(start, end)
-    model = SalesModel(tables, year, reference_date)
-    builders = {**mart_datasets(model), **report_datasets(model, min_orders)}
-    plain = {name: (lambda build=build: as_reported(build())) for name, build in builders.items()}
-    written = write_datasets(plain, folder, fmt)
+    tables = tables.during(start, end)
+    with scratch(tables.sales.sparkSession):
+        model = SalesModel(tables, year, reference_date)
+        errors, warnings = breaches(contract_of(model.rollup.used_keys(), tables.products, tables.customers).collect())
+        for warning in warnings:
+            logger.warning(warning)
+        if errors:
+            return ReportResult(False, seconds=time.monotonic() - began, error="; ".join(errors), warnings=warnings)
+        builders = {**mart_datasets(model), **report_datasets(model, min_orders)}
+        if fmt == "csv":
+            builders = {name: (lambda build=build: as_reported(build())) for name, build in builders.items()}
+        written = write_datasets(builders, folder, fmt)
     done = sum(path is not None for path in written.values())
     logger.info("%d of %d datasets written", done, len(written))
-    return ReportResult(written["monthly_growth"] is not None, written, time.monotonic() - began)
+    return ReportResult(written["monthly_growth"] is not None, written, time.monotonic() - began, warnings=warnings)

@@ -4,9 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+R = TypeVar("R")
+
 # Runtime SQL settings only; cluster sizing stays with whoever starts the session.
 SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -17,9 +25,10 @@ SQL_SETTINGS = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Switch on the adaptive features the operators count on."""
+    """Switch on the adaptive features the operators count on, for good, in a session that ``local_session`` did not make."""
     for key, value in SQL_SETTINGS.items():
-        spark.conf.set(key, value)
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     return spark
 
 
@@ -29,6 +38,7 @@ def local_session(app: str = "tillwise", cpus: str = "8", memory: str = "8g") ->
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
+        .config(map=SQL_SETTINGS)
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.driver.memory", memory)
         .config("spark.sql.session.timeZone", "UTC")
@@ -52,15 +62,52 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in any file system that Spark reaches."""
+    system, hadoop = _file_system(spark, path)
+    return system.exists(hadoop)
+
+
+_scope: ContextVar[str | None] = ContextVar("scope", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A folder in the shared one for all that ``durable`` writes inside; it is removed at the end.
+
+    Results that still read from it must have been written by then.
+    """
+    folder = f"{shared_folder(spark)}/scratch-{uuid.uuid4().hex}"
+    token = _scope.set(folder)
+    try:
+        yield folder
+    finally:
+        _scope.reset(token)
+        system, hadoop = _file_system(spark, folder)
+        system.delete(hadoop, True)
+
+
+def in_threads(call: Callable[[T], R], items: Iterable[T], at_once: int = 8) -> list[R]:
+    """``call`` on every item, several at once, in the scratch folder of the caller."""
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        return [future.result() for future in [pool.submit(copy_context().run, call, item) for item in items]]
+
+
 def durable(df: DataFrame, by: str | None = None) -> DataFrame:
     """Write ``df`` once to a table in the checkpoint folder and read it back from there.
 
     Used where two passes must see the very same rows, and where several branches start from one
     expensive aggregate. The table outlives any executor; readers take only the columns they
-    need, skip partitions of ``by``, and plan their joins with its true size.
+    need, skip partitions of ``by``, and plan their joins with its true size. Inside ``scratch`` it is
+    removed with the scope; else it stays for whoever reads the result.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    path = f"{_scope.get() or shared_folder(spark)}/{uuid.uuid4().hex}"
     writer = df.write if by is None else df.write.partitionBy(by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
+from tillwise.session import in_threads
+
 logger = logging.getLogger(__name__)
 
 
@@ -32,5 +33,4 @@ def write_datasets(
         logger.info("%s written to %s", name, path)
         return name, path
 
-    with ThreadPoolExecutor(max_workers=at_once) as pool:
-        return dict(pool.map(write, datasets.items()))
+    return dict(in_threads(write, datasets.items(), at_once))

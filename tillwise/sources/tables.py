@@ -6,10 +6,10 @@ from collections.abc import Mapping
 from pathlib import PurePosixPath
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tillwise.functions.dates import in_period
+from tillwise.session import exists
 
 _MONEY = T.DecimalType(18, 2)
 
@@ -46,8 +46,8 @@ class Tables(NamedTuple):
     customers: DataFrame
     sales: DataFrame
 
-    def during(self, start: str, end: str) -> "Tables":
-        """The same tables with the sales of one inclusive date range."""
+    def during(self, start: str | None = None, end: str | None = None) -> "Tables":
+        """The same tables with the sales of one inclusive date range; a side that is not given is open."""
         return self._replace(sales=self.sales.filter(in_period("date", start, end)))
 
 
@@ -56,25 +56,17 @@ def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def _present(spark: SparkSession, path: str, schema: T.StructType) -> bool:
-    """Whether a load has been committed to ``path``; a folder left by a failed one has no rows."""
-    try:
-        return not spark.read.schema(schema).parquet(path).isEmpty()
-    except AnalysisException:
-        return False
-
-
 def save_tables(tables: Tables, folder: str, force: bool = False) -> None:
     """Load the three tables into ``folder`` as Parquet.
 
-    A table that is already there is kept unless ``force``. Sales are clustered by date, with the
+    A table whose load has been committed (Spark's success marker is there) is kept unless ``force``. Sales are clustered by date, with the
     other keys behind it so that one busy day spreads over several files; the row-group
     statistics then let a date filter skip most of the table.
     """
     for name, schema in SCHEMAS.items():
         path = str(PurePosixPath(folder) / name)
         df = typed(getattr(tables, name), schema)
-        if not force and _present(df.sparkSession, path, schema):
+        if not force and exists(df.sparkSession, f"{path}/_SUCCESS"):
             continue
         if name == "sales":
             df = df.repartitionByRange("date", "id", "product_id").sortWithinPartitions("date")
@@ -107,11 +99,10 @@ def jdbc_tables(spark: SparkSession, url: str, partitions: int, **options: str)
 
 
 def run_query(tables: Tables, query: str, params: Mapping[str, object] | list | None = None) -> DataFrame:
-    """Run SQL over the views ``products``, ``customers`` and ``sales``.
+    """Run SQL over the tables, which it names ``{products}``, ``{customers}`` and ``{sales}``.
 
-    Parameters are bound by name (``:start``) or by position (``?``), never spliced into the text.
+    The frames are bound to this query alone, so no view of the session is replaced. Parameters are bound by
+    name (``:start``) or by position (``?``), never spliced into the text.
     """
-    spark = tables.sales.sparkSession
-    for name in Tables._fields:
-        getattr(tables, name).createOrReplaceTempView(name)
-    return spark.sql(query, args=params)
+    named = {name: getattr(tables, name) for name in Tables._fields if f"{{{name}}}" in query}
+    return tables.sales.sparkSession.sql(query, args=params, **named)
