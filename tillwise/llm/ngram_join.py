@@ -64,14 +64,14 @@ def _runs(total: int, counts: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 def _count_slots(size: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, waiting = np.zeros(SLOTS, np.int64), [np.zeros(0, np.int64)]
+        counts, waiting = np.zeros(SLOTS, np.int32), [np.zeros(0, np.int64)]
         for _, texts in slices(rows_of(batches)):
             _, values = shingles(Words.of(texts), size)
             waiting.append((values & np.uint64(SLOTS - 1)).astype(np.int64))
             if sum(map(len, waiting)) > SLOTS // 2:
-                counts += np.bincount(np.concatenate(waiting), minlength=SLOTS)
+                counts += np.bincount(np.concatenate(waiting), minlength=SLOTS).astype(np.int32)
                 waiting = waiting[:1]
-        counts += np.bincount(np.concatenate(waiting), minlength=SLOTS)
+        counts += np.bincount(np.concatenate(waiting), minlength=SLOTS).astype(np.int32)
         kept = np.minimum(counts, 255).astype(np.uint8)
         task = TaskContext.get().partitionId()
         for chunk in range(SLOTS // CHUNK):

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 # ASCII white space and the lower case of A-Z
 IS_SPACE = np.zeros(256, np.uint8)
