@@ -358,8 +358,10 @@ def linked_classes(docs: DataFrame, like: Similarity = Similarity(), doc_id: str
     of_group = rooted.groupBy("gid").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     # the group's shingles just before this one: a pair that has one of them in common was formed there
     just_before = Window.partitionBy("gid").orderBy("pos").rowsBetween(-4, -1)
+    # the parts of a list that is spread over tasks are seen from one head
+    one_head = listed.join(first.withColumnRenamed("x", "whole_head"), "token", "left").withColumn("head", F.coalesce("whole_head", "head"))
     marked = durable(
-        listed.join(of_group, "gid").withColumn("earlier", F.collect_list("token").over(just_before))
+        one_head.join(of_group, "gid").withColumn("earlier", F.collect_list("token").over(just_before))
         .join(of_group.toDF("head", "head_low", "head_high"), "head")
         .withColumn("apart", F.expr("NOT (low = high AND head_low = head_high AND low = head_low)"))
         .select("token", "gid", "n", "pos", "low", "high", "earlier", "apart")

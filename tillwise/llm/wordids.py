@@ -9,6 +9,7 @@ the result against the library's own encoding of the whole text.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
@@ -19,46 +20,58 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs one worke
 
 CACHE_WORDS = 1 << 20  # words kept per worker; beyond it the table starts anew
 SLICE_BYTES = 1 << 20  # text split into words at a time
-_TAIL = b".,!*$&%#|;:?"
+# A word of Latin letters and what the tokenizer separates from it: letters and punctuation never share a pre-token.
+_PLAIN = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc5[\x92\x93])+)([.,!*$&%#|;:?]*)")
 
 
 class WordEncoder:
-    """Ids of UTF-8 texts by a tokenizer file, ``add_special_tokens=False``."""
+    """Ids of UTF-8 texts by a tokenizer file, ``add_special_tokens=False``.
+
+    Plain words of letters are one pre-token in composed form, so they go to the tokenizer's model at once, lower-cased and with
+    their bytes spelt as its byte-level alphabet does; everything else is encoded by the whole tokenizer.
+    """
 
     def __init__(self, path: str, limit: int = CACHE_WORDS):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._model = self._tokenizer.model
         self.size = self._tokenizer.get_vocab_size()
+        spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = [chr(c) for c in (*range(0xDF, 0xF7), *range(0xF8, 0x100), 0x153)]
+        self._spelling = {ord(letter): spell.pre_tokenize_str(letter)[0][0] for letter in letters}
         self._limit = limit
         self._forget()
 
     def _forget(self) -> None:
         self._rows: dict[bytes, int] = {}
-        self._parts: dict[bytes, list[int]] = {}
+        self._parts: dict[bytes, list[int]] = {b"": []}
         self._flat = np.zeros(1 << 12, np.uint32)
         self._ends = np.zeros(1 << 10, np.int64)  # where a row's ids end in _flat; row 0 is empty
         self._used = self._count = 0
 
-    @staticmethod
-    def _split(word: bytes) -> tuple[bytes, bytes]:
-        """A word as a core and a run of punctuation that the tokenizer separates from it, as far as that is sure."""
-        if b"<|" in word:  # may be a special token
-            return word, b""
-        word = word.lower()
-        core = word.rstrip(_TAIL)
-        if core and core != word:
-            last = core[-1:]
-            if last.isalnum() or (last >= b"\x80" and core.decode("utf-8", "replace")[-1:] in _LATIN):
-                return core, word[len(core) :]
-        return word, b""
+    def _whole(self, word: bytes) -> list[int]:
+        return self._tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+
+    def _ids(self, word: bytes) -> list[int]:
+        plain = _PLAIN.fullmatch(word)
+        if not plain:
+            return self._whole(word)
+        parts = self._parts
+        core, tail = plain.group(1).lower(), plain.group(2)
+        ids = parts.get(core)
+        if ids is None:
+            spelt = core.decode() if core.isascii() else core.decode().lower().translate(self._spelling)
+            ids = parts[core] = [token.id for token in self._model.tokenize(spelt)]
+        if not tail:
+            return ids
+        after = parts.get(tail)
+        if after is None:
+            after = parts[tail] = self._whole(tail)
+        return ids + after
 
     def _learn(self, words: list[bytes]) -> None:
-        split = [self._split(word) for word in words]
-        new = [part for part in dict.fromkeys(chain.from_iterable(split)) if part not in self._parts]
-        encoded = self._tokenizer.encode_batch_fast([part.decode("utf-8", "replace") for part in new], add_special_tokens=False)
-        self._parts.update(zip(new, (e.ids for e in encoded)))
-        ids = [self._parts[core] + self._parts[tail] if tail else self._parts[core] for core, tail in split]
+        ids = list(map(self._ids, words))
         added = np.fromiter(chain.from_iterable(ids), np.uint32)
         if self._used + len(added) > len(self._flat):
             self._flat = np.concatenate([self._flat[: self._used], np.zeros(max(len(added), self._used) * 2, np.uint32)])
@@ -72,13 +85,16 @@ class WordEncoder:
         self._count += len(words)
 
     def _look_up(self, words: list[bytes]) -> np.ndarray:
-        rows = list(map(self._rows.get, words))
-        if None in rows:
+        """The row of each word; those not met before are learnt."""
+        found = np.array(list(map(self._rows.get, words)), float)  # a missing row becomes nan
+        missing = np.flatnonzero(np.isnan(found)).tolist()
+        if missing:
             if len(self._rows) > self._limit or len(self._parts) > self._limit:
                 self._forget()
-            self._learn(list({word for word in words if word not in self._rows}))
-            rows = list(map(self._rows.__getitem__, words))
-        return np.array(rows, np.int64)
+                missing = range(len(words))
+            self._learn(list(dict.fromkeys([words[i] for i in missing])))
+            found[missing] = [self._rows[words[i]] for i in missing]
+        return found.astype(np.int64)
 
     def word_counts(self, words: list[bytes]) -> np.ndarray:
         """The number of ids of each word (bytes without ASCII white space)."""
@@ -114,10 +130,6 @@ class WordEncoder:
             yield keys, *self.encode(texts)
 
 
-# letters beyond ASCII after which a word is split: Latin-1 Supplement and Latin Extended-A
-_LATIN = frozenset(c for c in map(chr, range(0xC0, 0x180)) if c.isalpha())
-
-
 @lru_cache(maxsize=2)
 def encoder(path: str) -> WordEncoder:
     """This worker's encoder of a tokenizer file."""
