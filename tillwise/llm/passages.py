@@ -3,7 +3,7 @@
 *Token scores.* How often a token occurs in toxic and in clean labelled documents gives its log odds with a Dirichlet prior
 and their z score. Tokens are a word (lower case, without punctuation around it) and its first letters, which catch
 inflected forms; what a document repeats counts by its logarithm, and equal texts count once. A word scores by its most
-certain token, if that is significantly toxic among all tokens; any other word scores -DRIFT, so a text of ordinary words
+certain token, if that is significantly and much more frequent in toxic ones; any other word scores -DRIFT, so a text of ordinary words
 runs downhill.
 *Segments.* Ruzzo and Tompa's scan finds, in time linear in the number of words, every maximal-scoring segment: all
 disjoint passages that cannot be made better by adding or leaving out words.
@@ -37,6 +37,7 @@ from tillwise.session import durable, tune
 
 FIT_DOCUMENTS = 20_000  # labelled documents that scores and calibration are fitted on, at most
 DRIFT = 0.8
+ENRICHED = 2.0  # log odds from which a significant token counts: seven times as frequent in toxic documents
 PRIOR = 5.0  # occurrences that every token is given, shared by the sizes of the classes
 PREFIXES = (4, 5, 6, 7)
 CACHE_WORDS = 1 << 20
@@ -121,8 +122,14 @@ class _Scanner:
         cuts = np.searchsorted(hits, ends)
         out, begin, start = [], 0, 0
         for cut, end in zip(cuts.tolist(), ends.tolist()):
-            own = hits[begin:cut]
-            out.append((end - start, maximal_segments((own - start).tolist(), value[own].tolist()) if cut > begin else []))
+            # as in the counts, what a document repeats counts at its 1st, 2nd, 4th, ... occurrence
+            times: Counter = Counter()
+            own = []
+            for hit in hits[begin:cut].tolist():
+                times[words[hit]] += 1
+                if not times[words[hit]] & (times[words[hit]] - 1):
+                    own.append(hit)
+            out.append((end - start, maximal_segments([hit - start for hit in own], value[own].tolist()) if own else []))
             begin, start = cut, end
         return out
 
@@ -233,7 +240,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows:
     sample = durable(labelled_sample(docs, labels, label, rows, doc_id, text).dropDuplicates(["text"]))
     counted = sample.filter(f"NOT {CALIBRATION}").mapInArrow(_count, "token string, toxic long, clean long")
     counts = durable(counted.groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
-    found = log_odds(counts).filter((F.col("z") >= certain(counts.count())) & (F.col("odds") > DRIFT))
+    found = log_odds(counts).filter((F.col("z") >= certain(counts.count())) & (F.col("odds") >= ENRICHED))
     model = Toxicity({row.token: (row.odds, row.z) for row in found.collect()})  # some of the sample's words
     if not model.scores:
         return model
