@@ -56,6 +56,12 @@ class Lines:
     count: np.ndarray  # lines per text
     ranges: np.ndarray  # lines x STATISTICS, numbers below WIDTH
 
+    @staticmethod
+    def of_many(texts: list[bytes]) -> Lines:
+        """The same, in as little memory as a slice of the texts needs."""
+        parts = [Lines.of(some) for _, some in slices(zip(range(len(texts)), texts))]
+        return Lines(*(np.concatenate([getattr(part, name) for part in parts]) for name in ("size", "count", "ranges")))
+
     @staticmethod
     def of(texts: list[bytes]) -> Lines:
         words = Words.of(texts)
@@ -167,7 +173,7 @@ def fit(texts: list[bytes], labels: list[int], rounds: int = ROUNDS, decay: floa
     model = Model.blank()
     if not texts:
         return model
-    lines = Lines.of(texts)
+    lines = Lines.of_many(texts)
     truth = np.repeat(np.array(labels, float), lines.count)
     pairs = [_neighbours(lines, offset) for offset in OFFSETS]
     _, before = _neighbours(lines, -1)
