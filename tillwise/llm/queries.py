@@ -64,7 +64,7 @@ def op8_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_edited_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Token counts of every document before and after its private data is taken out."""
-    return edits.edited_counts(_table(spark, folder, "documents"), edits.private_data(), TOKENIZER)
+    return edits.edited_counts(_table(spark, folder, "documents"), edits.redactions, TOKENIZER)
 
 
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
@@ -137,4 +137,30 @@ ORACLES: dict[str, str] = {
             FROM normal)
         SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(norm) AS text_sha256
         FROM grouped""",
+    "op8_ngram_join": r"""
+        WITH RECURSIVE worded AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+            FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, unnest(
+                CASE WHEN len(words) = 0 THEN []
+                     WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+                     ELSE [array_to_string(words[i:i + 3], ' ') FOR i IN range(1, len(words) - 2)] END) AS shingle
+            FROM worded),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        shared AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+            FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id != b.doc_id
+            GROUP BY 1, 2),
+        links AS (
+            SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+            WHERE 100 * common >= 85 * (p.n + q.n - common)),
+        reached AS (
+            SELECT doc_id, doc_id AS other FROM documents
+            UNION
+            SELECT r.doc_id, l.y FROM reached r JOIN links l ON l.x = r.other),
+        least AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+        SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles, c.component_id
+        FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN least c USING (doc_id)""",
 }
