@@ -175,11 +175,10 @@ def test_edited_counts(spark):
 
 def test_private_data_is_taken_out(spark):
     text = "Mail a.b@c.example.com or +1 (499) 555-6503; token = \"abc\" card 4349 0004 9098 6231."
-    docs = documents(spark, [(1, text, "en", "a"), (2, None, None, None)])
-    plan = docs.select("doc_id", edits.private_data().alias("edits")).collect()
     out = text.encode()
-    for edit in plan[0].edits:
-        out = out[: edit.place] + bytes(edit.added) + out[edit.place + edit.removed :]
-    assert out.decode() == "Mail [email] or [phone]; [secret] card [number]." and plan[1].edits == []
-    got = edits.edited_counts(docs, edits.private_data(), PATH).filter("doc_id = 1").first()
-    assert (got.n_edits, got.n_tokens_edited) == (4, len(library(out.decode())))
+    for place, removed, added in edits.redactions(out):
+        out = out[:place] + added + out[place + removed :]
+    assert out.decode() == "Mail [email] or [phone]; [secret] card [number]." and edits.redactions(b"") == []
+    docs = documents(spark, [(1, text, "en", "a"), (2, None, None, None)])
+    got = {r.doc_id: r for r in edits.edited_counts(docs, edits.redactions, PATH).collect()}
+    assert (got[1].n_edits, got[1].n_tokens_edited) == (4, len(library(out.decode()))) and got[2].n_tokens == 0

@@ -14,7 +14,7 @@ are documents of their own. An empty table gives an empty result.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -122,36 +122,48 @@ class CountTree:
                 self._update(block)
 
 
-def _counted(path: str):
+def _counted(path: str, find: Callable[[bytes], list[tuple[int, int, bytes]]] | None):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
         for batch in batches:
+            given = batch.column("edits") if find is None else [None] * batch.num_rows
             rows = []
-            for text, edits in zip(batch.column("text").to_pylist(), batch.column("edits").to_pylist()):
-                edits = [edit for edit in edits or () if edit is not None and None not in edit.values()]
-                if not edits:  # no tree to keep up to date
+            for value, many in zip(batch.column("text"), given):
+                text = value.as_py()
+                if find is None:
+                    some = [tuple(edit.values()) for edit in many.as_py() or () if edit is not None and None not in edit.values()]
+                else:
+                    some = find(text)
+                if not some:  # no tree to keep up to date
                     count = int(encode.word_counts(text.split()).sum())
                     rows.append((count, count, 0, 0))
                     continue
                 tree = CountTree(text, encode)
                 before = tree.tokens
-                for edit in edits:
-                    tree.edit(edit["place"], edit["removed"], edit["added"])
-                rows.append((before, tree.tokens, len(edits), tree.encoded))
+                for edit in some:
+                    tree.edit(*edit)
+                rows.append((before, tree.tokens, len(some), tree.encoded))
             columns = [pa.array(column, pa.int64()) for column in zip(*rows)] or [pa.array([], pa.int64())] * 4
             yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], ["doc_id", "n_tokens", "n_tokens_edited", "n_edits", "n_encoded_again"])
 
     return run
 
 
-def edited_counts(docs: DataFrame, edits: Column, tokenizer: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def edited_counts(
+    docs: DataFrame, edits: Column | Callable[[bytes], list[tuple[int, int, bytes]]], tokenizer: str, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
     """doc_id, n_tokens, n_tokens_edited, n_edits, n_encoded_again (leaves) of every document.
 
-    ``edits`` is a column of type ``EDITS``; places and lengths are in bytes of the UTF-8 text.
+    ``edits`` is a column of type ``EDITS``, or a function that finds the edits (place, removed, added) of a text; places and
+    lengths are in bytes of the UTF-8 text.
     """
     tune(docs.sparkSession)
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.encode(whole(text), "UTF-8").alias("text"), edits.alias("edits"))
-    return rows.mapInArrow(_counted(tokenizer), "doc_id long, n_tokens long, n_tokens_edited long, n_edits long, n_encoded_again long")
+    rows = docs.select(
+        F.col(doc_id).cast("long").alias("id"), F.encode(whole(text), "UTF-8").alias("text"),
+        *([] if callable(edits) and not isinstance(edits, Column) else [edits.alias("edits")]),
+    )
+    find = None if "edits" in rows.columns else edits
+    return rows.mapInArrow(_counted(tokenizer, find), "doc_id long, n_tokens long, n_tokens_edited long, n_edits long, n_encoded_again long")
 
 
 # What a text must not give away, and what stands in its place.
@@ -171,15 +183,3 @@ def redactions(text: bytes) -> list[tuple[int, int, bytes]]:
         out.append((match.start() + shift, match.end() - match.start(), added))
         shift += len(added) - (match.end() - match.start())
     return out
-
-
-def _redact(texts: pa.Array) -> pa.Array:
-    kind = pa.list_(pa.struct([("place", pa.int64()), ("removed", pa.int64()), ("added", pa.binary())]))
-    rows = ([dict(zip(("place", "removed", "added"), edit)) for edit in redactions(text)] for text in texts.to_pylist())
-    return pa.array(rows, kind)
-
-
-def private_data(text: str = "text") -> Column:
-    """The edits, as a column, that take private data out of a text."""
-    redact = F.arrow_udf(_redact, EDITS) if hasattr(F, "arrow_udf") else F.udf(lambda t: redactions(bytes(t)), EDITS)
-    return redact(F.encode(whole(text), "UTF-8"))

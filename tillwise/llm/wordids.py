@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
@@ -45,15 +46,15 @@ class WordEncoder:
 
     def _forget(self) -> None:
         self._rows: dict[bytes, int] = {}
-        self._parts: dict[bytes, list[int]] = {b"": []}
+        self._parts: dict[bytes, bytes] = {}  # ids of cores and tails, packed: four bytes each
         self._flat = np.zeros(1 << 12, np.uint32)
         self._ends = np.zeros(1 << 10, np.int64)  # where a row's ids end in _flat; row 0 is empty
         self._used = self._count = 0
 
-    def _whole(self, word: bytes) -> list[int]:
-        return self._tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+    def _whole(self, word: bytes) -> bytes:
+        return array("I", self._tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids).tobytes()
 
-    def _ids(self, word: bytes) -> list[int]:
+    def _ids(self, word: bytes) -> bytes:
         plain = _PLAIN.fullmatch(word)
         if not plain:
             return self._whole(word)
@@ -62,7 +63,7 @@ class WordEncoder:
         ids = parts.get(core)
         if ids is None:
             spelt = core.decode() if core.isascii() else core.decode().lower().translate(self._spelling)
-            ids = parts[core] = [token.id for token in self._model.tokenize(spelt)]
+            ids = parts[core] = array("I", [token.id for token in self._model.tokenize(spelt)]).tobytes()
         if not tail:
             return ids
         after = parts.get(tail)
@@ -72,13 +73,13 @@ class WordEncoder:
 
     def _learn(self, words: list[bytes]) -> None:
         ids = list(map(self._ids, words))
-        added = np.fromiter(chain.from_iterable(ids), np.uint32)
+        added = np.frombuffer(b"".join(ids), np.uint32)
         if self._used + len(added) > len(self._flat):
             self._flat = np.concatenate([self._flat[: self._used], np.zeros(max(len(added), self._used) * 2, np.uint32)])
         if self._count + len(words) + 1 > len(self._ends):
             self._ends = np.concatenate([self._ends[: self._count + 1], np.zeros(2 * (self._count + len(words)), np.int64)])
         self._flat[self._used : self._used + len(added)] = added
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         self._ends[self._count + 1 : self._count + 1 + len(words)] = self._used + np.cumsum(lengths)
         self._rows.update(zip(words, range(self._count + 1, self._count + 1 + len(words))))
         self._used += len(added)
