@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.column import Column
 
 ARCHIVE = "tillwise_package.zip"
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
 
 # ASCII white space, as the contracts define it
 SPACE = r"[\x20\x09-\x0D]"
@@ -19,8 +20,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 def ship(spark: SparkSession) -> SparkSession:
     """Give the package to the executors once per application, so that their workers can import it.
 
-    Spark serves the archive itself; nothing has to be installed or shared.
+    Spark serves the archive itself; nothing has to be installed or shared. Texts go to the workers in batches of a few MB,
+    a setting of the session from then on: Spark's own limit holds a batch several times over in every task.
     """
+    if spark.conf.get(BATCH, None) != BATCH_BYTES:
+        spark.conf.set(BATCH, BATCH_BYTES)
     context = spark.sparkContext
     if not any(path.endswith(ARCHIVE) for path in context.listFiles):
         top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
