@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tillwise.llm.shipping import utf8
+from tillwise.llm.shipping import released, utf8
 from tillwise.llm.wordids import rows_of
 from tillwise.llm.words import Words, slices
 from tillwise.session import tune
@@ -253,7 +253,7 @@ def _score(model):
 def scored(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, score of every whole text."""
     spark = tune(docs.sparkSession)
-    return utf8(docs, doc_id, text).mapInArrow(_score(spark.sparkContext.broadcast(model)), "doc_id long, score double")
+    return utf8(docs, doc_id, text).mapInArrow(released(_score(spark.sparkContext.broadcast(model))), "doc_id long, score double")
 
 
 def _keep(model, threshold: float, text: str):
@@ -271,4 +271,4 @@ def accepted(docs: DataFrame, model: Model, threshold: float = 0.7, text: str =
     """The documents, all columns, whose quality reaches the threshold."""
     spark = tune(docs.sparkSession)
     marked = docs.withColumn("_utf8", F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8"))
-    return marked.mapInArrow(_keep(spark.sparkContext.broadcast(model), threshold, text), docs.schema)
+    return marked.mapInArrow(released(_keep(spark.sparkContext.broadcast(model), threshold, text)), docs.schema)

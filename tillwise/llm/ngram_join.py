@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tillwise.llm.components import components
-from tillwise.llm.shipping import utf8
+from tillwise.llm.shipping import released, utf8
 from tillwise.llm.wordids import rows_of
 from tillwise.llm.words import Words, mixed, shingles, slices
 from tillwise.session import durable, tune
@@ -100,7 +100,7 @@ def slot_counts(texts: DataFrame, size: int) -> np.ndarray:
 
     Tasks' tables are added in two steps, each over about the root of the number of tasks.
     """
-    made = texts.mapInArrow(_count_slots(size), "chunk int, task int, counts binary")
+    made = texts.mapInArrow(released(_count_slots(size)), "chunk int, task int, counts binary")
     width = max(1, math.isqrt(texts.rdd.getNumPartitions()))
     once = made.groupBy("chunk", F.pmod("task", F.lit(width))).applyInArrow(_add_up("<u1"), "chunk int, counts binary")
     twice = once.groupBy("chunk").applyInArrow(_add_up("<u4"), "chunk int, counts binary")
@@ -295,7 +295,7 @@ class _Verifier:
         """The pairs (x, y) of class ids that link."""
         spark, like = pairs.sparkSession, self.like
         x, y = (self.bounds.toDF(side, f"n_{side}", f"overlap_{side}") for side in ("x", "y"))
-        possible = durable(pairs.join(x, "x").join(y, "y").mapInArrow(_bounded(like.percent), "x long, y long").distinct())
+        possible = durable(pairs.join(x, "x").join(y, "y").mapInArrow(released(_bounded(like.percent)), "x long, y long").distinct())
         involved = possible.select(F.col("x").alias("cid")).union(possible.select("y")).distinct()
         needed = durable(involved.join(self.classes.select("cid", "rep"), "cid"))
         # which documents' sets to make: a table of bits, of one size at any input
@@ -305,11 +305,11 @@ class _Verifier:
         for row in bits.toLocalIterator():
             part = np.frombuffer(row.bits, np.uint8)
             marks[(row.bucket - 1) * len(part) : row.bucket * len(part)] = part
-        sets = self.docs.mapInArrow(_sets(like, spark.sparkContext.broadcast(marks)), "cid long, shingles binary")
+        sets = self.docs.mapInArrow(released(_sets(like, spark.sparkContext.broadcast(marks))), "cid long, shingles binary")
         # the bits let some documents more pass, other classes or copies of the same
         made = durable(sets.join(needed.select("cid"), "cid").groupBy("cid").agg(F.first("shingles").alias("shingles")))
         x, y = (made.toDF(side, f"shingles_{side}") for side in ("x", "y"))
-        return durable(possible.join(x, "x").join(y, "y").mapInArrow(_linked(like.percent), "x long, y long").distinct())
+        return durable(possible.join(x, "x").join(y, "y").mapInArrow(released(_linked(like.percent)), "x long, y long").distinct())
 
 
 # --- the join -------------------------------------------------------------------------------------------------------
@@ -322,7 +322,7 @@ def linked_classes(docs: DataFrame, like: Similarity = Similarity(), doc_id: str
     texts = utf8(docs, doc_id, text)
     level, tasks = _common(slot_counts(texts, like.words))
     common, spread = spark.sparkContext.broadcast(level), spark.sparkContext.broadcast(tasks)
-    posted = durable(texts.mapInArrow(_post(like, common, spread), POSTED))
+    posted = durable(texts.mapInArrow(released(_post(like, common, spread)), POSTED))
 
     # one document stands for a class of equal sets, one class for a group of equal prefixes and sizes
     classes = durable(posted.filter("n > 0").groupBy("gid", "cid").agg(F.min("doc_id").alias("rep")).filter("rep IS NOT NULL"))
@@ -332,7 +332,7 @@ def linked_classes(docs: DataFrame, like: Similarity = Similarity(), doc_id: str
         "token", "gid", "n", "pos", "light", F.element_at("salts", F.col("pos") + 1).alias("spread")
     ).withColumn("salt", F.pmod("gid", "spread"))
     listed = durable(
-        postings.repartition("token", "salt").sortWithinPartitions("token", "salt", "light", "gid").mapInArrow(_with_heads, LISTED)
+        postings.repartition("token", "salt").sortWithinPartitions("token", "salt", "light", "gid").mapInArrow(released(_with_heads), LISTED)
     )
 
     members = classes.select("gid", "cid")

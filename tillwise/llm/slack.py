@@ -20,7 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tillwise.llm.shipping import utf8
+from tillwise.llm.shipping import released, utf8
 from tillwise.llm.wordids import encoder, rows_of
 from tillwise.session import durable, tune
 
@@ -52,7 +52,7 @@ def _pieces(path: str, end_id: int, capacity: int):
 
 def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: every document's ids with the end id, cut only beyond the capacity."""
-    return utf8(docs, doc_id, text).mapInArrow(_pieces(tokenizer, end_id, capacity), PIECES)
+    return utf8(docs, doc_id, text).mapInArrow(released(_pieces(tokenizer, end_id, capacity)), PIECES)
 
 
 def fullest(counts: dict[int, int], room: int) -> dict[int, int]:

@@ -19,7 +19,7 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs one worker per core
 
-CACHE_WORDS = 1 << 20  # words kept per worker; beyond it the table starts anew
+CACHE_WORDS = 1 << 19  # words kept per worker; beyond it the table starts anew
 SLICE_BYTES = 1 << 20  # text split into words at a time
 # A word of Latin letters and what the tokenizer separates from it: letters and punctuation never share a pre-token.
 _PLAIN = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc5[\x92\x93])+)([.,!*$&%#|;:?]*)")
