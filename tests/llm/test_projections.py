@@ -56,6 +56,21 @@ def test_recall_of_a_structured_block():
     assert verified < 200 * 6000
 
 
+def test_every_pair_of_blocks_meets(spread, monkeypatch):
+    """Over many partitions, as a large table would be."""
+    monkeypatch.setattr(P, "ROWS", 50)
+    monkeypatch.setattr(P, "QUERIES", 4)
+    rng = np.random.default_rng(8)
+    ids, vectors = np.arange(600), np.round(rng.normal(size=(600, 6)), 3)
+    rows = [(int(i), v.tolist()) for i, v in zip(ids, vectors)]
+    got = {}
+    for r in P.nearest(frame(spread, rows), F.col("id") % 20 == 0, k=10).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    wanted = brute(ids, vectors, ids[ids % 20 == 0], 10)
+    assert set(got) == set(wanted) and all(len(mine) == 10 for mine in got.values())
+    assert sum(len(got[q] & {i for i, _ in wanted[q]}) for q in wanted) >= 0.9 * 10 * len(wanted)
+
+
 def test_copies_tie_by_id_over_blocks(spark, monkeypatch):
     monkeypatch.setattr(P, "ROWS", 16)
     monkeypatch.setattr(P, "QUERIES", 2)

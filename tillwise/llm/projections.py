@@ -168,8 +168,9 @@ def usable(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddi
     )
 
 
-def _dealt(rows: DataFrame, blocks: Column | int, name: str, seed: int) -> DataFrame:
-    return rows.withColumn(name, F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(blocks)))
+def _dealt(rows: DataFrame, blocks: int, name: str, seed: int) -> DataFrame:
+    # an int like the numbers the other side is dealt to: keys of unlike types hash apart
+    return rows.withColumn(name, F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(blocks)).cast("int"))
 
 
 def _search(k: int):
