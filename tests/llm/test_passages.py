@@ -86,3 +86,20 @@ def test_one_word_in_a_long_text_counts_less():
     model = P.Toxicity({"idiot": (6.0, 9.0)}, 1.0, 0.01)
     short, long = (model.evidence([(0, 1, 6.0)], n) for n in (10, 10_000))
     assert short > long > 0 or long == 0
+
+
+def test_every_copy_of_a_passage_is_found(spark):
+    model = P.Toxicity({"idiot": (6.0, 9.0), "trash": (5.0, 9.0), "scum": (5.0, 9.0)}, 1.0, 0.01, 3.0, -4.0)
+    plain = "word " * 50
+    insults = ["You idiot, trash scum!", "you Idiot trash SCUM"] * 3 + ["you idiot trash scum"]
+    repeated = "".join(plain + insult + " " for insult in insults)
+    ends_dense = "".join(plain + word + " " for word in ("idiot", "trash", "scum") * 2) + plain + "idiot trash scum"
+    docs = spark.createDataFrame([(1, repeated), (2, ends_dense), (3, plain + insults[0])], "doc_id long, text string")
+    got = {r.doc_id: r for r in P.toxic_passages(docs, model).collect()}
+    assert [(p.first, p.after) for p in got[1].passages] == [(54 * i + 51, 54 * i + 54) for i in range(7)]
+    assert [(p.first, p.after) for p in got[2].passages][-1] == (356, 359) and got[2].score > 0.5
+    # seven equal passages weigh as 1 + log2(7) in the document
+    (_, segments, copy), = P._Scanner(model).scan([repeated.encode()])
+    assert copy == [1, 2, 3, 4, 5, 6, 7]
+    n = len(repeated.split())
+    assert model.evidence(segments, n, copy) == pytest.approx((1 + math.log2(7)) * model.evidence(segments[:1], n))

@@ -2,14 +2,15 @@
 
 *Token scores.* How often a token occurs in toxic and in clean labelled documents gives its log odds with a Dirichlet prior
 and their z score. Tokens are a word (lower case, without punctuation around it) and its first letters, which catch
-inflected forms; what a document repeats counts by its logarithm, and equal texts count once. A word scores by its most
+inflected forms; in these counts what a document repeats counts by its logarithm, and equal texts count once. A word scores by its most
 certain token, if that is significantly and much more frequent in toxic ones; any other word scores -DRIFT, so a text of ordinary words
 runs downhill.
 *Segments.* Ruzzo and Tompa's scan finds, in time linear in the number of words, every maximal-scoring segment: all
-disjoint passages that cannot be made better by adding or leaving out words.
+disjoint passages that cannot be made better by adding or leaving out words. Every occurrence of a word scores, so each copy of a
+repeated passage is found.
 *Calibration.* The best score in n words of clean text is about extreme-value distributed, P(S >= x) ~ 1 - exp(-K n exp(-lambda x)):
 lambda comes from the token scores in clean documents, K from their best segments. A document's evidence is the sum of
-lambda S - log(K n) over its significant passages; a logistic curve, fitted on labelled documents that gave no counts, turns it into
+lambda S - log(K n) over its significant passages, of which m equal ones (but for case and punctuation) weigh 1 + log2(m); a logistic curve, fitted on labelled documents that gave no counts, turns it into
 the score.
 
 Only a bounded sample of labelled documents is fitted on; all documents are scanned whole. Nulls: a null or empty text has no
@@ -19,6 +20,7 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -46,9 +48,14 @@ CALIBRATION = "pmod(crc32(encode(cast(id AS string), 'UTF-8')), 4) = 1"  # the p
 _AROUND = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~«»“”„‘’¿¡…"
 
 
+def bare(word: bytes) -> str:
+    """A word in lower case without the punctuation around it."""
+    return word.decode("utf-8", "replace").lower().strip(_AROUND)
+
+
 def tokens(word: bytes) -> list[str]:
     """A word without its punctuation, and its beginnings (marked by a hyphen)."""
-    plain = word.decode("utf-8", "replace").lower().strip(_AROUND)
+    plain = bare(word)
     return [plain, *(plain[:k] + "-" for k in PREFIXES if len(plain) >= k)] if plain else []
 
 
@@ -66,10 +73,13 @@ class Toxicity:
         known = [self.scores[t] for t in tokens(word) if t in self.scores]
         return max(known, key=lambda x: x[1])[0] if known else -DRIFT
 
-    def evidence(self, segments: list[tuple[int, int, float]], words: int) -> float:
-        """Sum of the passages' evidence beyond chance; 0 without a significant one."""
+    def evidence(self, segments: list[tuple[int, int, float]], words: int, copy: list[int] | None = None) -> float:
+        """Sum of the passages' evidence beyond chance; 0 without a significant one.
+
+        ``copy`` numbers equal passages from 1 on: m of them weigh 1 + log2(m) together. Without it all are different.
+        """
         chance = math.log(max(self.constant * words, 1e-9))
-        return sum(max(0.0, self.scale * s - chance) for _, _, s in segments)
+        return sum(max(0.0, self.scale * s - chance) * (math.log2(k / (k - 1)) if k > 1 else 1.0) for (_, _, s), k in zip(segments, copy or [1] * len(segments)))
 
     def score(self, evidence: np.ndarray) -> np.ndarray:
         return 0.5 * (1 + np.tanh((self.slope * evidence + self.intercept) / 2))
@@ -99,6 +109,19 @@ def maximal_segments(at: list[int], score: list[float], drift: float = DRIFT) ->
     return [(first, after, high - low) for first, after, low, high in found]
 
 
+def copies(words: list[bytes], segments: list[tuple[int, int, float]]) -> list[int]:
+    """The how-manieth of its kind each segment is: 1 if no segment before has the same bare words."""
+    if len(segments) < 2:
+        return [1] * len(segments)
+    seen: Counter = Counter()
+    out = []
+    for first, after, _ in segments:
+        key = hashlib.blake2b(" ".join(filter(None, map(bare, words[first:after]))).encode(), digest_size=16).digest()
+        seen[key] += 1
+        out.append(seen[key])
+    return out
+
+
 class _Scanner:
     """Finds the positive words of texts, with a bounded table of the words met."""
 
@@ -106,8 +129,8 @@ class _Scanner:
         self.model = model
         self._known: dict[bytes, float] = {}
 
-    def scan(self, texts: list[bytes]) -> list[tuple[int, list[tuple[int, int, float]]]]:
-        """(number of words, maximal segments) of each text."""
+    def scan(self, texts: list[bytes]) -> list[tuple[int, list[tuple[int, int, float]], list[int]]]:
+        """(number of words, maximal segments, which copy of its kind each segment is) of each text."""
         split = [text.split() for text in texts]
         words = list(chain.from_iterable(split))
         values = list(map(self._known.get, words))
@@ -121,21 +144,15 @@ class _Scanner:
         ends = np.cumsum(np.fromiter(map(len, split), np.int64, len(split)))
         cuts = np.searchsorted(hits, ends)
         out, begin, start = [], 0, 0
-        for cut, end in zip(cuts.tolist(), ends.tolist()):
-            # as in the counts, what a document repeats counts at its 1st, 2nd, 4th, ... occurrence
-            times: Counter = Counter()
-            own = []
-            for hit in hits[begin:cut].tolist():
-                times[words[hit]] += 1
-                if not times[words[hit]] & (times[words[hit]] - 1):
-                    own.append(hit)
-            out.append((end - start, maximal_segments([hit - start for hit in own], value[own].tolist()) if own else []))
+        for own, cut, end in zip(split, cuts.tolist(), ends.tolist()):
+            found = maximal_segments((hits[begin:cut] - start).tolist(), value[hits[begin:cut]].tolist())
+            out.append((end - start, found, copies(own, found)))
             begin, start = cut, end
         return out
 
     def gains(self, text: bytes) -> list[float]:
-        """The positive scores of a text's distinct words, which have been scanned."""
-        return [score for score in map(self._known.__getitem__, set(text.split())) if score > 0]
+        """The positive scores of a text's words, which have been scanned."""
+        return [score for score in map(self._known.__getitem__, text.split()) if score > 0]
 
 
 # --- fitting --------------------------------------------------------------------------------------------------------
@@ -185,11 +202,13 @@ def _statistics(model):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(keys, pa.int32()),
-                        pa.array([n for n, _ in found], pa.int64()),
-                        pa.array([[s for _, _, s in segments] for _, segments in found], pa.list_(pa.float64())),
-                        pa.array([scanner.gains(text) for text in texts], pa.list_(pa.float64())),
+                        pa.array([n for n, _, _ in found], pa.int64()),
+                        pa.array([[s for _, _, s in segments] for _, segments, _ in found], pa.list_(pa.float64())),
+                        pa.array([copy for _, _, copy in found], pa.list_(pa.int64())),
+                        # only those of clean documents are asked for
+                        pa.array([[] if key else scanner.gains(text) for key, text in zip(keys, texts)], pa.list_(pa.float64())),
                     ],
-                    ["label", "words", "segments", "gains"],
+                    ["label", "words", "segments", "copies", "gains"],
                 )
 
     return run
@@ -220,11 +239,11 @@ def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3) -> tuple[floa
     return max(0.0, float(beta[0])), float(beta[1])
 
 
-def calibrated(model: Toxicity, known: list[tuple[int, int, list[float], list[float]]]) -> Toxicity:
-    """The model with its constants fitted on documents (label, words, segment scores, word scores) that gave no counts."""
+def calibrated(model: Toxicity, known: list[tuple[int, int, list[float], list[int], list[float]]]) -> Toxicity:
+    """The model with its constants fitted on documents (label, words, segment scores, copies, word scores) that gave no counts."""
     if known:
-        model.scale, model.constant = extreme_values([row[1:] for row in known if row[0] == 0])
-        found = [model.evidence([(0, 0, one) for one in segments], n) for _, n, segments, _ in known]
+        model.scale, model.constant = extreme_values([(n, segments, gains) for label, n, segments, _, gains in known if label == 0])
+        found = [model.evidence([(0, 0, one) for one in segments], n, copy) for _, n, segments, copy, _ in known]
         model.slope, model.intercept = _logistic(np.log1p(np.array(found)), np.array([float(row[0]) for row in known]))
     return model
 
@@ -245,9 +264,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows:
     if not model.scores:
         return model
     statistics = sample.filter(CALIBRATION).mapInArrow(
-        _statistics(spark.sparkContext.broadcast(model)), "label int, words long, segments array<double>, gains array<double>"
+        _statistics(spark.sparkContext.broadcast(model)), "label int, words long, segments array<double>, copies array<long>, gains array<double>"
     )
-    return calibrated(model, sorted((r.label, r.words, list(r.segments), sorted(r.gains)) for r in statistics.limit(rows).collect()))
+    return calibrated(model, sorted((r.label, r.words, list(r.segments), list(r.copies), sorted(r.gains)) for r in statistics.limit(rows).collect()))
 
 
 # --- scoring --------------------------------------------------------------------------------------------------------
@@ -259,9 +278,9 @@ def _passages(model):
         scanner = _Scanner(toxicity)
         for keys, texts in slices(rows_of(batches)):
             found = scanner.scan(texts)
-            evidence = np.array([toxicity.evidence(segments, n) for n, segments in found])
+            evidence = np.array([toxicity.evidence(segments, n, copy) for n, segments, copy in found])
             significant = []
-            for n, segments in found:
+            for n, segments, _ in found:
                 chance = math.log(max(toxicity.constant * n, 1e-9))
                 significant.append([{"first": a, "after": b, "evidence": toxicity.scale * s - chance} for a, b, s in segments if toxicity.scale * s > chance])
             yield pa.RecordBatch.from_arrays(
