@@ -65,3 +65,17 @@ def test_pages_table(spark):
     got = sorted(map(tuple, blocks.extracted(pages).collect()), key=str)
     assert got == sorted([(1, "u", WANTED, len(WANTED)), (2, None, "", 0), (2, None, "", 0), (None, "v", "é", 1)], key=str)
     assert blocks.extracted(spark.createDataFrame([], schema)).count() == 0
+
+
+@pytest.mark.parametrize("mark", [
+    '<svg class="i"/>', "<math/>", "<iframe src='x'/>", "<template/>", "<svg><title/><path d='M0'/><text>Left out</text></svg>", "<noscript>Left <p>out</noscript>",
+    "<template><div>Left out</div></template>", '<iframe src=http://x/>Left out</iframe>',
+])
+def test_left_out_elements_end_where_they_end(mark):
+    assert blocks.main_text(f"<article><p>Intro {mark} more.</p><p>All the rest.</p></article>") == "Intro more. All the rest."
+
+
+@pytest.mark.parametrize("name", ["svg", "math", "template", "noscript", "iframe"])
+def test_an_unclosed_element_reaches_to_the_end_of_what_holds_it(name):
+    assert blocks.main_text(f"<article><p>Intro<{name}>x</p><p>All the rest.</p></article>") == "Intro All the rest."
+    assert blocks.main_text(f"<article><p>Intro</p><script>x<{name}></article>") == "Intro"

@@ -28,7 +28,6 @@ DENSE = 80  # characters in a window that make a surge, at most
 
 _MARKUP = re.compile(
     r"<!--.*?(?:--!?>|\Z)"
-    r"|<(?P<raw>script|style|title|textarea|iframe|noframes|noembed|xmp|noscript|template|svg|math)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<rest>(?:\"[^\"]*+\"|'[^']*+'|[^'\">]++)*+)>"
     r"|<(?P<close2>/?)(?P<name2>[a-z][a-z0-9:-]*)(?P<rest2>[^>]*+)>"
     r"|</?[a-z][^>]*+\Z"
@@ -36,6 +35,9 @@ _MARKUP = re.compile(
     r"|</[^>]*+(?:>|\Z)",
     re.IGNORECASE | re.DOTALL,
 )
+# what follows these is no markup up to their end tag, or the end of the page
+_RAW_ENDS = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*+>?|\Z", re.IGNORECASE) for name in ("script", "style", "title", "textarea")}
+_UNQUOTED = re.compile(r"=\s*[^\s\"'>]+/\Z")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""", re.IGNORECASE)
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])|[^A-Za-z]+")
 
@@ -46,6 +48,8 @@ _BLOCKS = frozenset(
 )
 _EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _NEVER = frozenset("nav footer aside form menu dialog button select datalist canvas audio video object map head".split())
+_INLINE = frozenset("svg math template noscript iframe noframes noembed xmp".split())  # left out, and may stand inside a line
+_FOREIGN = frozenset(("svg", "math"))
 _MAIN = frozenset(("article", "main"))
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
 _NAMES = frozenset(
@@ -69,7 +73,7 @@ def _words(attribute: str) -> set[str]:
 
 def _boilerplate(name: str, rest: str, inside: bool) -> bool:
     """Whether an element holds no article text; ``inside``: whether an article holds the element."""
-    if name in _NEVER or (name == "header" and not inside):
+    if name in _NEVER or name in _INLINE or (name == "header" and not inside):
         return True
     if not rest or name in ("html", "body"):
         return False
@@ -118,17 +122,18 @@ def lines_of(page: str) -> _Page:
     out, at = _Page(), 0
     stack: list[tuple[str, bool]] = []  # open elements and whether they are left out
     open_names: dict[str, int] = {}
-    left_out = links = articles = 0
+    left_out = links = articles = foreign = 0
 
     def close(name: str) -> None:
-        nonlocal left_out, links, articles
+        nonlocal left_out, links, articles, foreign
         while stack:
             last, skipped = stack.pop()
             open_names[last] -= 1
             left_out -= skipped
             links -= last == "a"
             articles -= last in _MAIN
-            if skipped and not left_out:
+            foreign -= last in _FOREIGN
+            if skipped and not left_out and last not in _INLINE:
                 out.gap()
             if last == name:
                 break
@@ -140,7 +145,7 @@ def lines_of(page: str) -> _Page:
             if not links:
                 out.visible += sum(map(len, piece.split()))
 
-    for match in _MARKUP.finditer(page):
+    while match := _MARKUP.search(page, at):
         add(page[at : match.start()])
         at = match.end()
         name = (match["name"] or match["name2"] or "").lower()
@@ -159,8 +164,14 @@ def lines_of(page: str) -> _Page:
             close(stack[-1][0])
         if name in _EMPTY:
             continue
-        skipped = _boilerplate(name, match["rest"] or match["rest2"] or "", articles > 0)
-        if name in _MAIN or skipped:
+        rest = match["rest"] or match["rest2"] or ""
+        if (foreign or name in _INLINE) and rest.endswith("/") and not _UNQUOTED.search(rest):
+            continue  # closed by itself
+        if name in _RAW_ENDS and not foreign:
+            at = _RAW_ENDS[name].search(page, at).end()
+            continue
+        skipped = _boilerplate(name, rest, articles > 0)
+        if (name in _MAIN or skipped) and name not in _INLINE:
             out.flush(articles > 0)
             out.gap()
         stack.append((name, skipped))
@@ -168,6 +179,7 @@ def lines_of(page: str) -> _Page:
         left_out += skipped
         links += name == "a"
         articles += name in _MAIN
+        foreign += name in _FOREIGN
     add(page[at:])
     out.flush(articles > 0)
     return out
