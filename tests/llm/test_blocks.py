@@ -79,3 +79,19 @@ def test_left_out_elements_end_where_they_end(mark):
 def test_an_unclosed_element_reaches_to_the_end_of_what_holds_it(name):
     assert blocks.main_text(f"<article><p>Intro<{name}>x</p><p>All the rest.</p></article>") == "Intro All the rest."
     assert blocks.main_text(f"<article><p>Intro</p><script>x<{name}></article>") == "Intro"
+
+
+LONG, AD = PARAGRAPH.strip() * 3, "<div class=ad>Buy</div>"
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<div><p>{LONG}</p>{AD}<p>Short end.</p></div>", f"{LONG} Short end."),
+    (f"<div><h1>Head</h1><div class=share>Share</div><p>{LONG}</p></div>", f"Head {LONG}"),
+    (f"<div><h1>Head</h1><div class=share>Share</div><div><p>{LONG}</p>{AD}<p>Short.</p>{AD}{AD}<p>End.</p></div></div>", f"Head {LONG} Short. End."),
+    (f"<body><nav>Menu</nav><h1>Head</h1>{AD}<p>{LONG}</p>{AD}<p>End.</body>", f"Head {LONG} End."),
+    (f"<div><div>{LONG}</div>{AD}<div>Short.</div>{AD}<div>{LONG}</div></div>", f"{LONG} Short. {LONG}"),
+    # what stands in another element is still parted
+    (f"<div><div>Site</div><nav>Menu</nav><div><p>{LONG}</p>{AD}</div><div>Imprint</div></div>", LONG),
+])
+def test_left_out_containers_inside_an_unmarked_article(page, text):
+    assert blocks.main_text(page) == text

@@ -1,9 +1,11 @@
 """Main text of web pages by line-block distribution.
 
 A page is cut into lines at its block elements, markup is stripped, and containers that never hold an article (menus, page
-headers, footers, sidebars, notices, adverts, forms, comments, scripts, styles) leave blank lines. Text lengths, without the
+headers, footers, sidebars, notices, adverts, forms, comments, scripts, styles) leave blank lines, but for those that stand
+among the paragraphs of one element: they part nothing. Text lengths, without the
 text of links, are summed over sliding windows of lines: where the sum rises over a threshold the text begins (surge),
-where it falls to nothing it ends (dive), and every line between stays whole. On a page that marks its article any text
+where it falls to nothing it ends (dive), and every line between stays whole; so does what lies between two surges of one
+element that only left-out containers part. On a page that marks its article any text
 of it is a surge; elsewhere the threshold follows the densest window of the page.
 
 Nulls: a null html is an empty page with an empty text; url and id are passed on as they are. Unclosed and stray tags, cut-off
@@ -46,6 +48,7 @@ _BLOCKS = frozenset(
     "frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html isindex legend li main menu nav ol optgroup option p pre section "
     "summary table tbody td tfoot th thead tr ul".split()
 )
+_HOLDERS = frozenset("html body div main article section center table tbody td th tr fieldset details".split())
 _EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _NEVER = frozenset("nav footer aside form menu dialog button select datalist canvas audio video object map head".split())
 _INLINE = frozenset("svg math template noscript iframe noframes noembed xmp".split())  # left out, and may stand inside a line
@@ -94,47 +97,72 @@ def _boilerplate(name: str, rest: str, inside: bool) -> bool:
 
 @dataclass
 class _Page:
-    """Lines of a page: their text, how many of its visible characters are in no link, and whether a marked article holds them."""
+    """Lines of a page: their text, how many of its visible characters are in no link, and whether a marked article holds them.
+
+    ``bridge`` is 0 at lines with text, at blank ones the number of the element that holds the left-out containers and the
+    text on both sides, or -1.
+    """
 
     text: list[str] = field(default_factory=list)
     length: list[int] = field(default_factory=list)
     marked: list[bool] = field(default_factory=list)
+    bridge: list[int] = field(default_factory=list)
     parts: list[str] = field(default_factory=list)
     visible: int = 0
+    # open elements, whether they are left out, their numbers, and how many are open down to the last that holds paragraphs
+    stack: list[tuple[str, bool, int, int]] = field(default_factory=list)
+    holder: int = 0  # how many elements were open down to the one that holds the last line
+    low: int = 0  # the fewest open elements since the last line
+    gap_at: int | None = None  # the fewest open elements at a left-out container since the last line
+    parted: bool = False  # by the beginning or end of a marked article
 
     def flush(self, marked: bool) -> None:
         line = " ".join("".join(self.parts).split())
         if line:
+            holder = self.stack[-1][3] if self.stack else 0
+            self._blank(holder)
             self.text.append(line)
             self.length.append(self.visible)
             self.marked.append(marked)
+            self.bridge.append(0)
+            self.holder, self.low, self.gap_at, self.parted = holder, len(self.stack), None, False
         self.parts, self.visible = [], 0
 
+    def _blank(self, holder: int) -> None:
+        """Blank lines for the containers since the last line, if they part it from the one to come."""
+        if not self.text or (self.gap_at is None and not self.parted):
+            return
+        # the element that holds both lines holds a container, too
+        among = not self.parted and self.gap_at == self.low
+        if among and self.low >= min(self.holder, holder):
+            return  # and a paragraph of its own
+        self.text += [""] * WINDOW
+        self.length += [0] * WINDOW
+        self.marked += [False] * WINDOW
+        self.bridge += [(self.stack[self.low - 1][2] if self.low else 0) + 1 if among else -1] * WINDOW
+
     def gap(self) -> None:
-        if self.text and self.text[-1]:
-            self.text += [""] * WINDOW
-            self.length += [0] * WINDOW
-            self.marked += [False] * WINDOW
+        at = len(self.stack)
+        self.gap_at = at if self.gap_at is None else min(at, self.gap_at)
 
 
 def lines_of(page: str) -> _Page:
     """The lines of a page in their order."""
     out, at = _Page(), 0
-    stack: list[tuple[str, bool]] = []  # open elements and whether they are left out
+    stack, number = out.stack, 0
     open_names: dict[str, int] = {}
     left_out = links = articles = foreign = 0
 
     def close(name: str) -> None:
         nonlocal left_out, links, articles, foreign
         while stack:
-            last, skipped = stack.pop()
+            last, skipped, *_ = stack.pop()
+            out.low = min(out.low, len(stack))
             open_names[last] -= 1
             left_out -= skipped
             links -= last == "a"
             articles -= last in _MAIN
             foreign -= last in _FOREIGN
-            if skipped and not left_out and last not in _INLINE:
-                out.gap()
             if last == name:
                 break
 
@@ -156,8 +184,7 @@ def lines_of(page: str) -> _Page:
             out.flush(articles > 0)
         if closing:
             if open_names.get(name):
-                if name in _MAIN:
-                    out.gap()
+                out.parted |= name in _MAIN
                 close(name)
             continue
         if stack and name in _ENDS_BEFORE.get(stack[-1][0], ()):
@@ -173,8 +200,12 @@ def lines_of(page: str) -> _Page:
         skipped = _boilerplate(name, rest, articles > 0)
         if (name in _MAIN or skipped) and name not in _INLINE:
             out.flush(articles > 0)
-            out.gap()
-        stack.append((name, skipped))
+            if skipped and not left_out:
+                out.gap()
+            out.parted |= name in _MAIN
+        number += 1
+        holder = len(stack) + 1 if name in _HOLDERS else stack[-1][3] if stack else 0
+        stack.append((name, skipped, number, holder))
         open_names[name] = open_names.get(name, 0) + 1
         left_out += skipped
         links += name == "a"
@@ -185,8 +216,8 @@ def lines_of(page: str) -> _Page:
     return out
 
 
-def kept_lines(length: np.ndarray, marked: np.ndarray) -> np.ndarray:
-    """Which lines lie between a surge and its dive."""
+def kept_lines(length: np.ndarray, marked: np.ndarray, bridge: np.ndarray | None = None) -> np.ndarray:
+    """Which lines lie between a surge and its dive, or between two surges that a bridge joins."""
     n = len(length)
     if marked.any():
         length = np.where(marked, np.maximum(length, 1), 0)
@@ -196,18 +227,24 @@ def kept_lines(length: np.ndarray, marked: np.ndarray) -> np.ndarray:
     alive = np.concatenate([[False], sums > 0, [False]])
     begins, ends = np.flatnonzero(alive[1:] & ~alive[:-1]), np.flatnonzero(~alive[1:] & alive[:-1])
     keep = np.zeros(n, bool)
+    last = -1
     for begin, end in zip(begins, ends):
         dense = np.flatnonzero(sums[begin:end] >= surge)
         if len(dense):
             own = begin + dense[0] + np.flatnonzero(length[begin + dense[0] : end])  # lines of links only may stand around
             keep[own[0] : own[-1] + 1] = True
+            if bridge is not None and last >= 0:
+                between = bridge[last + 1 : own[0]]
+                if len(set(between[between != 0].tolist()) | {-1}) == 2 and -1 not in between:
+                    keep[last + 1 : own[0]] |= length[last + 1 : own[0]] > 0
+            last = own[-1]
     return keep & (~marked.any() | marked)
 
 
 def main_text(page: str | None) -> str:
     """The article of a page: its blocks in page order, white space as single spaces."""
     found = lines_of(page or "")
-    keep = kept_lines(np.array(found.length, np.int64), np.array(found.marked, bool))
+    keep = kept_lines(np.array(found.length, np.int64), np.array(found.marked, bool), np.array(found.bridge, np.int64))
     return " ".join(text for text, stays in zip(found.text, keep) if stays and text)
 
 
