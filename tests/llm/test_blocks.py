@@ -95,3 +95,19 @@ LONG, AD = PARAGRAPH.strip() * 3, "<div class=ad>Buy</div>"
 ])
 def test_left_out_containers_inside_an_unmarked_article(page, text):
     assert blocks.main_text(page) == text
+
+
+CARD = '<article><h3><a href="/t">Teaser</a></h3></article>'
+
+
+@pytest.mark.parametrize("page, text", [
+    # dense text outside the mark, and short text there
+    (f"<body><div><p>{LONG}</p><p>Short end.</p></div><section>{CARD * 3}</section></body>", f"{LONG} Short end."),
+    (f"<body><div>Site</div><nav>Menu</nav><article><p>{LONG}</p></article><nav>Menu</nav><div>Imprint</div></body>", LONG),
+    # a list of links inside the mark, and single lines of links
+    (f"<main><p>{LONG}</p><ul>{'<li><a href=/x>Link</a></li>' * 5}</ul><p>End.</p></main>", f"{LONG} End."),
+    (f"<article><h1><a href=/>Head</a></h1><p>{LONG}</p><p><a href=/o>Source</a></p></article>", f"Head {LONG} Source"),
+    ("<article><p>Short.</p></article>", "Short."),
+])
+def test_window_sums_decide_on_marked_pages(page, text):
+    assert blocks.main_text(page) == text

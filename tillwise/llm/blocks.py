@@ -5,8 +5,8 @@ headers, footers, sidebars, notices, adverts, forms, comments, scripts, styles)
 among the paragraphs of one element: they part nothing. Text lengths, without the
 text of links, are summed over sliding windows of lines: where the sum rises over a threshold the text begins (surge),
 where it falls to nothing it ends (dive), and every line between stays whole; so does what lies between two surges of one
-element that only left-out containers part. On a page that marks its article any text
-of it is a surge; elsewhere the threshold follows the densest window of the page.
+element that only left-out containers part. The threshold follows the densest window of the page. A marked article lowers it
+to any text outside links: there only windows without such text, as in lists of links, are left out. Dense text outside it stays, too.
 
 Nulls: a null html is an empty page with an empty text; url and id are passed on as they are. Unclosed and stray tags, cut-off
 markup and unknown entities do not fail. An empty table gives an empty result.
@@ -216,13 +216,16 @@ def lines_of(page: str) -> _Page:
     return out
 
 
+def _window_sums(length: np.ndarray) -> np.ndarray:
+    """Of the window that begins at each line."""
+    return np.convolve(length, np.ones(WINDOW, np.int64))[WINDOW - 1 :] if len(length) else length
+
+
 def kept_lines(length: np.ndarray, marked: np.ndarray, bridge: np.ndarray | None = None) -> np.ndarray:
     """Which lines lie between a surge and its dive, or between two surges that a bridge joins."""
     n = len(length)
-    if marked.any():
-        length = np.where(marked, np.maximum(length, 1), 0)
-    sums = np.convolve(length, np.ones(WINDOW, np.int64))[WINDOW - 1 :] if n else length  # from each line on
-    surge = 1 if marked.any() else max(1, min(DENSE, int(sums.max(initial=0)) // 2))
+    surge = max(1, min(DENSE, int(_window_sums(length).max(initial=0)) // 2))
+    sums = _window_sums(np.where(marked, 0, length))
     # runs of windows with any text, of which the dense ones are kept from their first dense window on
     alive = np.concatenate([[False], sums > 0, [False]])
     begins, ends = np.flatnonzero(alive[1:] & ~alive[:-1]), np.flatnonzero(~alive[1:] & alive[:-1])
@@ -231,14 +234,19 @@ def kept_lines(length: np.ndarray, marked: np.ndarray, bridge: np.ndarray | None
     for begin, end in zip(begins, ends):
         dense = np.flatnonzero(sums[begin:end] >= surge)
         if len(dense):
-            own = begin + dense[0] + np.flatnonzero(length[begin + dense[0] : end])  # lines of links only may stand around
+            own = begin + dense[0] + np.flatnonzero(~marked[begin + dense[0] : end] & (length[begin + dense[0] : end] > 0))  # lines of links only may stand around
             keep[own[0] : own[-1] + 1] = True
             if bridge is not None and last >= 0:
                 between = bridge[last + 1 : own[0]]
                 if len(set(between[between != 0].tolist()) | {-1}) == 2 and -1 not in between:
                     keep[last + 1 : own[0]] |= length[last + 1 : own[0]] > 0
             last = own[-1]
-    return keep & (~marked.any() | marked)
+    inside = np.flatnonzero(marked)
+    stays = np.ones(len(inside), bool)
+    for begin in np.flatnonzero(_window_sums(length[inside])[: max(0, len(inside) - WINDOW + 1)] == 0):
+        stays[begin : begin + WINDOW] = False
+    keep[inside] = stays
+    return keep
 
 
 def main_text(page: str | None) -> str:
