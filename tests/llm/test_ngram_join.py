@@ -139,3 +139,15 @@ def test_components_of_a_graph(spark):
                 changed = True
     assert got == root
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_a_text_without_ids_connects_others(spark):
+    words = [f"w{i}" for i in range(100)]
+    changed = lambda n: " ".join(f"x{i}" if i < n else word for i, word in enumerate(words))
+    # the first and the last are too different, the one between links with both
+    rows = [(5, changed(0), "en", "a"), (None, changed(10), "en", "a"), (None, changed(10), "en", "a"), (7, changed(16), "en", "a")]
+    rows += [(None, "some other text that has no id at all", "en", "a"), (9, "a text that links with nothing here", "en", "a")]
+    like = N.Similarity(4, 80)
+    got = found(N.ngram_components(documents(spark, rows), like))
+    assert got == expected(rows, like)
+    assert {component for doc_id, _, component in got if doc_id in (5, 7)} == {5}

@@ -18,8 +18,8 @@ when 100 * |intersection| >= percent * |union|.
 Pairs must pass the size filter, the position filter and an upper bound of the overlap (sums of the smaller counts in 128
 buckets) before whole sets are fetched.
 
-Nulls: a null or empty text has no shingles and links with nothing; a null id stays null and never becomes a component's
-id. Repeated rows are copies of each other. An empty table gives an empty result. 64-bit hashes name shingles and sets.
+Nulls: a null or empty text has no shingles and links with nothing; a row with a null id links as any other, but its id stays
+null and never becomes a component's id. Repeated rows are copies of each other. An empty table gives an empty result. 64-bit hashes name shingles and sets.
 """
 
 from __future__ import annotations
@@ -284,7 +284,9 @@ class _Verifier:
     def __init__(self, docs: DataFrame, posted: DataFrame, classes: DataFrame, like: Similarity, doc_id: str, text: str):
         self.like, self.classes = like, classes
         self.docs = utf8(docs, doc_id, text).withColumn("slot", self._slot(F.col("id")))
-        representatives = posted.join(classes.select("cid", F.col("rep").alias("doc_id")), ["cid", "doc_id"], "left_semi")
+        named = posted.join(classes.select("cid", F.col("rep").alias("doc_id")), ["cid", "doc_id"], "left_semi")
+        unnamed = posted.filter("doc_id IS NULL").join(classes.filter("rep IS NULL"), "cid", "left_semi")
+        representatives = named.select("cid", "n", "overlap").union(unnamed.select("cid", "n", "overlap"))
         self.bounds = representatives.groupBy("cid").agg(F.first("n").alias("n"), F.first("overlap").alias("overlap"))
 
     @staticmethod
@@ -325,9 +327,12 @@ def linked_classes(docs: DataFrame, like: Similarity = Similarity(), doc_id: str
     posted = durable(texts.mapInArrow(released(_post(like, common, spread)), POSTED))
 
     # one document stands for a class of equal sets, one class for a group of equal prefixes and sizes
-    classes = durable(posted.filter("n > 0").groupBy("gid", "cid").agg(F.min("doc_id").alias("rep")).filter("rep IS NOT NULL"))
+    classes = durable(posted.filter("n > 0").groupBy("gid", "cid").agg(F.min("doc_id").alias("rep")))  # null if none has an id
     heads = classes.groupBy("gid").agg(F.min("cid").alias("cid")).join(classes, ["gid", "cid"]).withColumnRenamed("rep", "doc_id")
-    groups = posted.join(heads, ["gid", "cid", "doc_id"], "left_semi")
+    parts_of = ("n", "light", "tokens", "salts")
+    groups = posted.join(heads, ["gid", "cid", "doc_id"], "left_semi").select("gid", *parts_of)
+    unnamed = posted.filter("doc_id IS NULL").join(heads.filter("doc_id IS NULL"), ["gid", "cid"], "left_semi")
+    groups = groups.union(unnamed.groupBy("gid").agg(*(F.first(name).alias(name) for name in parts_of)))
     postings = groups.select("gid", "n", "light", "salts", F.posexplode("tokens").alias("pos", "token")).select(
         "token", "gid", "n", "pos", "light", F.element_at("salts", F.col("pos") + 1).alias("spread")
     ).withColumn("salt", F.pmod("gid", "spread"))
