@@ -151,3 +151,11 @@ def test_a_text_without_ids_connects_others(spark):
     got = found(N.ngram_components(documents(spark, rows), like))
     assert got == expected(rows, like)
     assert {component for doc_id, _, component in got if doc_id in (5, 7)} == {5}
+
+
+def test_a_hot_list_is_split_at_few_tasks(spark, monkeypatch):
+    rows = [(i, f"one hot passage here w{i}", "en", "a") for i in range(700)]
+    counts = N.slot_counts(N.utf8(documents(spark, rows).coalesce(2), "doc_id", "text"), 4)
+    assert counts.max() >= 700 and counts.sum() == 1400
+    monkeypatch.setattr(N, "RUN", 100)
+    assert N._common(counts)[1].max() == 8

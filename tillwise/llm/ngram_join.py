@@ -77,9 +77,12 @@ def _count_slots(size: int):
         for chunk in range(SLOTS // CHUNK):
             part = kept[chunk * CHUNK : (chunk + 1) * CHUNK]
             if part.any():
+                # the few that a byte does not hold: their place and what is above it
+                high = np.flatnonzero(counts[chunk * CHUNK : (chunk + 1) * CHUNK] > 255)
+                above = np.stack([high, counts[chunk * CHUNK + high] - 255], 1).astype("<u4")
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk], pa.int32()), pa.array([task], pa.int32()), pa.array([part.tobytes()], pa.binary())],
-                    ["chunk", "task", "counts"],
+                    [pa.array([chunk], pa.int32()), pa.array([task], pa.int32()), pa.array([part.tobytes()], pa.binary()), pa.array([above.tobytes()], pa.binary())],
+                    ["chunk", "task", "counts", "above"],
                 )
 
     return run
@@ -87,20 +90,24 @@ def _count_slots(size: int):
 
 def _add_up(kind: str):
     def run(table: pa.Table) -> pa.Table:
-        total = np.zeros(CHUNK, np.uint32)
+        total = np.zeros(CHUNK, np.uint64)
         for part in table.column("counts"):
             total += np.frombuffer(part.as_buffer(), kind)
+        for part in table.column("above") if "above" in table.column_names else ():
+            above = np.frombuffer(part.as_buffer(), "<u4").reshape(-1, 2)
+            total[above[:, 0]] += above[:, 1]
+        total = np.minimum(total, (1 << 32) - 1).astype("<u4")
         return pa.table({"chunk": table.column("chunk")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
 
     return run
 
 
 def slot_counts(texts: DataFrame, size: int) -> np.ndarray:
-    """Of every slot, in how many documents its shingles are (at most 255 from each task): ``SLOTS`` numbers at any input.
+    """Of every slot, in how many documents its shingles are: ``SLOTS`` numbers at any input.
 
     Tasks' tables are added in two steps, each over about the root of the number of tasks.
     """
-    made = texts.mapInArrow(released(_count_slots(size)), "chunk int, task int, counts binary")
+    made = texts.mapInArrow(released(_count_slots(size)), "chunk int, task int, counts binary, above binary")
     width = max(1, math.isqrt(texts.rdd.getNumPartitions()))
     once = made.groupBy("chunk", F.pmod("task", F.lit(width))).applyInArrow(_add_up("<u1"), "chunk int, counts binary")
     twice = once.groupBy("chunk").applyInArrow(_add_up("<u4"), "chunk int, counts binary")
