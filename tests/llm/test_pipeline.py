@@ -93,7 +93,7 @@ def test_run_gives_the_last_stage(spark, stages):
 
 
 def test_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in QUERIES}
     assert set(QUERIES) <= set(queries()) and "pipeline" in queries() and set(ORACLES) <= set(oracle_sql())
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwise.llm import blocks, copies, crf, edits, fano, mixing, ngram_join, passages, projections, slack
+from tillwise.llm import blocks, copies, crf, edits, fano, merkle, mixing, ngram_join, passages, projections, slack
 from tillwise.llm.shipping import ship
 from tillwise.session import tune
 
@@ -75,6 +75,12 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    return merkle.audited(_table(spark, folder, "documents"), {"text": lower}, chosen)
+
+
 QUERIES: dict[str, Query] = {
     "op1_neighbours": op1_neighbours,
     "op2_token_files": op2_token_files,
@@ -86,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "op8_ngram_join": op8_ngram_join,
     "op9_edited_counts": op9_edited_counts,
     "op10_toxicity": op10_toxicity,
+    "op11_merkle": op11_merkle,
 }
 
 ORACLES: dict[str, str] = {
@@ -163,4 +170,71 @@ ORACLES: dict[str, str] = {
         least AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
         SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles, c.component_id
         FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN least c USING (doc_id)""",
+    "op11_merkle": r"""
+        WITH RECURSIVE crcs AS (
+            SELECT DISTINCT doc_id, xor(4294967295::UBIGINT, list_reduce(
+                [4294967295::UBIGINT] || [CAST(unicode(c) AS UBIGINT) FOR c IN string_split(CAST(doc_id AS VARCHAR), '')],
+                lambda crc, byte: list_reduce([xor(crc, byte)] || [CAST(k AS UBIGINT) FOR k IN range(8)],
+                    lambda c, k: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384::UBIGINT ELSE 0::UBIGINT END)))) AS crc
+            FROM documents WHERE doc_id IS NOT NULL),
+        framed AS (
+            SELECT d.doc_id, d.source, coalesce(c.crc % 5 = 0, false) AS tampered, text,
+                   coalesce(strlen(CAST(d.doc_id AS VARCHAR)) || ':' || d.doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                   || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+                   translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_text
+            FROM documents d LEFT JOIN crcs c ON c.doc_id = d.doc_id),
+        leaves AS (
+            SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                   CASE WHEN tampered THEN sha256(head || coalesce(strlen(lower_text) || ':' || lower_text, '-')) END AS seen
+            FROM framed),
+        numbered AS (
+            SELECT *, coalesce('=' || source, '-') AS grp,
+                   row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS at,
+                   count(*) OVER (PARTITION BY source) AS n
+            FROM leaves),
+        nodes AS (
+            SELECT grp, 0 AS level, at, n, leaf AS node FROM numbered
+            UNION ALL
+            SELECT grp, level + 1, at // 16, (n + 15) // 16, sha256(string_agg(node, '' ORDER BY at))
+            FROM nodes WHERE n > 1 GROUP BY grp, level, at // 16, n),
+        subroots AS (
+            SELECT grp, node AS subroot, row_number() OVER (ORDER BY encode(grp)) - 1 AS at, count(*) OVER () AS n
+            FROM nodes WHERE n = 1),
+        tops AS (
+            SELECT 0 AS level, at, n, subroot AS node FROM subroots
+            UNION ALL
+            SELECT level + 1, at // 16, (n + 15) // 16, sha256(string_agg(node, '' ORDER BY at))
+            FROM tops WHERE n > 1 GROUP BY level, at // 16, n),
+        root AS (SELECT node AS root FROM tops WHERE n = 1),
+        every AS (
+            SELECT grp, level, at, n, node FROM nodes WHERE n > 1
+            UNION ALL
+            SELECT 'all', level, at, n, node FROM tops WHERE n > 1),
+        siblings AS (
+            SELECT a.grp, a.level, a.at,
+                   coalesce(string_agg(b.node, '' ORDER BY b.at) FILTER (WHERE b.at < a.at), '') AS lefts,
+                   coalesce(string_agg(b.node, '' ORDER BY b.at) FILTER (WHERE b.at > a.at), '') AS rights
+            FROM every a JOIN every b ON a.grp = b.grp AND a.level = b.level AND a.at // 16 = b.at // 16
+            GROUP BY a.grp, a.level, a.at),
+        steps AS (
+            SELECT d.grp, d.at AS leaf_at, s.level AS step, s.lefts, s.rights
+            FROM numbered d JOIN siblings s ON s.grp = d.grp AND s.at = d.at // CAST(pow(16, s.level) AS BIGINT)
+            UNION ALL
+            SELECT d.grp, d.at, 100 + s.level, s.lefts, s.rights
+            FROM numbered d JOIN subroots g ON g.grp = d.grp
+            JOIN siblings s ON s.grp = 'all' AND s.at = g.at // CAST(pow(16, s.level) AS BIGINT)),
+        proofs AS (
+            SELECT d.grp, d.at, sha256(coalesce(string_agg(s.lefts || s.rights, '' ORDER BY s.step), '')) AS proof_sha256,
+                   list({'l': s.lefts, 'r': s.rights} ORDER BY s.step) FILTER (WHERE s.step IS NOT NULL) AS path
+            FROM numbered d LEFT JOIN steps s ON s.grp = d.grp AND s.leaf_at = d.at
+            GROUP BY d.grp, d.at),
+        folds AS (
+            SELECT d.grp, d.at, 0 AS step, coalesce(d.seen, d.leaf) AS node FROM numbered d
+            UNION ALL
+            SELECT f.grp, f.at, f.step + 1, sha256(p.path[f.step + 1].l || f.node || p.path[f.step + 1].r)
+            FROM folds f JOIN proofs p ON p.grp = f.grp AND p.at = f.at WHERE f.step < len(p.path)),
+        ended AS (SELECT grp, at, arg_max(node, step) AS folded_root FROM folds GROUP BY grp, at)
+        SELECT d.doc_id, d.leaf, g.subroot, r.root, p.proof_sha256, e.folded_root, e.folded_root = r.root AS verified
+        FROM numbered d JOIN subroots g ON g.grp = d.grp CROSS JOIN root r
+        JOIN proofs p ON p.grp = d.grp AND p.at = d.at JOIN ended e ON e.grp = d.grp AND e.at = d.at""",
 }
