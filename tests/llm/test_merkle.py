@@ -72,13 +72,6 @@ def test_small_tables(spark, rows):
     assert found(audit(documents(spark, rows), (2**62,))) == expected(rows, (2**62,))
 
 
-@pytest.fixture
-def low(monkeypatch):
-    """Superblocks of 16 nodes, so that small tables have many levels."""
-    monkeypatch.setattr(merkle, "HEIGHT", 1)
-    monkeypatch.setattr(merkle, "SUPER", 16)
-
-
 SIZES = {"a": 1, "b": 15, "c": 16, "d": 17, "e": 256, "f": 257, "g": 900}
 
 
@@ -87,17 +80,15 @@ def many():
     return rows + [(10_000 + i, "Alone", None, f"one {i}") for i in range(20)]
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_sizes_around_a_run_and_a_superblock(spark, spread, small, request):
-    if small:
-        request.getfixturevalue("low")
+@pytest.mark.parametrize("height", [1, 2, 3])  # low superblocks give small tables many levels
+def test_sizes_around_a_run_and_a_superblock(spark, spread, height):
     rows = many()
     changed = [doc_id for doc_id, *_ in rows if doc_id % 5 == 0]
-    assert found(audit(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(7), changed)) == expected(rows, changed)
+    assert found(audit(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(7), changed, height=height)) == expected(rows, changed)
 
 
-def test_proofs_hold_alone(spark, low):
-    rows = audit(spark.createDataFrame(many(), "doc_id long, text string, lang string, source string"), (6003,), proofs=True).collect()
+def test_proofs_hold_alone(spark):
+    rows = audit(spark.createDataFrame(many(), "doc_id long, text string, lang string, source string"), (6003,), proofs=True, height=1).collect()
     assert all(merkle.holds(r.leaf, r.places, r.siblings, r.root) for r in rows)
     assert [r.doc_id for r in rows if not r.verified] == [6003]
     assert {h("".join(r.siblings)) == r.proof_sha256 for r in rows} == {True}
@@ -107,8 +98,8 @@ def test_proofs_hold_alone(spark, low):
 def test_a_hot_group_is_spread(spark, spread):
     docs = spark.range(60_000).selectExpr("id AS doc_id", "'x' AS text", "'en' AS lang", "IF(id % 3 = 0, 'hot', concat('s', id % 100)) AS source")
     leaves, *_ = merkle.manifest(docs, fields=FIELDS)
-    blocks = leaves.groupBy("grp", F.floor(F.col("at") / merkle.SUPER)).count().agg(F.max("count")).first()[0]
-    assert blocks == merkle.SUPER
+    blocks = leaves.groupBy("grp", F.floor(F.col("at") / 4096)).count().agg(F.max("count")).first()[0]
+    assert blocks == 4096
     largest = leaves.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
     assert largest < 60_000 / 3
 

@@ -25,6 +25,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
@@ -35,7 +36,6 @@ from tillwise.session import durable, tune
 
 RADIX = 16
 HEIGHT = 3  # levels of a superblock
-SUPER = RADIX**HEIGHT
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 NODES = "grp string, at long, n long, node string"
@@ -63,10 +63,10 @@ def leaf_hash(*fields: Column) -> Column:
 # --- hashing inside a superblock --------------------------------------------------------------------------------------
 
 
-def local_levels(nodes: list[str], n: int) -> list[list[str]]:
+def local_levels(nodes: list[str], n: int, height: int = HEIGHT) -> list[list[str]]:
     """The levels of a superblock of a level of ``n`` nodes, from ``nodes`` up to the one that is left."""
     levels = [nodes]
-    while len(levels) <= HEIGHT and n > 1:
+    while len(levels) <= height and n > 1:
         last = levels[-1]
         levels.append([digest("".join(last[i : i + RADIX])) for i in range(0, len(last), RADIX)])
         n = -(-n // RADIX)
@@ -92,47 +92,55 @@ def folded(node: str, places: list[int], others: list[str]) -> str:
     return node
 
 
-def _lifted(key: tuple, nodes: pd.DataFrame) -> pd.DataFrame:
-    nodes = nodes.sort_values("at")
-    n = int(nodes["n"].iloc[0])
-    top = local_levels(nodes["node"].tolist(), n)[-1]
-    return pd.DataFrame({"grp": [key[0]], "at": [key[1]], "n": [-(-n // SUPER)], "node": top})
+def _lifted(height: int) -> Callable[[tuple, pd.DataFrame], pd.DataFrame]:
+    def run(key: tuple, nodes: pd.DataFrame) -> pd.DataFrame:
+        nodes = nodes.sort_values("at")
+        n = int(nodes["n"].iloc[0])
+        top = local_levels(nodes["node"].tolist(), n, height)[-1]
+        return pd.DataFrame({"grp": [key[0]], "at": [key[1]], "n": [-(-n // RADIX**height)], "node": top})
 
+    return run
+
+
+def _joined(nodes: pd.DataFrame, outer: pd.DataFrame, height: int) -> list[tuple[list[int], list[str]]]:
+    """Places and siblings up to the root of the nodes of a superblock, in order."""
+    levels = local_levels(nodes["node"].tolist(), int(nodes["n"].iloc[0]), height)
+    above, beyond = list(outer["places"].iloc[0]), list(outer["others"].iloc[0])
+    inside = (local_path(levels, at) for at in range(len(nodes)))
+    return [(places + above, others + beyond) for places, others in inside]
+
+
+def _paths(height: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
+    def run(nodes: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
+        nodes = nodes.sort_values("at")
+        places, others = zip(*_joined(nodes, outer, height))
+        return pd.DataFrame({"grp": nodes["grp"].to_numpy(), "at": nodes["at"].to_numpy(), "places": places, "others": others})
+
+    return run
 
-def _paths(nodes: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
-    nodes = nodes.sort_values("at")
-    levels = local_levels(nodes["node"].tolist(), int(nodes["n"].iloc[0]))
-    above = [list(outer["places"].iloc[0]), list(outer["others"].iloc[0])]
-    rows = []
-    for i, at in enumerate(nodes["at"].tolist()):
-        places, others = local_path(levels, i)
-        rows.append((nodes["grp"].iloc[0], at, places + above[0], others + above[1]))
-    return pd.DataFrame(rows, columns=["grp", "at", "places", "others"])
 
+def _subroots(height: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
+    def run(nodes: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
+        nodes = nodes.sort_values("at")
+        paths = _joined(nodes, outer, height)
+        subroots = nodes["node"].tolist()
+        roots = [folded(node, *path) for node, path in zip(subroots, paths)]
+        places, others = zip(*paths)
+        return pd.DataFrame({"grp": nodes["key"].to_numpy(), "subroot": subroots, "root": roots, "places": places, "others": others})
 
-def _subroots(nodes: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
-    nodes = nodes.sort_values("at")
-    out = _paths(nodes, outer)
-    out["grp"], out["subroot"] = nodes["key"].to_numpy(), nodes["node"].to_numpy()
-    out["root"] = [folded(*row) for row in zip(out["subroot"], out["places"], out["others"])]
-    return out[["grp", "subroot", "root", "places", "others"]]
+    return run
 
 
-def _audited(proofs: bool) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
+def _audited(height: int, proofs: bool) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
     def run(leaves: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
         leaves = leaves.sort_values("at")
-        nodes = leaves["node"].tolist()
-        levels = local_levels(nodes, int(leaves["n"].iloc[0]))
-        above, beyond = list(outer["places"].iloc[0]), list(outer["others"].iloc[0])
         subroot, root = outer["subroot"].iloc[0], outer["root"].iloc[0]
         rows = []
-        for i, (node, seen) in enumerate(zip(nodes, leaves["seen"].tolist())):
-            places, others = local_path(levels, i)
-            places, others = places + above, others + beyond
-            found = folded(seen if seen is not None else node, places, others)
-            rows.append((node, subroot, root, digest("".join(others)), found, found == root, places, others))
-        out = pd.DataFrame(rows, columns=["leaf", "subroot", "root", "proof_sha256", "folded_root", "verified", "places", "siblings"])
-        out.insert(0, "doc_id", leaves["doc_id"].to_numpy())
+        for doc_id, node, seen, (places, others) in zip(leaves["doc_id"], leaves["node"], leaves["seen"], _joined(leaves, outer, height)):
+            found = folded(node if seen is None else seen, places, others)
+            rows.append((doc_id, node, subroot, root, digest("".join(others)), found, found == root, places, others))
+        names = ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified", "places", "siblings"]
+        out = pd.DataFrame(rows, columns=names)
         return out if proofs else out.drop(columns=["places", "siblings"])
 
     return run
@@ -157,35 +165,32 @@ def placed(rows: DataFrame, *order: str) -> DataFrame:
     )
 
 
-def _block() -> Column:
-    return F.floor(F.col("at") / SUPER).cast("long").alias("block")
-
-
 @dataclass
 class Tree:
-    """Levels of nodes, each three above the one before: ``NODES``; every group ends at the level where it has one node."""
+    """Levels of nodes (``NODES``), each ``height`` levels of hashes above the one before; a group ends at the level where it has one node."""
 
     levels: list[DataFrame]
+    height: int
+
+    def block(self) -> Column:
+        return F.floor(F.col("at") / RADIX**self.height).cast("long").alias("block")
 
     @staticmethod
-    def over(nodes: DataFrame) -> Tree:
-        levels = [nodes]
+    def over(nodes: DataFrame, height: int) -> Tree:
+        tree = Tree([nodes], height)
         most = nodes.agg(F.max("n")).first()[0] or 0
         while True:
-            below = levels[-1].select("grp", "at", "n", "node")
-            going_on = below if len(levels) == 1 else below.filter("n > 1")  # a single leaf is lifted once, as it is
-            levels.append(durable(going_on.groupBy("grp", _block()).applyInPandas(_lifted, NODES)))
-            most = -(-most // SUPER)
+            below = tree.levels[-1].select("grp", "at", "n", "node")
+            going_on = below if len(tree.levels) == 1 else below.filter("n > 1")  # a single leaf is lifted once, as it is
+            tree.levels.append(durable(going_on.groupBy("grp", tree.block()).applyInPandas(_lifted(height), NODES)))
+            most = -(-most // RADIX**height)
             if most <= 1:
-                return Tree(levels)
+                return tree
 
     def tops(self) -> DataFrame:
         """grp, node: the last node of every group."""
-        out = None
-        for level in self.levels[1:]:
-            ended = level.filter("n = 1").select("grp", "node")
-            out = ended if out is None else out.unionByName(ended)
-        return out
+        ended = [level.filter("n = 1").select("grp", "node") for level in self.levels[1:]]
+        return reduce(DataFrame.unionByName, ended)
 
     def outer(self, tops: DataFrame) -> DataFrame:
         """The paths of all superblocks of the lowest level, from those of the groups' tops (grp, places, others)."""
@@ -195,10 +200,14 @@ class Tree:
 
         paths = ended(self.levels[-1])  # no node there is below another
         for level in reversed(self.levels[1:-1]):
-            inner = level.filter("n > 1").groupBy("grp", _block()).cogroup(paths.groupBy("grp", "at")).applyInPandas(_paths, PATHS)
+            inner = self.with_outer(level.filter("n > 1"), paths).applyInPandas(_paths(self.height), PATHS)
             paths = durable(inner.unionByName(ended(level)))
         return paths
 
+    def with_outer(self, nodes: DataFrame, paths: DataFrame):
+        """Nodes of each superblock cogrouped with the path of the superblock."""
+        return nodes.groupBy("grp", self.block()).cogroup(paths.groupBy("grp", "at"))
+
 
 def leaves_of(docs: DataFrame, tampered: dict[str, Column] | None, when: Column | None, fields=FIELDS, doc_id="doc_id", group="source") -> DataFrame:
     """grp, doc_id, node, seen: the leaf of every row and, where ``when`` holds, the one it has with the columns of ``tampered``."""
@@ -212,30 +221,33 @@ def leaves_of(docs: DataFrame, tampered: dict[str, Column] | None, when: Column
     )
 
 
-def manifest(docs: DataFrame, tampered: dict[str, Column] | None = None, when: Column | None = None, **names) -> tuple[DataFrame, Tree, Tree]:
+def manifest(
+    docs: DataFrame, tampered: dict[str, Column] | None = None, when: Column | None = None, height: int = HEIGHT, **names
+) -> tuple[DataFrame, Tree, Tree]:
     """The placed leaves, the tree over each group's leaves and the tree over the subroots."""
     ship(tune(docs.sparkSession))
     leaves = placed(durable(leaves_of(docs, tampered, when, **names)), "doc_id", "node")
-    groups = Tree.over(leaves)
+    groups = Tree.over(leaves, height)
     subroots = groups.tops().select(F.lit("").alias("grp"), F.col("grp").alias("key"), "node")
-    return leaves, groups, Tree.over(placed(subroots, "key"))
+    return leaves, groups, Tree.over(placed(subroots, "key"), height)
 
 
-def audited(docs: DataFrame, tampered: dict[str, Column] | None = None, when: Column | None = None, proofs: bool = False, **names) -> DataFrame:
+def audited(
+    docs: DataFrame, tampered: dict[str, Column] | None = None, when: Column | None = None, proofs: bool = False, height: int = HEIGHT, **names
+) -> DataFrame:
     """One row per row of ``docs``: doc_id, leaf, subroot, root, proof_sha256, folded_root, verified.
 
     The root is of the rows as they are. Rows where ``when`` holds are then checked as if the columns of ``tampered`` (by name) had
     the given values: ``folded_root`` is what their leaf and the manifest's siblings lead to. ``proofs`` adds places and siblings, a
     list each with one item per level. ``names``: fields of the leaf, doc_id and group column.
     """
-    leaves, groups, top = manifest(docs, tampered, when, **names)
+    leaves, groups, top = manifest(docs, tampered, when, height, **names)
     nothing = top.tops().select("grp", F.array().cast("array<int>").alias("places"), F.array().cast("array<string>").alias("others"))
-    subroots = top.levels[0].groupBy("grp", _block()).cogroup(top.outer(nothing).groupBy("grp", "at")).applyInPandas(_subroots, SUBROOTS)
-    subroots = durable(subroots)
+    subroots = durable(top.with_outer(top.levels[0], top.outer(nothing)).applyInPandas(_subroots(height), SUBROOTS))
     outer = groups.outer(subroots.select("grp", "places", "others")).join(subroots.select("grp", "subroot", "root"), "grp")
     # ids as text: pandas would make numbers with nulls inexact
-    inner = leaves.withColumn("doc_id", F.col("doc_id").cast("string")).groupBy("grp", _block())
-    found = inner.cogroup(outer.groupBy("grp", "at")).applyInPandas(_audited(proofs), f"doc_id string, {FOUND}{PROOF if proofs else ''}")
+    inner = leaves.withColumn("doc_id", F.col("doc_id").cast("string"))
+    found = groups.with_outer(inner, outer).applyInPandas(_audited(height, proofs), f"doc_id string, {FOUND}{PROOF if proofs else ''}")
     return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
