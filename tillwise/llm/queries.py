@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwise.llm import blocks, copies, crf, edits, fano, merkle, mixing, ngram_join, passages, projections, slack
+from tillwise.llm import blocks, copies, covertree, crf, edits, fano, merkle, mixing, ngram_join, passages, projections, slack
 from tillwise.llm.shipping import ship
 from tillwise.session import tune
 
@@ -81,6 +81,13 @@ def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.audited(_table(spark, folder, "documents"), {"text": lower}, chosen)
 
 
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    coded, books = covertree.vector_codes(_table(spark, folder, "embeddings"))
+    digests = [F.when(F.col("length") == length, covertree.codebooks_digest(parts)) for length, parts in books.items()]
+    named = covertree.with_label_errors(coded).withColumn("codebooks_sha256", F.coalesce(*digests, F.lit(None).cast("string")))
+    return named.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 QUERIES: dict[str, Query] = {
     "op1_neighbours": op1_neighbours,
     "op2_token_files": op2_token_files,
@@ -93,6 +100,7 @@ QUERIES: dict[str, Query] = {
     "op9_edited_counts": op9_edited_counts,
     "op10_toxicity": op10_toxicity,
     "op11_merkle": op11_merkle,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 ORACLES: dict[str, str] = {
@@ -189,52 +197,94 @@ ORACLES: dict[str, str] = {
             FROM framed),
         numbered AS (
             SELECT *, coalesce('=' || source, '-') AS grp,
-                   row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS at,
+                   row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
                    count(*) OVER (PARTITION BY source) AS n
             FROM leaves),
         nodes AS (
-            SELECT grp, 0 AS level, at, n, leaf AS node FROM numbered
+            SELECT grp, 0 AS level, place, n, leaf AS node FROM numbered
             UNION ALL
-            SELECT grp, level + 1, at // 16, (n + 15) // 16, sha256(string_agg(node, '' ORDER BY at))
-            FROM nodes WHERE n > 1 GROUP BY grp, level, at // 16, n),
+            SELECT grp, level + 1, place // 16, (n + 15) // 16, sha256(string_agg(node, '' ORDER BY place))
+            FROM nodes WHERE n > 1 GROUP BY grp, level, place // 16, n),
         subroots AS (
-            SELECT grp, node AS subroot, row_number() OVER (ORDER BY encode(grp)) - 1 AS at, count(*) OVER () AS n
+            SELECT grp, node AS subroot, row_number() OVER (ORDER BY encode(grp)) - 1 AS place, count(*) OVER () AS n
             FROM nodes WHERE n = 1),
         tops AS (
-            SELECT 0 AS level, at, n, subroot AS node FROM subroots
+            SELECT 0 AS level, place, n, subroot AS node FROM subroots
             UNION ALL
-            SELECT level + 1, at // 16, (n + 15) // 16, sha256(string_agg(node, '' ORDER BY at))
-            FROM tops WHERE n > 1 GROUP BY level, at // 16, n),
+            SELECT level + 1, place // 16, (n + 15) // 16, sha256(string_agg(node, '' ORDER BY place))
+            FROM tops WHERE n > 1 GROUP BY level, place // 16, n),
         root AS (SELECT node AS root FROM tops WHERE n = 1),
         every AS (
-            SELECT grp, level, at, n, node FROM nodes WHERE n > 1
+            SELECT grp, level, place, n, node FROM nodes WHERE n > 1
             UNION ALL
-            SELECT 'all', level, at, n, node FROM tops WHERE n > 1),
+            SELECT 'all', level, place, n, node FROM tops WHERE n > 1),
         siblings AS (
-            SELECT a.grp, a.level, a.at,
-                   coalesce(string_agg(b.node, '' ORDER BY b.at) FILTER (WHERE b.at < a.at), '') AS lefts,
-                   coalesce(string_agg(b.node, '' ORDER BY b.at) FILTER (WHERE b.at > a.at), '') AS rights
-            FROM every a JOIN every b ON a.grp = b.grp AND a.level = b.level AND a.at // 16 = b.at // 16
-            GROUP BY a.grp, a.level, a.at),
+            SELECT a.grp, a.level, a.place,
+                   coalesce(string_agg(b.node, '' ORDER BY b.place) FILTER (WHERE b.place < a.place), '') AS lefts,
+                   coalesce(string_agg(b.node, '' ORDER BY b.place) FILTER (WHERE b.place > a.place), '') AS rights
+            FROM every a JOIN every b ON a.grp = b.grp AND a.level = b.level AND a.place // 16 = b.place // 16
+            GROUP BY a.grp, a.level, a.place),
         steps AS (
-            SELECT d.grp, d.at AS leaf_at, s.level AS step, s.lefts, s.rights
-            FROM numbered d JOIN siblings s ON s.grp = d.grp AND s.at = d.at // CAST(pow(16, s.level) AS BIGINT)
+            SELECT d.grp, d.place AS leaf_place, s.level AS step, s.lefts, s.rights
+            FROM numbered d JOIN siblings s ON s.grp = d.grp AND s.place = d.place // CAST(pow(16, s.level) AS BIGINT)
             UNION ALL
-            SELECT d.grp, d.at, 100 + s.level, s.lefts, s.rights
+            SELECT d.grp, d.place, 100 + s.level, s.lefts, s.rights
             FROM numbered d JOIN subroots g ON g.grp = d.grp
-            JOIN siblings s ON s.grp = 'all' AND s.at = g.at // CAST(pow(16, s.level) AS BIGINT)),
+            JOIN siblings s ON s.grp = 'all' AND s.place = g.place // CAST(pow(16, s.level) AS BIGINT)),
         proofs AS (
-            SELECT d.grp, d.at, sha256(coalesce(string_agg(s.lefts || s.rights, '' ORDER BY s.step), '')) AS proof_sha256,
+            SELECT d.grp, d.place, sha256(coalesce(string_agg(s.lefts || s.rights, '' ORDER BY s.step), '')) AS proof_sha256,
                    list({'l': s.lefts, 'r': s.rights} ORDER BY s.step) FILTER (WHERE s.step IS NOT NULL) AS path
-            FROM numbered d LEFT JOIN steps s ON s.grp = d.grp AND s.leaf_at = d.at
-            GROUP BY d.grp, d.at),
+            FROM numbered d LEFT JOIN steps s ON s.grp = d.grp AND s.leaf_place = d.place
+            GROUP BY d.grp, d.place),
         folds AS (
-            SELECT d.grp, d.at, 0 AS step, coalesce(d.seen, d.leaf) AS node FROM numbered d
+            SELECT d.grp, d.place, 0 AS step, coalesce(d.seen, d.leaf) AS node FROM numbered d
             UNION ALL
-            SELECT f.grp, f.at, f.step + 1, sha256(p.path[f.step + 1].l || f.node || p.path[f.step + 1].r)
-            FROM folds f JOIN proofs p ON p.grp = f.grp AND p.at = f.at WHERE f.step < len(p.path)),
-        ended AS (SELECT grp, at, arg_max(node, step) AS folded_root FROM folds GROUP BY grp, at)
+            SELECT f.grp, f.place, f.step + 1, sha256(p.path[f.step + 1].l || f.node || p.path[f.step + 1].r)
+            FROM folds f JOIN proofs p ON p.grp = f.grp AND p.place = f.place WHERE f.step < len(p.path)),
+        ended AS (SELECT grp, place, arg_max(node, step) AS folded_root FROM folds GROUP BY grp, place)
         SELECT d.doc_id, d.leaf, g.subroot, r.root, p.proof_sha256, e.folded_root, e.folded_root = r.root AS verified
         FROM numbered d JOIN subroots g ON g.grp = d.grp CROSS JOIN root r
-        JOIN proofs p ON p.grp = d.grp AND p.at = d.at JOIN ended e ON e.grp = d.grp AND e.at = d.at""",
+        JOIN proofs p ON p.grp = d.grp AND p.place = d.place JOIN ended e ON e.grp = d.grp AND e.place = d.place""",
+    "op13_vector_codes": r"""
+        WITH kept AS (
+            SELECT vec_id, label, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+            FROM embeddings WHERE len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        parts AS (
+            SELECT vec_id, p, v[p * (len(v) // 16) + 1 : (p + 1) * (len(v) // 16)] AS x FROM kept, range(16) t(p)),
+        book0 AS (
+            SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS c FROM parts
+            QUALIFY row_number() OVER (PARTITION BY p ORDER BY vec_id) <= 64),
+        dealt0 AS (
+            SELECT a.vec_id, a.p, a.x, min(list_sum([(a.x[i] - b.c[i]) * (a.x[i] - b.c[i]) FOR i IN range(1, len(a.x) + 1)]) * 64 + b.e) AS best
+            FROM parts a JOIN book0 b ON a.p = b.p GROUP BY a.vec_id, a.p, a.x),
+        sums0 AS (
+            SELECT p, best % 64 AS e, i, sum(x[i]) AS s, count(*) AS n
+            FROM dealt0, range(1, len(x) + 1) t(i) GROUP BY p, best % 64, i),
+        book1 AS (
+            SELECT b.p, b.e, coalesce(m.c, b.c) AS c
+            FROM book0 b LEFT JOIN (
+                SELECT p, e, list(CAST((s - ((s % n) + n) % n) / n AS BIGINT) ORDER BY i) AS c FROM sums0 GROUP BY p, e) m
+            ON m.p = b.p AND m.e = b.e),
+        dealt1 AS (
+            SELECT a.vec_id, a.p, a.x, min(list_sum([(a.x[i] - b.c[i]) * (a.x[i] - b.c[i]) FOR i IN range(1, len(a.x) + 1)]) * 64 + b.e) AS best
+            FROM parts a JOIN book1 b ON a.p = b.p GROUP BY a.vec_id, a.p, a.x),
+        sums1 AS (
+            SELECT p, best % 64 AS e, i, sum(x[i]) AS s, count(*) AS n
+            FROM dealt1, range(1, len(x) + 1) t(i) GROUP BY p, best % 64, i),
+        book2 AS (
+            SELECT b.p, b.e, coalesce(m.c, b.c) AS c
+            FROM book1 b LEFT JOIN (
+                SELECT p, e, list(CAST((s - ((s % n) + n) % n) / n AS BIGINT) ORDER BY i) AS c FROM sums1 GROUP BY p, e) m
+            ON m.p = b.p AND m.e = b.e),
+        dealt2 AS (
+            SELECT a.vec_id, a.p, a.x, min(list_sum([(a.x[i] - b.c[i]) * (a.x[i] - b.c[i]) FOR i IN range(1, len(a.x) + 1)]) * 64 + b.e) AS best
+            FROM parts a JOIN book2 b ON a.p = b.p GROUP BY a.vec_id, a.p, a.x),
+        coded AS (
+            SELECT vec_id, lower(string_agg(printf('%02x', best % 64), '' ORDER BY p)) AS code, CAST(sum(best // 64) AS BIGINT) AS error
+            FROM dealt2 GROUP BY vec_id),
+        digest AS (
+            SELECT sha256(string_agg(CAST(c[i] AS VARCHAR), ',' ORDER BY p, e, i)) AS codebooks_sha256
+            FROM book2, range(1, len(c) + 1) t(i))
+        SELECT k.vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+        FROM coded c JOIN kept k ON k.vec_id = c.vec_id CROSS JOIN digest""",
 }
