@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwise.llm import blocks, copies, covertree, crf, edits, fano, merkle, mixing, ngram_join, passages, projections, slack
+from tillwise.llm import blocks, bytepairs, copies, covertree, crf, edits, fano, merkle, mixing, ngram_join, passages, projections, slack
 from tillwise.llm.shipping import ship
 from tillwise.session import tune
 
@@ -19,6 +19,7 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def op1_neighbours(spark: SparkSession, folder: str) -> DataFrame:
@@ -81,6 +82,16 @@ def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.audited(_table(spark, folder, "documents"), {"text": lower}, chosen)
 
 
+def op12_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    ids = bytepairs.encoded(_table(spark, folder, "documents"), RANKS, public_tokenizers.PATTERN)
+    return bytepairs.decoded(ids, RANKS, public_tokenizers.PATTERN).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(F.col("bytes"), 256).alias("decoded_sha256"),
+    )
+
+
 def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     coded, books = covertree.vector_codes(_table(spark, folder, "embeddings"))
     digests = [F.when(F.col("length") == length, covertree.codebooks_digest(parts)) for length, parts in books.items()]
@@ -100,6 +111,7 @@ QUERIES: dict[str, Query] = {
     "op9_edited_counts": op9_edited_counts,
     "op10_toxicity": op10_toxicity,
     "op11_merkle": op11_merkle,
+    "op12_byte_pairs": op12_byte_pairs,
     "op13_vector_codes": op13_vector_codes,
 }
 
