@@ -184,6 +184,11 @@ class Prefixes:
                 return
         self._advance(len(self.bytes))
 
+    def copy(self) -> Prefixes:
+        other = Prefixes(self._vocabulary)
+        other.bytes, other.last = self.bytes, self.last.copy()
+        return other
+
     def ids(self) -> list[int]:
         token = self._vocabulary.ranks.get(self.bytes)
         if token is not None:
@@ -292,8 +297,9 @@ class Document:
             tail = 0
             while tail < min(len(had), len(data)) - head and had[-1 - tail] == data[-1 - tail]:
                 tail += 1
-            old[number].edit(head, len(had) - tail - head, data[head : len(data) - tail])
-            return old[number]
+            edited = old[number].copy()  # the piece itself may stand further on
+            edited.edit(head, len(had) - tail - head, data[head : len(data) - tail])
+            return edited
         return Prefixes(self._encoder.vocabulary, data)
 
     def append(self, more: str) -> None:
