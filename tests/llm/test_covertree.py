@@ -38,8 +38,8 @@ def expected(rows, parts=16, entries=64, rounds=2):
     return sorted([(r[0], c, int(e), per_label[r[2]]) for r, c, e in zip(kept, codes, errors)], key=str), books
 
 
-def coded(spark, rows, partitions=3, **more):
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").selectExpr("*", "'x' AS id", "0 AS length", "'y' AS code", "'z' AS error", "1 AS part")
+def coded(spark, data, partitions=3, **more):
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>, label int").selectExpr("*", "'x' AS id", "0 AS length", "'y' AS code", "'z' AS error", "1 AS part")
     out, books = covertree.vector_codes(df.repartition(partitions), **more)
     return sorted(map(tuple, covertree.with_label_errors(out).select("vec_id", "code", "error", "label_error").collect()), key=str), books
 
@@ -129,7 +129,7 @@ def test_subtrees_are_assigned_whole():
 
 def test_what_a_round_shuffles_does_not_grow_with_the_rows(spark, spread):
     def sums(n):
-        df = spark.range(n).selectExpr("id AS vec_id", "transform(sequence(1, 16), i -> rand(i)) AS embedding", "1 AS label").repartition(2)
+        df = spark.range(n).selectExpr("id AS vec_id", "transform(sequence(1, 16), i -> (id * i % 97) / 50) AS embedding", "1 AS label").repartition(2)
         clean = covertree.usable(df, "vec_id", "embedding", "label")
         blocks = clean.mapInArrow(covertree._blocks(16, 256, 16), covertree.BLOCKS)
         books = spark.sparkContext.broadcast({16: [np.zeros((64, 1), np.int64) for _ in range(16)]})
