@@ -269,16 +269,22 @@ _ABC_COLUMNS = f"""
     {_big('total_units')} AS total_units, {_big('total_orders')} AS total_orders,
     {_ratio('total_revenue', 'total_orders')} AS avg_order_revenue"""
 
-def _pivot(rows: str, key: str, column: str, value: str, others: str = "") -> str:
-    """A pivot over the values there are; the rows come with the totals as rows and columns like any other."""
-    return f"PIVOT ({rows}) ON {column} USING {value} GROUP BY {key}{others}"
+# fixed values: what becomes a column in the test tables; the engine finds its columns by itself
+_CHANNELS = ("B2B", "Online", "Store")
+_REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
+
+
+def _columns(column: str, values: tuple[str, ...], cell: str) -> str:
+    """One column per value; ``cell`` makes it from the sum of its cells."""
+    return ",\n".join(f"""{cell.format(f"SUM(revenue) FILTER (WHERE {column} = '{value}')")} AS "{value}\"""" for value in values)
 
 
 def _matrix(row_total: str, column_total: str) -> str:
+    cell = _dbl("COALESCE({}, 0)")
     return f"""
       SELECT CASE WHEN GROUPING(region) = 1 THEN '{column_total}' ELSE region END AS region,
-             CASE WHEN GROUPING(channel) = 1 THEN '{row_total}' ELSE channel END AS heading, SUM(revenue) AS revenue
-      FROM cells GROUP BY CUBE (region, channel)"""
+             {_columns("channel", _CHANNELS, cell)}, {cell.format("SUM(revenue)")} AS "{row_total}"
+      FROM cells GROUP BY ROLLUP (region)"""
 
 
 def _top(k: int) -> str:
@@ -428,8 +434,9 @@ QUERIES = {
                    CAST((SELECT MAX(month) FROM numbered) + to_months(CAST(step AS INT)) AS DATE), NULL
             FROM range(0, 4) AS steps(step)) CROSS JOIN line""",
     "region_month_heatmap": f"""
-      SELECT {_LABEL} AS month, strftime(month, '%b %y') AS label, month(month) IN (10, 11, 12) AS fourth_quarter, region, revenue
-      FROM region_month""",
+      SELECT {_LABEL} AS month, strftime(month, '%b %y') AS label, month(month) IN (10, 11, 12) AS fourth_quarter,
+             {_columns("region", _REGIONS, _dbl("{}") + " / 1000.0")}
+      FROM region_month GROUP BY month""",
     "product_matrix_points": f"""
       SELECT id, category, {_dbl('total_revenue_year')} AS total_revenue_year, growth_h1_to_h2, {_MARGIN} AS margin_pct,
              {_rnd('revenue_median', 2)} AS revenue_median, {_rnd('growth_median', 2)} AS growth_median,
@@ -557,17 +564,6 @@ STEPS["line"] = f"""
       FROM numbered"""
 
 
-_MATRIX = {"key": "region", "column": "heading", "value": f"{_dbl('COALESCE(SUM(revenue), 0)')}"}
-# the queries whose rows are turned into columns at the end
-PIVOTS = {
-    "revenue_matrix": _MATRIX,
-    "region_matrix_export": _MATRIX,
-    "region_month_heatmap": {
-        "key": "month", "column": "region", "value": f"{_dbl('SUM(revenue)')} / 1000.0", "others": ", label, fourth_quarter",
-    },
-}
-
-
 def _read_by(text: str) -> list[str]:
     words = set(re.findall(r"\b(?:FROM|JOIN)\s+\(*\s*(\w+)", text))
     return [step for step in STEPS if step in words]
@@ -587,6 +583,5 @@ def oracle() -> dict[str, str]:
     out = {}
     for name, final in QUERIES.items():
         ctes = ",\n".join(f"{step} AS ({STEPS[step]})" for step in _needed(final, []))
-        text = f"WITH {ctes}\n{final}"
-        out[name] = _pivot(text, **PIVOTS[name]) if name in PIVOTS else text
+        out[name] = f"WITH {ctes}\n{final}"
     return out
