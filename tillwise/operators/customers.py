@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tillwise.functions.numbers import double, exact_avg, percent_of, ratio, rounded
 from tillwise.operators.joins import beside, sorted_small
 from tillwise.operators.marts import sums_by_customer
-from tillwise.operators.ordered import edges_of_counts, exact_quantile, number_rows, rank_bin, value_bin
+from tillwise.operators.ordered import edges_of_counts, exact_quantile, value_bin
+from tillwise.operators.selection import at_positions, bin_ends, bin_of
+from tillwise.session import durable
 
 _FIFTHS = (0.2, 0.4, 0.6, 0.8)
 
@@ -38,14 +40,15 @@ def rfm_segment(score: Column, r: Column, f: Column) -> Column:
 
 def rfm(sales: DataFrame, reference_date: dt.date | str | None = None) -> DataFrame:
     """Recency, frequency and monetary value per customer, scored 1 to 5, and the segment."""
-    return rfm_from_sums(sums_by_customer(sales), reference_date)
+    return rfm_from_sums(durable(sums_by_customer(sales)), reference_date)
 
 
 def rfm_from_sums(by_customer: DataFrame, reference_date: dt.date | str | None = None) -> DataFrame:
-    """RFM from one row per customer.
+    """RFM from one row per customer, a stored table.
 
-    Frequency and monetary scores are fifths of a global rank, ties broken by customer; recency is
-    cut at quantiles of the days themselves. The days form a small domain and are counted first.
+    Frequency and monetary scores are fifths of a global rank, ties broken by customer: the last customer of each fifth is
+    found by counting, the others are compared with it. Recency is cut at quantiles of the days themselves. The days form a
+    small domain and are counted first.
     """
     base = by_customer.select(
         "customer_id",
@@ -53,19 +56,21 @@ def rfm_from_sums(by_customer: DataFrame, reference_date: dt.date | str | None =
         F.col("total_orders").alias("frequency"),
         F.col("total_revenue").alias("monetary"),
     )
-    by_frequency = number_rows(base, ["frequency", "customer_id"])
-    scored = by_frequency.select(
-        "customer_id", "last", "frequency", "monetary", rank_bin(F.col("row_num"), F.col("n_rows")).alias("f_score")
+    money = base.schema["monetary"].dataType
+    fifths = len(_FIFTHS) + 1
+    orders = at_positions(
+        base, {"frequency": F.col("frequency").cast(money), "monetary": F.col("monetary")}, "customer_id", lambda n: bin_ends(n, fifths)
     )
-    by_value = number_rows(scored, ["monetary", "customer_id"])
 
-    reference = _reference(by_value, "last", reference_date)
+    def score(value: str) -> Column:
+        return bin_of(F.col(value), F.col("customer_id"), orders.get((value, ())), fifths).alias(f"{value[0]}_score")
+
+    reference = _reference(base, "last", reference_date)
     recency = F.datediff("reference_date", "last").alias("recency")
-    days = beside(by_value.groupBy("last").agg(F.count("*").alias("customers")), reference)
+    days = beside(base.groupBy("last").agg(F.count("*").alias("customers")), reference)
     edges = edges_of_counts(days.select(recency, "customers"), "recency", "customers", _FIFTHS)
-    rows = beside(by_value, beside(reference, edges)).select(
-        "customer_id", recency, "frequency", "monetary", "edges", "f_score",
-        rank_bin(F.col("row_num"), F.col("n_rows")).alias("m_score"),
+    rows = beside(base, beside(reference, edges)).select(
+        "customer_id", recency, "frequency", "monetary", "edges", score("frequency"), score("monetary")
     )
     r, f = F.col("r_score"), F.col("f_score")
     return (

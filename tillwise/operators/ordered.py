@@ -1,4 +1,4 @@
-"""Global order without a single-task window: row numbers, running sums, quantiles, bins.
+"""Global order without a single-task window: row numbers, running sums, bins (``selection`` finds single positions).
 
 A window without partition keys sends every row to one task. Here the rows are range-partitioned
 by a unique order and sorted inside their partitions; ``monotonically_increasing_id`` then holds
@@ -14,7 +14,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
+from tillwise.operators.selection import local_rows, quantiles
 from tillwise.session import durable
 
 _POSITION_BITS = 33  # of monotonically_increasing_id
@@ -84,36 +86,17 @@ def rank_bin(row_num: Column, n_rows: Column, bins: int = 5) -> Column:
 def exact_quantile(
     df: DataFrame, value: str, key: str, probability: float = 0.5, by: Sequence[str] = (), name: str = "quantile"
 ) -> DataFrame:
-    """Interpolated quantile of ``value`` for each group of ``by``, or one row without groups.
+    """Interpolated quantile of ``value`` for each group of ``by`` (few groups), or one row without groups.
 
-    ``key`` makes the order unique. Only the two rows around the wanted position of each group are
-    looked up by their number; no task ever holds the values of a group.
+    ``key`` makes the order unique. The two values around the wanted position are found by counting; rows are neither sorted nor
+    gathered. ``df`` is read a few times.
     """
-    ranked = number_rows(
-        df.select(*by, F.col(value).cast("double").alias("_value"), key).filter("_value IS NOT NULL"),
-        [*by, "_value", key],
-    )
-    spot = (F.col("_count") - 1) * F.lit(probability)
-    targets = (
-        ranked.groupBy(*by)
-        .agg(F.min("row_num").alias("_first"), F.count("*").alias("_count"))
-        .filter("_count > 0")
-        .select(
-            *by,
-            (spot - F.floor(spot)).alias("_part_way"),
-            F.explode(F.array_distinct(F.array(
-                F.col("_first") + F.floor(spot), F.col("_first") + F.ceil(spot)
-            ))).alias("row_num"),
-        )
-    )
-    # two rows per group; how to join them is left to the adaptive planner, which sees their bytes
-    low, high = F.min("_value"), F.max("_value")
-    return (
-        ranked.select("row_num", "_value")
-        .join(targets, "row_num")
-        .groupBy(*by)
-        .agg((low + (high - low) * F.max("_part_way")).alias(name))
-    )
+    found = quantiles(df, {name: F.col(value).cast("double")}, key, probability, by)
+    rows = [(*group, number) for (_, group), number in found.items()]
+    if not by and not rows:
+        rows = [(None,)]
+    schema = StructType([*[df.schema[c] for c in by], StructField(name, DoubleType())])
+    return local_rows(df.sparkSession, rows, schema)
 
 
 def edges_of_counts(counts: DataFrame, value: str, count: str, probabilities: Sequence[float]) -> DataFrame:

@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tillwise.functions.dates import in_period
 from tillwise.functions.numbers import double, growth_pct, percent_of, ratio, rounded
 from tillwise.functions.text import shorten
-from tillwise.operators.joins import beside
-from tillwise.operators.ordered import exact_quantile, running_sum
+from tillwise.operators.ordered import running_sum
+from tillwise.operators.selection import quantiles
 from tillwise.session import durable
 from tillwise.sources.tables import Tables
 
@@ -85,9 +85,9 @@ def growth_of(sales: DataFrame, products: DataFrame, year: int) -> DataFrame:
     )
     high_revenue = double("total_revenue_year") >= F.col("revenue_median")
     high_growth = F.col("growth_h1_to_h2") >= F.col("growth_median")
-    rows = base
-    for value, name in (("total_revenue_year", "revenue_median"), ("growth_h1_to_h2", "growth_median")):
-        rows = beside(rows, exact_quantile(base, value, "id", name=name))
+    measures = {"revenue_median": double("total_revenue_year"), "growth_median": F.col("growth_h1_to_h2")}
+    medians = quantiles(base, measures, "id")
+    rows = base.withColumns({name: F.lit(medians.get((name, ()))).cast("double") for name in measures})
     return rows.withColumn("bcg_quadrant", quadrant(high_revenue, high_growth))
 
 
