@@ -12,8 +12,9 @@ tokens at the seam would have merged before those around them came to be.
 
 As the tiktoken library does, a piece that is a token as a whole is that token, even if merges do not lead to it.
 
-Each Python worker reads the ranks once and keeps the ids of pieces it has met, up to ``KEPT`` of them; then it starts anew.
-Texts are encoded in slices, so memory does not follow their length but for the ids of one text.
+Each Python worker reads the ranks once and keeps the ids of pieces it has met, up to two generations of ``KEPT``. New pieces are gone
+through in their order, each from the prefix it shares with the one before. Texts are encoded in slices, so memory does not follow
+their length but for the ids of one text.
 
 Nulls: a null text is the empty text, which has no tokens; a null id stays null. Repeated rows are rows of their own. An empty table
 gives an empty result. Columns other than those named do not matter.
@@ -37,7 +38,7 @@ from tillwise.session import tune
 
 KEPT = 1 << 18  # pieces kept by a worker
 LONG = 64  # bytes of a piece that is not worth keeping
-SLICE = 1 << 18  # characters of a text that is split at once, else pieces at a time
+SLICE = 1 << 20  # characters of a text that is split at once, else pieces at a time
 AHEAD = 4  # characters that the pattern looks at beyond a piece, at most
 
 ENCODED = "doc_id long, ids array<int>"
@@ -54,7 +55,8 @@ class Vocabulary:
         # of all beginnings of tokens, the token that they are, or -1
         self._spelt = {token[:i]: -1 for token in ranks for i in range(1, len(token))} | ranks
         self._split: dict[int, tuple[int, int] | None] = {}
-        self._fit: dict[tuple[int, int], bool] = {}
+        self._bits = max(self.bytes).bit_length()
+        self._fit: dict[int, bool] = {}
 
     @staticmethod
     def read(path: str) -> Vocabulary:
@@ -93,12 +95,14 @@ class Vocabulary:
         return found
 
     def fit(self, left: int, right: int) -> bool:
-        """Whether the bytes of two tokens, one after the other, are encoded as just these."""
-        known = self._fit.get((left, right))
+        """Whether the bytes of two tokens, one after the other, are encoded as just these; with -1 on the left, whether those of one are."""
+        key = left << self._bits | right
+        known = self._fit.get(key)
         if known is None:
             if len(self._fit) > 2 * KEPT:
                 self._fit.clear()
-            known = self._fit[left, right] = self._fits(left, right)
+            reached = len(self.bytes[right]) == 1 or self.split(right) is not None  # else merges do not lead to it
+            known = self._fit[key] = reached and (left < 0 or self._fits(left, right))
         return known
 
     def _fits(self, left: int, right: int) -> bool:
@@ -133,20 +137,32 @@ class Vocabulary:
 
         Goes forward: behind a prefix stands each token that the next bytes spell and that fits its last token.
         """
-        known, spelt = len(last), self._spelt
+        known, longest, bits = len(last), self.longest, self._bits
+        spelt, fits = self._spelt.get, self._fit.get
         last += [-1] * (end - known)
-        for begin in range(max(0, known - self.longest + 1), end):
+        for begin in range(max(0, known - longest + 1), end):
             before = last[begin - 1] if begin else -1
-            for stop in range(begin + 1, min(end, begin + self.longest) + 1):
-                token = spelt.get(piece[begin:stop])
+            for stop in range(max(begin, known) + 1, min(end, begin + longest) + 1):
+                if last[stop - 1] >= 0:
+                    continue
+                token = spelt(piece[begin:stop])
                 if token is None:
                     break
-                if token >= 0 and last[stop - 1] < 0 and (before < 0 or self.fit(before, token)) and self.reached(token):
-                    last[stop - 1] = token
-
-    def reached(self, token: int) -> bool:
-        """Whether merges lead to the token."""
-        return len(self.bytes[token]) == 1 or self.split(token) is not None
+                if token >= 0:
+                    fit = fits(before << bits | token)
+                    if self.fit(before, token) if fit is None else fit:
+                        last[stop - 1] = token
+
+    def ids(self, piece: bytes, last: list[int]) -> list[int]:
+        """The encoding of a piece, read from its end."""
+        token = self.ranks.get(piece)
+        if token is not None:
+            return [token]
+        out, at = [], len(piece)
+        while at:
+            out.append(last[at - 1])
+            at -= len(self.bytes[out[-1]])
+        return out[::-1]
 
 
 class Prefixes:
@@ -190,30 +206,41 @@ class Prefixes:
         return other
 
     def ids(self) -> list[int]:
-        token = self._vocabulary.ranks.get(self.bytes)
-        if token is not None:
-            return [token]
-        out, at = [], len(self.bytes)
-        while at:
-            out.append(self.last[at - 1])
-            at -= len(self._vocabulary.bytes[out[-1]])
-        return out[::-1]
+        return self._vocabulary.ids(self.bytes, self.last)
 
 
 class _Known(dict):
-    """Ids of pieces, four bytes each; a piece that is not there is encoded."""
+    """Ids of pieces, four bytes each, in two generations: when the younger one is full it becomes the elder, which is forgotten."""
 
     def __init__(self, vocabulary: Vocabulary, limit: int):
         self._vocabulary, self._limit = vocabulary, limit
+        self._elder: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = array("i", Prefixes(self._vocabulary, piece.encode("utf-8", "replace")).ids()).tobytes()
-        if len(piece) <= LONG:
-            if len(self) >= self._limit:
-                self.clear()
-            self[piece] = ids
+        """A piece that is only there among the elder, or was too long to be kept."""
+        ids = self._elder.get(piece)
+        if ids is None:
+            return array("i", Prefixes(self._vocabulary, piece.encode("utf-8", "replace")).ids()).tobytes()
+        self[piece] = ids
         return ids
 
+    def learn(self, pieces: set[str]) -> None:
+        """Encode pieces that are not there: in their order, so that each goes on from what it shares with the one before."""
+        if len(self) > self._limit:
+            self._elder = dict(self)
+            self.clear()
+        elder, vocabulary = self._elder, self._vocabulary
+        new = sorted((p.encode("utf-8", "replace"), p) for p in pieces if p not in self and p not in elder and len(p) <= LONG)
+        before, last = b"", []
+        for spelt, piece in new:
+            shared, most = 0, min(len(before), len(spelt))
+            while shared < most and before[shared] == spelt[shared]:
+                shared += 1
+            del last[shared:]
+            vocabulary.advance(spelt, last, len(spelt))
+            self[piece] = array("i", vocabulary.ids(spelt, last)).tobytes()
+            before = spelt
+
 
 class Encoder:
     """Ids of texts by a rank file and the pattern that splits a text."""
@@ -239,8 +266,29 @@ class Encoder:
             yield some
 
     def encode(self, text: str) -> np.ndarray:
+        known, out = self._known, []
+        for some in self._pieces(text):
+            known.learn(set(some))
+            out.append(b"".join(map(known.__getitem__, some)))
+        return np.frombuffer(b"".join(out), np.int32)
+
+    def encode_all(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text; new pieces of about ``SLICE`` characters of texts are learnt together."""
         known = self._known.__getitem__
-        return np.frombuffer(b"".join([b"".join(map(known, some)) for some in self._pieces(text)]), np.int32)
+        at = 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (end == at or size + len(texts[end]) <= SLICE):
+                size += len(texts[end])
+                end += 1
+            if size > SLICE:
+                yield self.encode(texts[at])
+            else:
+                split = [self.pattern.findall(text) for text in texts[at:end]]
+                self._known.learn(set().union(*split))
+                for some in split:
+                    yield np.frombuffer(b"".join(map(known, some)), np.int32)
+            at = end
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """The bytes that ids spell."""
@@ -325,9 +373,9 @@ def _lists(values: list[np.ndarray], kind: pa.DataType) -> tuple[pa.Array, pa.Ar
 
 def _encoded(path: str, pattern: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path, pattern).encode
+        encode = encoder(path, pattern).encode_all
         for batch in batches:
-            ids = [encode(text.as_py()) for text in batch.column("text")]
+            ids = list(encode(batch.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.ListArray.from_arrays(*_lists(ids, pa.int32()))], ["doc_id", "ids"])
 
     return run
