@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import Window, functions as F
 
-from tillwise.operators import marts, ordered
+from tillwise.operators import joins, marts, ordered
 from tillwise.plans.catalog import registered
 from tillwise.sources.retail import retail_tables
 from tillwise.sources.tables import Tables, load_tables, save_tables
@@ -170,6 +170,48 @@ def test_hot_key_is_split_in_a_join_of_single_sales(large_plans, mart, rows):
     assert "SortMergeJoin(skew=true)" in plan(df)
 
 
+@pytest.fixture
+def no_help(spark):
+    """Shuffled joins without the adaptive rules."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "40"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_heavy_keys_are_measured_and_split(no_help, how):
+    """Half the sales are of one product: with neither broadcast nor the adaptive rule no task gets three times the median."""
+    n = 80_000
+    sales = no_help.range(0, n, 1, 8).selectExpr("id", "IF(id % 2 = 0, 7, id % 997) AS product_id", "id % 5 AS quantity")
+    products = no_help.range(900).selectExpr("id AS product_id", "concat('p', id) AS name")
+    assert joins.heavy_keys(sales, "product_id", piece=500)[0][0] == 7
+    plain, split = sales.join(products, "product_id", how), joins.split_join(sales, products, "product_id", how, piece=500)
+    assert sorted(map(tuple, split.select(plain.columns).collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+    def sizes(df):
+        return sorted(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+
+    before, after = sizes(plain), sizes(split)
+    assert before[-1] > 10 * before[len(before) // 2] and after[-1] < 3 * after[len(after) // 2]
+
+
+def test_raw_sales_with_split_joins_are_the_same(no_help, monkeypatch):
+    monkeypatch.setattr(joins, "PIECE", 500)
+    monkeypatch.setattr(joins.split_join, "__defaults__", ("inner", 500))
+    tables = hot_tables(no_help, 20_000)
+    plain, split = marts.raw_sales(tables), marts.raw_sales(tables, split=True)
+    assert "_number" in plan(split) and sorted(map(tuple, plain.collect())) == sorted(map(tuple, split.collect()))
+
+
+def test_without_heavy_keys_the_join_is_plain(spark):
+    assert joins.heavy_keys(spark.range(1000), "id") == [] and joins.heavy_keys(spark.range(0), "id") == []
+    assert "_number" not in plan(joins.split_join(spark.range(1000), spark.range(10), "id"))
+
+
 def test_hot_key_needs_no_split_where_sales_are_summed_first(large_plans):
     df = marts.top_products_revenue_margin(hot_tables(large_plans))
     got = {r["id"]: r["total_orders"] for r in df.collect()}

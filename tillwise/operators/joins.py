@@ -1,8 +1,15 @@
-"""Joins with one-row facts, and sorts of results that are small by nature."""
+"""Joins with one-row facts, joins split by measured heavy hitters, and sorts of results that are small by nature."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
+
+from tillwise.operators.selection import local_rows
+
+HEAVY = 1024  # heaviest keys of a join that are looked at
+TRACKED = 16384  # keys that their sketch keeps, a power of two
+PIECE = 100_000  # rows that are not worth splitting
 
 
 def beside(rows: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -11,6 +18,48 @@ def beside(rows: DataFrame, one_row: DataFrame) -> DataFrame:
     return rows.withColumn("_facts", facts).select(*rows.columns, "_facts.*")
 
 
+def heavy_keys(rows: DataFrame, key: str, piece: int = PIECE) -> list[tuple[object, int]]:
+    """(key, number of tasks) of the keys that have too many rows for one task, ``HEAVY`` at most.
+
+    One pass fills a frequent-items sketch of ``TRACKED`` keys per task and merges them in two steps, so only sketches are sent. It misses no key with
+    more than a few ``TRACKED``-ths of all rows; a key it names too large is split more than need be. A task is to get
+    ``piece`` rows, or half of what it would get if all were dealt evenly, if that is more.
+    """
+    parts = rows.filter(F.col(key).isNotNull()).groupBy(F.pmod(F.spark_partition_id(), F.lit(64)))
+    sketches = parts.agg(F.count("*").alias("n"), F.expr(f"approx_top_k_accumulate(`{key}`, {TRACKED})").alias("sketch"))
+    # grouped, so that no rows give no row
+    found = sketches.groupBy(F.lit(1)).agg(F.sum("n").alias("n"), F.expr(f"approx_top_k_combine(sketch, {TRACKED})").alias("sketch")).select(
+        "n", F.expr(f"approx_top_k_estimate(sketch, {HEAVY})").alias("top")
+    ).first()
+    if found is None:
+        return []
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = max(piece, found.n // (2 * tasks))
+    return [(item.item, -(-item["count"] // most)) for item in found.top if item["count"] > most]
+
+
+def split_join(
+    rows: DataFrame, table: DataFrame, key: str, how: str = "inner", piece: int = PIECE, measured: DataFrame | None = None
+) -> DataFrame:
+    """``rows`` joined with ``table``, which has one row per ``key``; heavy keys of ``rows`` are dealt to several tasks.
+
+    Rows of a heavy key get one of as many numbers as it takes tasks, by the hash of all their columns; the one row of the
+    table is repeated for each number, and key and number are joined. Other keys join plainly, in the same plan. ``rows`` are read
+    once more for the sketch, so they should be a table, or ``measured`` be one with the same keys. ``how`` is inner or left.
+    """
+    heavy = heavy_keys(rows if measured is None else measured, key, piece)
+    if not heavy:
+        return rows.join(table, key, how)
+    schema = StructType([StructField("_key", rows.schema[key].dataType), StructField("_tasks", IntegerType())])
+    tasks = F.broadcast(local_rows(rows.sparkSession, heavy, schema))  # HEAVY rows at most
+    names = rows.columns
+    dealt = rows.join(tasks, F.col(key) == F.col("_key"), "left")
+    dealt = dealt.select(*names, F.coalesce(F.pmod(F.xxhash64(*names), "_tasks"), F.lit(0)).cast("int").alias("_number"))
+    repeated = table.join(tasks, F.col(key) == F.col("_key"), "left")
+    repeated = repeated.select(*table.columns, F.explode(F.sequence(F.lit(0), F.coalesce("_tasks", F.lit(1)) - 1)).alias("_number"))
+    return dealt.join(repeated, [key, "_number"], how).drop("_number")
+
+
 def sorted_small(rows: DataFrame, *keys: str | Column) -> DataFrame:
     """Sort a result whose rows are few by nature: months, quarters, classes, segments, KPI rows.
 

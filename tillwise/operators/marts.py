@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillwise.functions.dates import month_start, quarter_of_year
 from tillwise.functions.numbers import double, mean_of_sum, percent_of, ratio, rounded
-from tillwise.operators.joins import sorted_small
+from tillwise.operators.joins import sorted_small, split_join
 from tillwise.sources.tables import Tables
 
 
@@ -220,9 +220,12 @@ def channel_efficiency(by_customer: DataFrame, customers: DataFrame, ordered: bo
     return _sorted(out, ordered, F.desc("avg_clv"), "acquisition_channel")
 
 
-def raw_sales(tables: Tables, ordered: bool = False) -> DataFrame:
+def raw_sales(tables: Tables, ordered: bool = False, split: bool = False) -> DataFrame:
     """Every sale with its product and customer columns.
 
+    With ``split`` the products and customers that have too many sales for one task are measured, in a pass of its own for
+    each, and their sales are dealt to several tasks; otherwise hot keys are left to the adaptive planner.
+
     Sorting the whole fact table by date is a full shuffle for its own sake, so it is off unless
     the caller writes the rows out in that order.
     """
@@ -230,9 +233,9 @@ def raw_sales(tables: Tables, ordered: bool = False) -> DataFrame:
         F.col("id").alias("product_id"), "category", F.col("name").alias("product_name"), "price", "cost"
     )
     customers = tables.customers.select(F.col("id").alias("customer_id"), "segment", "acquisition_channel")
+    join = split_join if split else DataFrame.join
     out = (
-        tables.sales.join(products, "product_id")
-        .join(customers, "customer_id")
+        join(join(tables.sales, products, "product_id"), customers, "customer_id")
         .select(
             "id", "date", "customer_id", "product_id", "quantity", "revenue", "region", "channel",
             "category", "product_name", "price", "cost", "segment", "acquisition_channel",
