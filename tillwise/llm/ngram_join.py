@@ -33,17 +33,19 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tillwise.llm.components import components
-from tillwise.llm.shipping import released, utf8
+from tillwise.llm.components import components, joined_components
+from tillwise.llm.shipping import let_go, released, ship, utf8
 from tillwise.llm.wordids import rows_of
 from tillwise.llm.words import Words, mixed, shingles, slices
+from tillwise.operators.joins import split_join
 from tillwise.session import durable, tune
 
-SLOTS = 1 << 22  # of the table of shingle counts
+SLOTS = 1 << 22  # of the table of shingle counts, for up to 1,024 scan tasks; 16 times as many at most
 CHUNK = 1 << 16
 BUCKETS = 128
 RUN = 1 << 16  # postings of one list that go to one task
-NEEDED_BITS = 1 << 24
+FAN = 1 << 10  # pairs of one class, or rows of one list's head, that go to one task
+NEEDED_BITS = 1 << 24  # of the table of wanted documents, grown alike
 
 POSTED = "doc_id long, cid long, gid long, n int, light int, overlap binary, tokens array<long>, salts array<int>"
 
@@ -59,22 +61,27 @@ def _runs(total: int, counts: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.repeat(first - (np.cumsum(counts) - counts), counts) + np.arange(total)
 
 
+def grown(size: int, tasks: int) -> int:
+    """A table size for the number of scan tasks: twice the size for twice the tasks beyond 1,024, up to 16 times."""
+    return size << min(4, max(0, (tasks - 1) // 1024).bit_length())
+
+
 # --- 1. how common a shingle is -------------------------------------------------------------------------------------
 
 
-def _count_slots(size: int):
+def _count_slots(size: int, slots: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, waiting = np.zeros(SLOTS, np.int32), [np.zeros(0, np.int64)]
+        counts, waiting = np.zeros(slots, np.int32), [np.zeros(0, np.int64)]
         for _, texts in slices(rows_of(batches)):
             _, values = shingles(Words.of(texts), size)
-            waiting.append((values & np.uint64(SLOTS - 1)).astype(np.int64))
+            waiting.append((values & np.uint64(slots - 1)).astype(np.int64))
             if sum(map(len, waiting)) > SLOTS // 2:
-                counts += np.bincount(np.concatenate(waiting), minlength=SLOTS).astype(np.int32)
+                np.add.at(counts, np.concatenate(waiting), 1)
                 waiting = waiting[:1]
-        counts += np.bincount(np.concatenate(waiting), minlength=SLOTS).astype(np.int32)
+        np.add.at(counts, np.concatenate(waiting), 1)
         kept = np.minimum(counts, 255).astype(np.uint8)
         task = TaskContext.get().partitionId()
-        for chunk in range(SLOTS // CHUNK):
+        for chunk in range(slots // CHUNK):
             part = kept[chunk * CHUNK : (chunk + 1) * CHUNK]
             if part.any():
                 # the few that a byte does not hold: their place and what is above it
@@ -103,25 +110,39 @@ def _add_up(kind: str):
 
 
 def slot_counts(texts: DataFrame, size: int) -> np.ndarray:
-    """Of every slot, in how many documents its shingles are: ``SLOTS`` numbers at any input.
+    """Of every slot, in how many documents its shingles are: a table of bounded size at any input.
 
     Tasks' tables are added in two steps, each over about the root of the number of tasks.
     """
-    made = texts.mapInArrow(released(_count_slots(size)), "chunk int, task int, counts binary, above binary")
-    width = max(1, math.isqrt(texts.rdd.getNumPartitions()))
+    tasks = texts.rdd.getNumPartitions()
+    slots, width = grown(SLOTS, tasks), max(1, math.isqrt(tasks))
+    made = texts.mapInArrow(released(_count_slots(size, slots)), "chunk int, task int, counts binary, above binary")
     once = made.groupBy("chunk", F.pmod("task", F.lit(width))).applyInArrow(_add_up("<u1"), "chunk int, counts binary")
     twice = once.groupBy("chunk").applyInArrow(_add_up("<u4"), "chunk int, counts binary")
-    out = np.zeros(SLOTS, np.uint32)
+    out = np.zeros(slots, np.uint32)
     for row in twice.toLocalIterator():
         out[row.chunk * CHUNK : (row.chunk + 1) * CHUNK] = np.frombuffer(row.counts, np.uint32)
     return out
 
 
-def _common(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of every slot its class of commonness (0: nothing stands out) and over how many tasks its postings are spread."""
-    mean = max(1.0, counts.mean())
-    stands_out = counts > mean + 8 * np.sqrt(mean) + 4  # beyond what chance puts into a slot
-    return np.where(stands_out, np.log2(np.maximum(counts, 1) / mean).astype(np.uint8), 0).astype(np.uint8), np.minimum(1 + counts // RUN, 65535).astype(np.uint16)
+def _common(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of every slot its class of commonness (0: nothing stands out); the slots whose lists are spread over tasks, and over how many.
+
+    What is above the mean is one shingle's, so that, and not the slot's whole count, decides on the spread.
+    """
+    average = float(counts.mean(dtype=np.float64))
+    mean = max(1.0, average)
+    limit = mean + 8 * math.sqrt(mean) + 4  # beyond what chance puts into a slot
+    level = np.zeros(len(counts), np.uint8)
+    hot, tasks = [], []
+    for at in range(0, len(counts), CHUNK):
+        part = counts[at : at + CHUNK]
+        high = np.flatnonzero(part > limit)
+        level[at + high] = np.log2(part[high] / mean).astype(np.uint8)
+        spread = np.minimum(1 + np.rint(part[high] - average).astype(np.int64) // RUN, 65535)
+        hot.append(at + high[spread > 1])
+        tasks.append(spread[spread > 1])
+    return level, np.concatenate(hot), np.concatenate(tasks)
 
 
 # --- 2. prefixes, groups, postings ----------------------------------------------------------------------------------
@@ -138,12 +159,12 @@ def _class_ids(value: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return mixed(_summed(mixed(value ^ np.uint64(0x1B873593)), cuts[:-1], cuts[1:]) * np.uint64(31) + n).view(np.int64)
 
 
-def _post(like: Similarity, common, spread):
+def _post(like: Similarity, common):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level, tasks = common.value, spread.value
+        level, hot, tasks = common.value
         for keys, texts in slices(rows_of(batches)):
             text, value = shingles(Words.of(texts), like.words)
-            slot = (value & np.uint64(SLOTS - 1)).astype(np.int64)
+            slot = (value & np.uint64(len(level) - 1)).astype(np.int64)
             heat = level[slot].astype(np.int64)
             order = np.argsort(text * 256 + heat, kind="stable")  # by text and value before
             value, heat, slot = value[order], heat[order], slot[order]
@@ -152,6 +173,10 @@ def _post(like: Similarity, common, spread):
             prefix = np.where(n > 0, n - (n * like.percent + 99) // 100 + 1, 0)
             head = _runs(prefix.sum(), prefix, cuts[:-1])
             tokens = value[head]
+            salts = np.ones(len(head), np.int32)
+            if len(hot):
+                at = np.minimum(np.searchsorted(hot, slot[head]), len(hot) - 1)
+                salts = np.where(hot[at] == slot[head], tasks[at], 1).astype(np.int32)
             stops = np.cumsum(prefix)
             gid = mixed(_summed(mixed(tokens ^ np.uint64(0x5BD1E995)), stops - prefix, stops) * np.uint64(31) + n.astype(np.uint64))
             light = _summed((heat == 0).astype(np.int64), cuts[:-1], cuts[1:])
@@ -167,7 +192,7 @@ def _post(like: Similarity, common, spread):
                     pa.array(light, pa.int32()),
                     pa.array([overlap[i * BUCKETS : (i + 1) * BUCKETS] for i in range(len(texts))], pa.binary()),
                     pa.ListArray.from_arrays(ends, pa.array(tokens.view(np.int64))),
-                    pa.ListArray.from_arrays(ends, pa.array(tasks[slot[head]].astype(np.int32))),
+                    pa.ListArray.from_arrays(ends, pa.array(salts)),
                 ],
                 ["doc_id", "cid", "gid", "n", "light", "overlap", "tokens", "salts"],
             )
@@ -290,35 +315,45 @@ class _Verifier:
 
     def __init__(self, docs: DataFrame, posted: DataFrame, classes: DataFrame, like: Similarity, doc_id: str, text: str):
         self.like, self.classes = like, classes
+        self.bits = grown(NEEDED_BITS, docs.rdd.getNumPartitions())
         self.docs = utf8(docs, doc_id, text).withColumn("slot", self._slot(F.col("id")))
         named = posted.join(classes.select("cid", F.col("rep").alias("doc_id")), ["cid", "doc_id"], "left_semi")
         unnamed = posted.filter("doc_id IS NULL").join(classes.filter("rep IS NULL"), "cid", "left_semi")
         representatives = named.select("cid", "n", "overlap").union(unnamed.select("cid", "n", "overlap"))
         self.bounds = representatives.groupBy("cid").agg(F.first("n").alias("n"), F.first("overlap").alias("overlap"))
 
-    @staticmethod
-    def _slot(doc_id):
-        return F.pmod(F.xxhash64(doc_id), F.lit(NEEDED_BITS))
+    def _slot(self, doc_id):
+        return F.pmod(F.xxhash64(doc_id), F.lit(self.bits))
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (x, y) of class ids that link."""
         spark, like = pairs.sparkSession, self.like
         x, y = (self.bounds.toDF(side, f"n_{side}", f"overlap_{side}") for side in ("x", "y"))
-        possible = durable(pairs.join(x, "x").join(y, "y").mapInArrow(released(_bounded(like.percent)), "x long, y long").distinct())
+        pairs = durable(pairs)
+
+        def both(rows: DataFrame, y: DataFrame, x: DataFrame) -> DataFrame:
+            """Pairs with what is known of y, then of x; that of a class in many pairs is sent once for each task that its pairs are dealt to."""
+            return split_join(split_join(rows, y, "y", piece=FAN), x, "x", piece=FAN, measured=rows)
+
+        possible = durable(both(pairs, y, x).mapInArrow(released(_bounded(like.percent)), "x long, y long").distinct())
         involved = possible.select(F.col("x").alias("cid")).union(possible.select("y")).distinct()
         needed = durable(involved.join(self.classes.select("cid", "rep"), "cid"))
         # which documents' sets to make: a table of bits, of one size at any input
         slot = self._slot(F.col("rep"))
-        marks = np.zeros(NEEDED_BITS // 8, np.uint8)
+        marks = np.zeros(self.bits // 8, np.uint8)
         bits = needed.groupBy(F.bitmap_bucket_number(slot + 1).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot + 1)).alias("bits"))
         for row in bits.toLocalIterator():
             part = np.frombuffer(row.bits, np.uint8)
             marks[(row.bucket - 1) * len(part) : row.bucket * len(part)] = part
-        sets = self.docs.mapInArrow(released(_sets(like, spark.sparkContext.broadcast(marks))), "cid long, shingles binary")
+        shared = spark.sparkContext.broadcast(marks)
+        del marks
+        sets = self.docs.mapInArrow(released(_sets(like, shared)), "cid long, shingles binary")
         # the bits let some documents more pass, other classes or copies of the same
         made = durable(sets.join(needed.select("cid"), "cid").groupBy("cid").agg(F.first("shingles").alias("shingles")))
+        shared.destroy()
         x, y = (made.toDF(side, f"shingles_{side}") for side in ("x", "y"))
-        return durable(possible.join(x, "x").join(y, "y").mapInArrow(released(_linked(like.percent)), "x long, y long").distinct())
+        # in a star x is the head: a pair carries the set of y to it, not the other way round
+        return durable(both(possible, y, x).mapInArrow(released(_linked(like.percent)), "x long, y long").distinct())
 
 
 # --- the join -------------------------------------------------------------------------------------------------------
@@ -327,11 +362,12 @@ class _Verifier:
 def linked_classes(docs: DataFrame, like: Similarity = Similarity(), doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(documents, links, roots): doc_id, cid, n of every document; x, y of verified links between classes of equal sets,
     enough of them to connect whatever links connect; cid, root of every class with a link."""
-    spark = tune(docs.sparkSession)
+    spark = ship(tune(docs.sparkSession))
     texts = utf8(docs, doc_id, text)
-    level, tasks = _common(slot_counts(texts, like.words))
-    common, spread = spark.sparkContext.broadcast(level), spark.sparkContext.broadcast(tasks)
-    posted = durable(texts.mapInArrow(released(_post(like, common, spread)), POSTED))
+    common = spark.sparkContext.broadcast(_common(slot_counts(texts, like.words)))
+    posted = durable(texts.mapInArrow(released(_post(like, common)), POSTED))
+    common.destroy()
+    let_go(spark)
 
     # one document stands for a class of equal sets, one class for a group of equal prefixes and sizes
     classes = durable(posted.filter("n > 0").groupBy("gid", "cid").agg(F.min("doc_id").alias("rep")))  # null if none has an id
@@ -362,31 +398,42 @@ def linked_classes(docs: DataFrame, like: Similarity = Similarity(), doc_id: str
     stars = to_head.union(between).filter("x != y").distinct()
     group_head = classes.groupBy("gid").agg(F.min("cid").alias("head"))
     inside = members.join(group_head, "gid").select(F.col("head").alias("cid_x"), F.col("cid").alias("cid_y"))
-    links = verifier.links(_ordered_pairs(expanded(stars, group_head).union(inside), "cid_x", "cid_y"))
+    links = verifier.links(expanded(stars, group_head).union(inside).toDF("x", "y").filter("x != y").distinct())
+    let_go(spark)
     roots = durable(components(links.toDF("a", "b")).toDF("cid", "root"))
 
     # the rest: what shares a prefix shingle, or a whole prefix, and is not connected yet
-    rooted = members.join(roots, "cid", "left").select("gid", "cid", F.coalesce("root", "cid").alias("root"))
-    of_group = rooted.groupBy("gid").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    rooted = durable(members.join(roots, "cid", "left").select("gid", "cid", F.coalesce("root", "cid").alias("root")))
+    sizes = rooted.groupBy("gid").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("classes"))
+    of_group = sizes.drop("classes")
     # the group's shingles just before this one: a pair that has one of them in common was formed there
     just_before = Window.partitionBy("gid").orderBy("pos").rowsBetween(-4, -1)
     # the parts of a list that is spread over tasks are seen from one head
     one_head = listed.join(first.withColumnRenamed("x", "whole_head"), "token", "left").withColumn("head", F.coalesce("whole_head", "head"))
+    earlier = one_head.join(of_group, "gid").withColumn("earlier", F.collect_list("token").over(just_before))
     marked = durable(
-        one_head.join(of_group, "gid").withColumn("earlier", F.collect_list("token").over(just_before))
-        .join(of_group.toDF("head", "head_low", "head_high"), "head")
+        split_join(earlier, of_group.toDF("head", "head_low", "head_high"), "head", piece=FAN, measured=listed)
         .withColumn("apart", F.expr("NOT (low = high AND head_low = head_high AND low = head_low)"))
-        .select("token", "gid", "n", "pos", "low", "high", "earlier", "apart")
+        .select("token", "gid", "n", "pos", "low", "high", "earlier", "apart", "spread")
+    )
+    # a list that is spread over tasks: its postings are dealt to as many, the others with it are repeated for each
+    left = marked.filter("apart").withColumn("salt", F.pmod("gid", "spread")).drop("spread")
+    others = marked.withColumn("salt2", F.explode(F.sequence(F.lit(0), F.col("spread") - 1))).select(
+        *[F.col(name).alias(f"{name}2") for name in ("token", "gid", "n", "pos", "low", "high", "earlier")], "salt2"
     )
-    others = marked.toDF("token2", "gid2", "n2", "pos2", "low2", "high2", "earlier2", "apart2")
     unconnected = F.expr("gid != gid2 AND NOT (low = high AND low2 = high2 AND low = low2) AND NOT arrays_overlap(earlier, earlier2)")
-    rest = marked.filter("apart").join(others, F.expr("token = token2") & unconnected & _may_link(like.percent, "n", "pos", "n2", "pos2"))
+    rest = left.join(others, F.expr("token = token2 AND salt = salt2") & unconnected & _may_link(like.percent, "n", "pos", "n2", "pos2"))
     between_groups = expanded(_ordered_pairs(rest, "gid", "gid2"), members)
-    split = rooted.join(of_group.filter("low != high").select("gid"), "gid", "left_semi")
-    within = split.toDF("gid", "cid_x", "root_x").join(split.toDF("gid", "cid_y", "root_y"), "gid").filter("root_x != root_y AND cid_x < cid_y")
+    # likewise inside a group of several components
+    parted = sizes.filter("low != high").select("gid", (1 + F.floor(F.col("classes") / FAN)).cast("int").alias("spread"))
+    split = split_join(rooted, parted, "gid", piece=FAN)
+    one = split.select("gid", F.col("cid").alias("cid_x"), F.col("root").alias("root_x"), F.pmod("cid", "spread").cast("int").alias("salt"))
+    each = split.select("gid", F.col("cid").alias("cid_y"), F.col("root").alias("root_y"), F.explode(F.sequence(F.lit(0), F.col("spread") - 1)).alias("salt"))
+    within = one.join(each, ["gid", "salt"]).filter("root_x != root_y AND cid_x < cid_y")
     more = verifier.links(_ordered_pairs(between_groups.union(within.select("cid_x", "cid_y")), "cid_x", "cid_y"))
+    let_go(spark)
     links = links.union(more)
-    roots = durable(components(links.toDF("a", "b")).toDF("cid", "root"))
+    roots = durable(joined_components(roots, more.toDF("a", "b")).toDF("cid", "root"))
     return posted.select("doc_id", "cid", "n"), links, roots
 
 
@@ -394,8 +441,9 @@ def ngram_components(docs: DataFrame, like: Similarity = Similarity(), doc_id: s
     """doc_id, n_shingles, component_id (the smallest id that links lead to), one row per row of ``docs``."""
     rows, _, roots = linked_classes(docs, like, doc_id, text)
     rooted = rows.join(roots, "cid", "left").select("doc_id", "n", F.coalesce("root", "cid").alias("root"))
+    rooted = durable(rooted)
     named = rooted.groupBy("root").agg(F.min("doc_id").alias("least")).filter("root IS NOT NULL")
-    return rooted.join(named, "root", "left").select(
+    return split_join(rooted, named, "root", "left", piece=RUN).select(
         "doc_id",
         F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
@@ -409,5 +457,8 @@ def one_of_each(docs: DataFrame, like: Similarity = Similarity(), doc_id: str =
     """
     found = ngram_components(docs, like, doc_id, text)
     stays = F.max(F.col("doc_id") == F.col("component_id"))
-    dropped = found.groupBy("doc_id").agg(stays.alias("stays")).filter("NOT stays").select(F.col("doc_id").alias("_dropped"))
-    return docs.join(durable(dropped), F.col(doc_id) == F.col("_dropped"), "left_anti")
+    dropped = durable(found.groupBy("doc_id").agg(stays.alias("stays")).filter("NOT stays").select("doc_id"))
+    # the row as one column, so that no name of its own can clash
+    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"))
+    kept = rows.join(dropped, "doc_id", "left_anti")
+    return kept.select(*[F.col(f"row.`{name}`").alias(name) for name in docs.columns])

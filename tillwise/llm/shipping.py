@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import os
 import tempfile
 import zipfile
@@ -42,6 +43,16 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def let_go(spark: SparkSession) -> None:
+    """Collect what nobody holds any more, between the parts of a long job.
+
+    Spark's cleaner removes shuffle files and broadcasts of frames only once the JVM has collected them, and the driver's heap
+    grows to its limit before the JVM does so by itself.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def released(run: Callable[[Iterable], Iterator]) -> Callable[[Iterable], Iterator]:
     """An Arrow function that gives freed memory back when its task ends.
 
