@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tillwise.llm import copies, crf, mixing, ngram_join, slack
-from tillwise.llm.shipping import ship
+from tillwise.llm.shipping import let_go, ship
 from tillwise.session import durable, tune
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -60,6 +60,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = tune(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
         docs = durable(stage(spark, docs, sf_dir))
+        let_go(spark)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
