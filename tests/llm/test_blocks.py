@@ -1,5 +1,7 @@
 """Main text of pages."""
 
+import random
+
 import numpy as np
 import pytest
 
@@ -111,3 +113,45 @@ CARD = '<article><h3><a href="/t">Teaser</a></h3></article>'
 ])
 def test_window_sums_decide_on_marked_pages(page, text):
     assert blocks.main_text(page) == text
+
+
+@pytest.mark.parametrize("inside, text", [
+    # values of other attributes, and other attributes that end alike
+    ('<p title="a hidden gem">Text.</p>', "Text."), ('<p data-hidden="false">Text.</p>', "Text."), ('<div data-role="menu"><p>Text.</p></div>', "Text."),
+    ('<section data-id="share"><p>Text.</p></section>', "Text."), ("<p title='class=ad' data-class=ad>Text.</p>", "Text."),
+    # names of headings, paragraphs and words
+    ('<h2 id="search">Search</h2>', "Search"), ('<h2 id="related-work">Related work</h2>', "Related work"),
+    ('<p>A <span class="search">word</span> more.</p>', "A word more."), ('<p class="comment">Text.</p>', "Text."),
+    # links to sources
+    (f"<h2>Sources</h2><ul>{'<li><a href=/s>Source</a></li>' * 3}</ul>", "Sources Source Source Source"),
+    # containers that say what they are
+    ('<ul class="menu"><li><a href=/>Menu</a></li></ul>', ""), ("<div CLASS=ad>Buy</div>", ""), ("<p hidden>x</p>", ""), ('<x-ad class="ad">Buy</x-ad>', ""),
+    ('<div aria-hidden="true">x</div>', ""), ('<p style="color: red">Text.</p>', "Text."), ('<div id = "comments"><p>Nice</p></div>', ""),
+])
+def test_attributes_are_read_whole(inside, text):
+    page = f"<body><article><h1>Head</h1><p>{PARAGRAPH}</p>{inside}<p>End.</p></article></body>"
+    assert blocks.main_text(page) == " ".join(f"Head {PARAGRAPH} {text} End.".split())
+
+
+KEPT = [
+    ("<h2 id=share>Heading</h2>", "Heading"), (f"<p>{PARAGRAPH}</p>", PARAGRAPH), ("<p>Short.</p>", "Short."), ("<p>A <b class=ad>bold</b> <a href=/>link</a>.</p>", "A bold link."),
+    ("<ul><li>One item</li><li><a href=/i>Second</a></li></ul>", "One item Second"), ("<blockquote><p>Quoted &amp; said.</p></blockquote>", "Quoted & said."),
+    ("<table><tr><td>Cell</td><td>Other</td></tr></table>", "Cell Other"), ("<pre>code  here</pre>", "code here"), ("<p><a href=/only>Only a link</a></p>", "Only a link"),
+    ("<figure><figcaption>Caption</figcaption></figure>", "Caption"), ("<div><div><p>Deep.</p></div></div>", "Deep."), ("<p data-role=search>Text</p>", "Text"),
+]
+JUNK = [
+    "<div class=ad>Buy now</div>", "<nav><a href=/>Menu</a></nav>", "<aside><p>Aside</p></aside>", "<form><p>Mail</p><input></form>", "<script>if (a < b) x('<p>');</script>",
+    "<style>p{}</style>", "<section id=comments><article class=comment><p>Nice</p></article></section>", "<div role=alert>Notice</div>", "<!-- <p>no</p> -->", "<div class='cookie-banner'><p>Cookies</p></div>",
+    "<ul class=share><li>Share</li></ul>", "<footer>Foot</footer>", "<div hidden><p>Hidden</p></div>",
+]
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_pages_of_known_blocks_are_whole(seed):
+    """Blocks that are article text, in any order and among any others, come out as they went in."""
+    rng = random.Random(seed)
+    kept = [rng.choice(KEPT) for _ in range(rng.randrange(1, 25))] + [(f"<p>{PARAGRAPH}</p>", PARAGRAPH)]
+    body = [part for html, _ in kept for part in ([html] + [rng.choice(JUNK)] * rng.choice((0, 0, 1, 2)))]
+    around = [rng.choice(JUNK[:3] + JUNK[6:]) for _ in range(rng.randrange(4))]
+    page = f"<html><head><title>T</title></head><body>{''.join(around)}<article>{''.join(body)}</article>{''.join(around)}</body></html>"
+    assert blocks.main_text(page) == " ".join(" ".join(text for _, text in kept).split())

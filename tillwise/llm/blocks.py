@@ -6,7 +6,8 @@ among the paragraphs of one element: they part nothing. Text lengths, without th
 text of links, are summed over sliding windows of lines: where the sum rises over a threshold the text begins (surge),
 where it falls to nothing it ends (dive), and every line between stays whole; so does what lies between two surges of one
 element that only left-out containers part. The threshold follows the densest window of the page. A marked article lowers it
-to any text outside links: there only windows without such text, as in lists of links, are left out. Dense text outside it stays, too.
+to any text outside links: there only windows without such text, as in lists of links, are left out, and in an ``article`` with other text not even
+these. Dense text outside it stays, too. Names in class and id tell containers apart, not headings, paragraphs and words.
 
 Nulls: a null html is an empty page with an empty text; url and id are passed on as they are. Unclosed and stray tags, cut-off
 markup and unknown entities do not fail. An empty table gives an empty result.
@@ -40,7 +41,7 @@ _MARKUP = re.compile(
 # what follows these is no markup up to their end tag, or the end of the page
 _RAW_ENDS = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*+>?|\Z", re.IGNORECASE) for name in ("script", "style", "title", "textarea")}
 _UNQUOTED = re.compile(r"=\s*[^\s\"'>]+/\Z")
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s>/=]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])|[^A-Za-z]+")
 
 _BLOCKS = frozenset(
@@ -49,6 +50,8 @@ _BLOCKS = frozenset(
     "summary table tbody td tfoot th thead tr ul".split()
 )
 _HOLDERS = frozenset("html body div main article section center table tbody td th tr fieldset details".split())
+# what a class or an id can be the name of; those of headings, paragraphs and inline elements say nothing
+_CONTAINERS = _HOLDERS | frozenset("article main header figure ul ol dl li".split())
 _EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _NEVER = frozenset("nav footer aside form menu dialog button select datalist canvas audio video object map head".split())
 _INLINE = frozenset("svg math template noscript iframe noframes noembed xmp".split())  # left out, and may stand inside a line
@@ -88,7 +91,7 @@ def _boilerplate(name: str, rest: str, inside: bool) -> bool:
             return True
         if key == "role" and value.lower() in _ROLES:
             return True
-        if key in ("class", "id"):
+        if key in ("class", "id") and (name in _CONTAINERS or "-" in name):
             words = _words(value)
             if words & (_REMARKS if name in _MAIN else _NAMES) or (words & _HEADS and not inside and name not in _MAIN):
                 return True
@@ -107,6 +110,7 @@ class _Page:
     length: list[int] = field(default_factory=list)
     marked: list[bool] = field(default_factory=list)
     bridge: list[int] = field(default_factory=list)
+    article: list[int] = field(default_factory=list)  # the number of the innermost article that holds the line, or 0
     parts: list[str] = field(default_factory=list)
     visible: int = 0
     # open elements, whether they are left out, their numbers, and how many are open down to the last that holds paragraphs
@@ -115,6 +119,7 @@ class _Page:
     low: int = 0  # the fewest open elements since the last line
     gap_at: int | None = None  # the fewest open elements at a left-out container since the last line
     parted: bool = False  # by the beginning or end of a marked article
+    open_articles: list[int] = field(default_factory=list)
 
     def flush(self, marked: bool) -> None:
         line = " ".join("".join(self.parts).split())
@@ -125,6 +130,7 @@ class _Page:
             self.length.append(self.visible)
             self.marked.append(marked)
             self.bridge.append(0)
+            self.article.append(self.open_articles[-1] if self.open_articles else 0)
             self.holder, self.low, self.gap_at, self.parted = holder, len(self.stack), None, False
         self.parts, self.visible = [], 0
 
@@ -139,6 +145,7 @@ class _Page:
         self.text += [""] * WINDOW
         self.length += [0] * WINDOW
         self.marked += [False] * WINDOW
+        self.article += [0] * WINDOW
         self.bridge += [(self.stack[self.low - 1][2] if self.low else 0) + 1 if among else -1] * WINDOW
 
     def gap(self) -> None:
@@ -162,6 +169,8 @@ def lines_of(page: str) -> _Page:
             left_out -= skipped
             links -= last == "a"
             articles -= last in _MAIN
+            if last == "article":
+                out.open_articles.pop()
             foreign -= last in _FOREIGN
             if last == name:
                 break
@@ -210,6 +219,8 @@ def lines_of(page: str) -> _Page:
         left_out += skipped
         links += name == "a"
         articles += name in _MAIN
+        if name == "article":
+            out.open_articles.append(number)
         foreign += name in _FOREIGN
     add(page[at:])
     out.flush(articles > 0)
@@ -221,8 +232,11 @@ def _window_sums(length: np.ndarray) -> np.ndarray:
     return np.convolve(length, np.ones(WINDOW, np.int64))[WINDOW - 1 :] if len(length) else length
 
 
-def kept_lines(length: np.ndarray, marked: np.ndarray, bridge: np.ndarray | None = None) -> np.ndarray:
-    """Which lines lie between a surge and its dive, or between two surges that a bridge joins."""
+def kept_lines(length: np.ndarray, marked: np.ndarray, bridge: np.ndarray | None = None, article: np.ndarray | None = None) -> np.ndarray:
+    """Which lines lie between a surge and its dive, or between two surges that a bridge joins.
+
+    Of marked lines those in windows without text outside links are left out, but not in an ``article`` that has such text somewhere.
+    """
     n = len(length)
     surge = max(1, min(DENSE, int(_window_sums(length).max(initial=0)) // 2))
     sums = _window_sums(np.where(marked, 0, length))
@@ -245,6 +259,9 @@ def kept_lines(length: np.ndarray, marked: np.ndarray, bridge: np.ndarray | None
     stays = np.ones(len(inside), bool)
     for begin in np.flatnonzero(_window_sums(length[inside])[: max(0, len(inside) - WINDOW + 1)] == 0):
         stays[begin : begin + WINDOW] = False
+    if article is not None and len(inside):
+        texts = np.bincount(article, length, article.max() + 1)
+        stays |= (article[inside] > 0) & (texts[article[inside]] > 0)
     keep[inside] = stays
     return keep
 
@@ -252,7 +269,7 @@ def kept_lines(length: np.ndarray, marked: np.ndarray, bridge: np.ndarray | None
 def main_text(page: str | None) -> str:
     """The article of a page: its blocks in page order, white space as single spaces."""
     found = lines_of(page or "")
-    keep = kept_lines(np.array(found.length, np.int64), np.array(found.marked, bool), np.array(found.bridge, np.int64))
+    keep = kept_lines(np.array(found.length, np.int64), np.array(found.marked, bool), np.array(found.bridge, np.int64), np.array(found.article, np.int64))
     return " ".join(text for text, stays in zip(found.text, keep) if stays and text)
 
 
