@@ -21,7 +21,7 @@ ROWS = [
 
 SCHEMA = "doc_id long, text string, lang string, source string"
 # names that operators might use themselves
-CLASHING = ("id", "hash", "norm", "size", "cid", "gid", "n", "row", "score", "label", "copies", "place", "target")
+CLASHING = ("id", "hash", "norm", "size", "cid", "gid", "n", "row", "score", "label", "copies", "place", "target", "_dropped", "_utf8", "utf8")
 
 
 def documents(spark, rows=ROWS):

@@ -79,3 +79,21 @@ def test_odd_documents(spark):
     nothing = crf.fit_quality(documents(spark, []), labels)
     assert crf.scored(documents(spark, []), nothing).count() == 0
     assert {r.score for r in crf.scored(docs, nothing).collect()} == {0.5}
+
+
+def test_the_driver_gets_line_statistics_and_no_texts(spark, monkeypatch):
+    """The model is that of the texts, of repeated ids the least one, in any partitioning."""
+    rows = [(i, f"Some words of text {i}.\nA second line, {i}." if i % 2 else f"SHOUT!! {i}!!\nLOUD!! WORDS!!") for i in range(60)]
+    docs = spark.createDataFrame([*rows, (1, "zzz"), (1, "zzz")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    want = crf.fit([text.encode() for _, text in rows], [i % 2 for i, _ in rows])
+    for parts in (1, 7):
+        got = crf.fit_quality(docs.repartition(parts), labels)
+        assert (got.weights == want.weights).all() and (got.transition == want.transition).all()
+    assert crf.fit_quality(docs.limit(0), labels).weights.sum() == 0
+
+
+def test_accepted_keeps_all_columns_whatever_their_names(spark):
+    docs = documents(spark)
+    kept = crf.accepted(docs, random_model(), 0.0)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect()), key=str) == sorted(map(tuple, docs.collect()), key=str)

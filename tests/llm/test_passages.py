@@ -103,3 +103,24 @@ def test_every_copy_of_a_passage_is_found(spark):
     assert copy == [1, 2, 3, 4, 5, 6, 7]
     n = len(repeated.split())
     assert model.evidence(segments, n, copy) == pytest.approx((1 + math.log2(7)) * model.evidence(segments[:1], n))
+
+
+def test_two_partitionings_give_the_same_model(spark):
+    """Equal texts with different ids and labels: the smallest id decides, wherever the rows lie."""
+    rng = np.random.default_rng(5)
+    common, insults = [f"w{i}" for i in range(40)], ["idiot", "moron", "scum"]
+    rows, marks = [], []
+    for i in range(400):
+        toxic = i % 4 == 0
+        words = rng.choice(common, 12).tolist() + (rng.choice(insults, 6).tolist() if toxic else [])
+        rows.append((i, " ".join(words)))
+        marks.append((i, int(toxic)))
+    for j in range(200):  # copies of texts under other ids, with labels of their own
+        rows.append((1000 + 7 * j, rows[j][1]))
+        marks.append((1000 + 7 * j, int(j % 3 == 0)))
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    models = []
+    for order in (1, -1):
+        docs = spark.createDataFrame(rows[::order], "doc_id long, text string").repartition(1 if order > 0 else 9)
+        models.append(P.fit_toxicity(docs, labels))
+    assert models[0].scores and models[0] == models[1]

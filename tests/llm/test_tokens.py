@@ -182,3 +182,49 @@ def test_private_data_is_taken_out(spark):
     docs = documents(spark, [(1, text, "en", "a"), (2, None, None, None)])
     got = {r.doc_id: r for r in edits.edited_counts(docs, edits.redactions, PATH).collect()}
     assert (got[1].n_edits, got[1].n_tokens_edited) == (4, len(library(out.decode()))) and got[2].n_tokens == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 2**40), max_size=900).map(sorted) | st.lists(st.integers(0, 40), max_size=900).map(sorted), st.data())
+def test_batch_select_reads_any_range(values, data):
+    sequence = fano.EliasFano.of(np.array(values, np.uint64))
+    first = data.draw(st.integers(0, len(values)))
+    last = data.draw(st.integers(first, len(values)))
+    assert sequence.selected(first, last).tolist() == values[first:last]
+
+
+def test_token_files_are_read_by_select(spark, tmp_path, monkeypatch):
+    """The reader never decodes a whole sequence."""
+    ids, ends = [None, None, *range(5, 700)], np.arange(1, 698) * 3
+    block = fano._block(0, 0, ids, np.diff(ends, prepend=0), np.zeros(697 * 3, "<u2"))
+    monkeypatch.setattr(fano, "RUN", 100)
+    monkeypatch.setattr(fano.EliasFano, "values", None)
+    batch = fano.pa.RecordBatch.from_arrays([fano.pa.array([block], fano.pa.binary())], ["content"])
+    rows = [row for part in fano._documents([batch]) for row in part.to_pylist()]
+    assert [r["doc_id"] for r in rows] == ids and [r["start"] for r in rows] == (ends - 3).tolist() and {r["n_tokens"] for r in rows} == {3}
+
+
+def test_every_document_has_a_tree_and_a_second_call_starts_from_its_leaves(spark, monkeypatch):
+    docs = documents(spark)
+    once = edits.edited_counts(docs, lambda text: [(0, 0, b"New words. ")], PATH, keep=True)
+    again = edits.edited_counts(once, lambda text: [(4, 5, b"parts")], PATH, text="utf8", leaves="leaves").collect()
+    want = sorted((len(library("New words. " + (t or ""))), len(library("New parts. " + (t or "")))) for _, t, *_ in ROWS)
+    assert sorted((r.n_tokens, r.n_tokens_edited) for r in again) == want
+    kept = once.collect()
+    assert all(len(r.leaves) == len(edits._LEAF.findall(bytes(r.utf8))) and sum(r.leaves) == r.n_tokens_edited for r in kept)
+
+    class Counting:
+        """Encodes nothing but what an edit touches."""
+
+        words = 0
+
+        def word_counts(self, words):
+            self.words += len(words)
+            return ENCODER.word_counts(words)
+
+    counting = Counting()
+    text, tokens = bytes(kept[0].utf8), list(kept[0].leaves)
+    tree = edits.CountTree(text, counting, tokens)
+    assert tree.tokens == sum(tokens) and counting.words == 0
+    tree.edit(4, 5, b"parts")
+    assert 0 < counting.words <= 4

@@ -24,7 +24,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tillwise.llm.shipping import whole
+from tillwise.llm.shipping import ship, whole
+from tillwise.session import tune
 
 WINDOW = 3
 DENSE = 80  # characters in a window that make a surge, at most
@@ -284,5 +285,6 @@ def _extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def extracted(pages: DataFrame, page_id: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
     """page_id, url, text, n_chars of every page."""
+    ship(tune(pages.sparkSession))
     columns = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), whole(source).alias("html"))
     return columns.mapInArrow(_extract, "page_id long, url string, text string, n_chars long")

@@ -2,7 +2,7 @@
 
 Every line is good or bad. Its evidence is counts about its own characters and words and about the lines before and
 after it, each cut into ranges; a transition weight ties neighbouring lines. The model is fitted on a bounded sample of
-labelled documents, whose label every line takes over. A document's quality is the mean of the lines' forward-backward
+labelled documents, read on the executors, whose label every line takes over. A document's quality is the mean of the lines' forward-backward
 marginals of "good", weighted by line length.
 
 Nulls: a null text is the empty text, which is one empty line; a null id is never held out. Rows repeat as they are.
@@ -17,8 +17,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
-from tillwise.llm.shipping import released, utf8
+from tillwise.llm.shipping import released, ship, utf8, whole
 from tillwise.llm.wordids import rows_of
 from tillwise.llm.words import Words, slices
 from tillwise.session import tune
@@ -168,18 +169,20 @@ def marginals(lines: Lines, model: Model) -> np.ndarray:
     return _sigmoid(forward + backward)
 
 
-def fit(texts: list[bytes], labels: list[int], rounds: int = ROUNDS, decay: float = 2e-4, step: float = 0.1) -> Model:
+def fit(texts: list[bytes], labels: list[int], **how) -> Model:
+    """``fit_lines`` of some texts."""
+    return fit_lines(Lines.of_many(texts), labels, **how) if texts else Model.blank()
+
+
+def fit_lines(lines: Lines, labels: list[int], rounds: int = ROUNDS, decay: float = 2e-4, step: float = 0.1) -> Model:
     """The weights of greatest conditional likelihood, by Adam; every line of a text bears its text's label."""
     model = Model.blank()
-    if not texts:
-        return model
-    lines = Lines.of_many(texts)
     truth = np.repeat(np.array(labels, float), lines.count)
     pairs = [_neighbours(lines, offset) for offset in OFFSETS]
     _, before = _neighbours(lines, -1)
     after = before + 1
     first = np.cumsum(lines.count) - lines.count
-    share = 1 / len(texts)
+    share = 1 / len(labels)
     # a text counts the same, however many lines it has
     weight = np.repeat(1 / lines.count, lines.count)
 
@@ -235,11 +238,31 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, d
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = FIT_DOCUMENTS, doc_id: str = "doc_id", text: str = "text") -> Model:
-    """A model from the labelled documents among ``docs``."""
-    # rows that repeat an id would not be bounded by the number of ids
-    sample = labelled_sample(docs, labels, label, rows, doc_id, text).limit(rows).collect()
-    sample.sort(key=lambda row: (row.id, row.text))
-    return fit([bytes(row.text) for row in sample], [row.label for row in sample])
+    """A model from the labelled documents among ``docs``; of rows that share an id the least text counts.
+
+    The executors read the texts; the driver gets twelve small numbers a line of at most ``rows`` documents.
+    """
+    ship(tune(docs.sparkSession))
+    sample = labelled_sample(docs, labels, label, rows, doc_id, text).groupBy("id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
+    seen = sample.mapInArrow(released(_line_ranges), "id long, label int, ranges binary").collect()
+    seen.sort(key=lambda row: row.id)
+    if not seen:
+        return Model.blank()
+    ranges = [np.frombuffer(row.ranges, np.uint8).reshape(-1, STATISTICS) for row in seen]
+    count = np.array([len(lines) for lines in ranges])
+    lines = Lines(np.zeros(count.sum(), np.int64), count, np.concatenate(ranges).astype(np.int64))
+    return fit_lines(lines, [row.label for row in seen])
+
+
+def _line_ranges(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = zip(batch.column("id").to_pylist(), batch.column("label").to_pylist())
+        for some, texts in slices(zip(keys, batch.column("text").to_pylist())):
+            lines = Lines.of(texts)
+            ends = np.cumsum(lines.count)
+            ranges = [lines.ranges[a:b].astype(np.uint8).tobytes() for a, b in zip(ends - lines.count, ends)]
+            ids, labels = zip(*some)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(labels, pa.int32()), pa.array(ranges, pa.binary())], ["id", "label", "ranges"])
 
 
 def _score(model):
@@ -252,23 +275,25 @@ def _score(model):
 
 def scored(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, score of every whole text."""
-    spark = tune(docs.sparkSession)
+    spark = ship(tune(docs.sparkSession))
     return utf8(docs, doc_id, text).mapInArrow(released(_score(spark.sparkContext.broadcast(model))), "doc_id long, score double")
 
 
-def _keep(model, threshold: float, text: str):
+def _keep(model, threshold: float):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                texts = [t or b"" for t in batch.column("_utf8").to_pylist()]
+                texts = batch.column("utf8").to_pylist()
                 score = np.concatenate([quality(some, model.value) for _, some in slices(zip(range(len(texts)), texts))])
-                yield batch.drop_columns(["_utf8"]).filter(pa.array(score >= threshold))
+                yield batch.select(["row"]).filter(pa.array(score >= threshold))
 
     return run
 
 
 def accepted(docs: DataFrame, model: Model, threshold: float = 0.7, text: str = "text") -> DataFrame:
     """The documents, all columns, whose quality reaches the threshold."""
-    spark = tune(docs.sparkSession)
-    marked = docs.withColumn("_utf8", F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8"))
-    return marked.mapInArrow(released(_keep(spark.sparkContext.broadcast(model), threshold, text)), docs.schema)
+    spark = ship(tune(docs.sparkSession))
+    # the row as one column, so that no name of its own can clash
+    rows = docs.select(F.encode(whole(F.col(f"`{text}`")), "UTF-8").alias("utf8"), F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"))
+    kept = rows.mapInArrow(released(_keep(spark.sparkContext.broadcast(model), threshold)), StructType([rows.schema["row"]]))
+    return kept.select(*[F.col(f"row.`{name}`").alias(name) for name in docs.columns])

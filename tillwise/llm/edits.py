@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.column import Column
 
-from tillwise.llm.shipping import whole
+from tillwise.llm.shipping import ship, whole
 from tillwise.llm.wordids import WordEncoder, encoder
 from tillwise.session import tune
 
@@ -35,11 +35,12 @@ EDITS = "array<struct<place: long, removed: long, added: binary>>"
 class CountTree:
     """A document's leaves in blocks, and a tree of their sums."""
 
-    def __init__(self, text: bytes, encode: WordEncoder):
+    def __init__(self, text: bytes, encode: WordEncoder, known: list[int] | None = None):
+        """``known``: tokens per leaf, as ``leaf_tokens`` gave them; then nothing is encoded."""
         self._encode = encode
         self.encoded = 0  # leaves encoded after the first count
         leaves = _LEAF.findall(text)
-        tokens = encode.word_counts(text.split()).tolist()
+        tokens = encode.word_counts(text.split()).tolist() if known is None else list(known)
         tokens = [0] * (len(leaves) - len(tokens)) + tokens  # white space at the beginning is a leaf
         self._leaves = [leaves[i : i + BLOCK] for i in range(0, len(leaves), BLOCK)] or [[]]
         self._tokens_of = [tokens[i : i + BLOCK] for i in range(0, len(tokens), BLOCK)] or [[]]
@@ -79,6 +80,9 @@ class CountTree:
     def text(self) -> bytes:
         return b"".join(leaf for leaves in self._leaves for leaf in leaves)
 
+    def leaf_tokens(self) -> list[int]:
+        return [n for tokens in self._tokens_of for n in tokens]
+
     def _find(self, place: int) -> tuple[int, int]:
         """The block that holds the byte at ``place`` (the last one at the end) and the bytes before it."""
         node, before = 1, 0
@@ -122,48 +126,57 @@ class CountTree:
                 self._update(block)
 
 
-def _counted(path: str, find: Callable[[bytes], list[tuple[int, int, bytes]]] | None):
+def _counted(path: str, find: Callable[[bytes], list[tuple[int, int, bytes]]] | None, keep: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
         for batch in batches:
             given = batch.column("edits") if find is None else [None] * batch.num_rows
-            rows = []
-            for value, many in zip(batch.column("text"), given):
+            known = batch.column("leaves") if "leaves" in batch.schema.names else [None] * batch.num_rows
+            rows, texts, leaves = [], [], []
+            for value, many, tokens in zip(batch.column("text"), given, known):
                 text = value.as_py()
                 if find is None:
                     some = [tuple(edit.values()) for edit in many.as_py() or () if edit is not None and None not in edit.values()]
                 else:
                     some = find(text)
-                if not some:  # no tree to keep up to date
-                    count = int(encode.word_counts(text.split()).sum())
-                    rows.append((count, count, 0, 0))
-                    continue
-                tree = CountTree(text, encode)
+                tree = CountTree(text, encode, tokens.as_py() if tokens is not None else None)
                 before = tree.tokens
                 for edit in some:
                     tree.edit(*edit)
                 rows.append((before, tree.tokens, len(some), tree.encoded))
+                if keep:
+                    texts.append(tree.text())
+                    leaves.append(tree.leaf_tokens())
             columns = [pa.array(column, pa.int64()) for column in zip(*rows)] or [pa.array([], pa.int64())] * 4
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], ["doc_id", "n_tokens", "n_tokens_edited", "n_edits", "n_encoded_again"])
+            kept = [pa.array(texts, pa.binary()), pa.array(leaves, pa.list_(pa.int32()))] if keep else []
+            names = ["doc_id", "n_tokens", "n_tokens_edited", "n_edits", "n_encoded_again", "utf8", "leaves"]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns, *kept], names[: 5 + len(kept)])
 
     return run
 
 
 def edited_counts(
-    docs: DataFrame, edits: Column | Callable[[bytes], list[tuple[int, int, bytes]]], tokenizer: str, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, edits: Column | Callable[[bytes], list[tuple[int, int, bytes]]], tokenizer: str, doc_id: str = "doc_id", text: str = "text",
+    leaves: str | None = None, keep: bool = False,
 ) -> DataFrame:
     """doc_id, n_tokens, n_tokens_edited, n_edits, n_encoded_again (leaves) of every document.
 
     ``edits`` is a column of type ``EDITS``, or a function that finds the edits (place, removed, added) of a text; places and
-    lengths are in bytes of the UTF-8 text.
+    lengths are in bytes of the UTF-8 text. Every document has a tree. With ``keep`` the edited texts (``utf8``) and the tokens of their
+    leaves are returned, too; a later call with further edits names these columns as ``text`` and ``leaves`` and encodes only what its
+    own edits touch. A null in ``leaves`` has its text counted anew.
     """
-    tune(docs.sparkSession)
+    ship(tune(docs.sparkSession))
+    given = F.col(f"`{text}`")
+    data = F.coalesce(given, F.lit(b"")) if dict(docs.dtypes)[text] == "binary" else F.encode(whole(given), "UTF-8")
     rows = docs.select(
-        F.col(doc_id).cast("long").alias("id"), F.encode(whole(text), "UTF-8").alias("text"),
+        F.col(f"`{doc_id}`").cast("long").alias("id"), data.alias("text"),
         *([] if callable(edits) and not isinstance(edits, Column) else [edits.alias("edits")]),
+        *([] if leaves is None else [F.col(f"`{leaves}`").cast("array<int>").alias("leaves")]),
     )
     find = None if "edits" in rows.columns else edits
-    return rows.mapInArrow(_counted(tokenizer, find), "doc_id long, n_tokens long, n_tokens_edited long, n_edits long, n_encoded_again long")
+    schema = "doc_id long, n_tokens long, n_tokens_edited long, n_edits long, n_encoded_again long" + (", utf8 binary, leaves array<int>" if keep else "")
+    return rows.mapInArrow(_counted(tokenizer, find, keep), schema)
 
 
 # What a text must not give away, and what stands in its place.

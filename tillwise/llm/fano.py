@@ -19,20 +19,22 @@ import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tillwise.llm.shipping import utf8
+from tillwise.llm.shipping import ship, utf8
 from tillwise.llm.wordids import encoder, rows_of
-from tillwise.session import durable, shared_folder
+from tillwise.session import durable, shared_folder, tune
 
 MAGIC = b"TWIDS001"
 HEADER = struct.Struct("<8sQQQQqQB")
 SEQUENCE = struct.Struct("<QQBQQ")
 SAMPLE = 256
+RUN = 16 * SAMPLE  # documents whose boundaries are read at a time
 IDS_PER_FILE = 8 << 20
 
 _ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
@@ -82,6 +84,18 @@ class EliasFano:
         ones = np.flatnonzero(np.unpackbits(self._high, bitorder="little"))[: self.n]
         return ((ones - np.arange(self.n)).astype(np.uint64) << np.uint64(self._low_bits)) | self._lows(0, self.n)
 
+    def selected(self, first: int, last: int) -> np.ndarray:
+        """Values ``first`` to ``last`` - 1, read from the sample before the first; what lies elsewhere is not decoded."""
+        if first >= last:
+            return np.zeros(0, np.uint64)
+        sample, stop = first // SAMPLE, -(-last // SAMPLE)
+        begin = int(self._samples[sample]) // 8
+        end = int(self._samples[stop]) // 8 + 1 if stop < len(self._samples) else len(self._high)
+        ones = begin * 8 + np.flatnonzero(np.unpackbits(self._high[begin:end], bitorder="little"))
+        skipped = np.searchsorted(ones, int(self._samples[sample])) + first - sample * SAMPLE
+        ones = ones[skipped : skipped + last - first]
+        return ((ones - np.arange(first, last)).astype(np.uint64) << np.uint64(self._low_bits)) | self._lows(first, last)
+
     def select(self, i: int) -> int:
         """Value ``i``, found from the sample before it."""
         if not 0 <= i < self.n:
@@ -123,8 +137,16 @@ class TokenBlock:
         ends, at = EliasFano.read(data, at)
         return TokenBlock(partition, block, nulls, first, doc_ids, ends, np.frombuffer(data, f"<u{width}", n_ids, at))
 
-    def document_ids(self) -> list[int | None]:
-        return [None] * self.nulls + [self.first + int(step) for step in self.doc_ids.values()]
+    def document_ids(self, first: int = 0, last: int | None = None) -> list[int | None]:
+        """The ids of documents ``first`` to ``last`` - 1; those without one come first."""
+        last = self.ends.n if last is None else last
+        steps = self.doc_ids.selected(max(first - self.nulls, 0), max(last - self.nulls, 0))
+        return [None] * max(0, min(last, self.nulls) - first) + [self.first + int(step) for step in steps]
+
+    def bounds(self, first: int, last: int) -> np.ndarray:
+        """Where documents ``first`` to ``last`` - 1 begin and, last, where the last one ends, by selects."""
+        before = self.ends.select(first - 1) if first else 0
+        return np.concatenate([[before], self.ends.selected(first, last).astype(np.int64)])
 
     def document(self, i: int) -> np.ndarray:
         """The token ids of document ``i`` of this block, by two selects."""
@@ -180,6 +202,7 @@ def write_token_files(
     about 1 MB of text goes to one file whole, so a file holds ``ids_per_file`` ids or one slice (one document, if longer).
     An empty table writes no files.
     """
+    ship(tune(docs.sparkSession))
     ordered = utf8(docs, doc_id, text).repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
     blocks = ordered.mapInArrow(_blocks(tokenizer, end_id, ids_per_file), "block binary")
     # the text writer puts the bytes of a string out as they are, one record a file
@@ -190,22 +213,22 @@ def _documents(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for content in batch.column("content"):
             block = TokenBlock.read(content.as_buffer().to_pybytes())
-            ends = block.ends.values().astype(np.int64)
-            starts = np.concatenate([np.zeros(1, np.int64), ends[:-1]])
-            crcs = [zlib.crc32(block.ids[a:b].astype("<u4").data) for a, b in zip(starts.tolist(), ends.tolist())]
-            n = len(ends)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(block.document_ids(), pa.int64()),
-                    pa.array(np.full(n, block.partition)),
-                    pa.array(np.full(n, block.block)),
-                    pa.array(np.arange(n)),
-                    pa.array(starts),
-                    pa.array(ends - starts),
-                    pa.array(crcs, pa.int64()),
-                ],
-                ["doc_id", "partition", "block", "place", "start", "n_tokens", "ids_crc32"],
-            )
+            for first in range(0, block.ends.n, RUN):
+                last = min(first + RUN, block.ends.n)
+                bounds = block.bounds(first, last)
+                crcs = [zlib.crc32(block.ids[a:b].astype("<u4").data) for a, b in pairwise(bounds.tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(block.document_ids(first, last), pa.int64()),
+                        pa.array(np.full(last - first, block.partition)),
+                        pa.array(np.full(last - first, block.block)),
+                        pa.array(np.arange(first, last)),
+                        pa.array(bounds[:-1]),
+                        pa.array(np.diff(bounds)),
+                        pa.array(crcs, pa.int64()),
+                    ],
+                    ["doc_id", "partition", "block", "place", "start", "n_tokens", "ids_crc32"],
+                )
 
 
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -213,7 +236,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
     The files are read once. Their totals, one row each, are summed up in order, and the sums go back by a join.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select("content")
+    files = ship(tune(spark)).read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select("content")
     found = durable(
         files.mapInArrow(
             _documents, "doc_id long, partition long, block long, place long, start long, n_tokens long, ids_crc32 long"

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tillwise.llm.crf import labelled_sample
-from tillwise.llm.shipping import utf8
+from tillwise.llm.shipping import ship, utf8
 from tillwise.llm.wordids import rows_of
 from tillwise.llm.words import slices
 from tillwise.session import durable, tune
@@ -255,12 +255,14 @@ def certain(tokens_seen: int) -> float:
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = FIT_DOCUMENTS, doc_id: str = "doc_id", text: str = "text") -> Toxicity:
     """Token scores from three quarters of the sample, calibration from the fourth."""
-    spark = tune(docs.sparkSession)
-    sample = durable(labelled_sample(docs, labels, label, rows, doc_id, text).dropDuplicates(["text"]))
+    spark = ship(tune(docs.sparkSession))
+    # equal texts are one, with the smallest id and its label: the id decides what the text is used for
+    texts = labelled_sample(docs, labels, label, rows, doc_id, text).groupBy("text")
+    sample = durable(texts.agg(F.min("id").alias("id"), F.min_by("label", "id").alias("label")))
     counted = sample.filter(f"NOT {CALIBRATION}").mapInArrow(_count, "token string, toxic long, clean long")
     counts = durable(counted.groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
     found = log_odds(counts).filter((F.col("z") >= certain(counts.count())) & (F.col("odds") >= ENRICHED))
-    model = Toxicity({row.token: (row.odds, row.z) for row in found.collect()})  # some of the sample's words
+    model = Toxicity({row.token: (row.odds, row.z) for row in found.orderBy("token").collect()})  # some of the sample's words
     if not model.scores:
         return model
     statistics = sample.filter(CALIBRATION).mapInArrow(
@@ -297,7 +299,7 @@ def _passages(model):
 
 def toxic_passages(docs: DataFrame, model: Toxicity, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, score, and the significant passages as ranges of words (split at ASCII white space) with their evidence."""
-    spark = tune(docs.sparkSession)
+    spark = ship(tune(docs.sparkSession))
     return utf8(docs, doc_id, text).mapInArrow(
         _passages(spark.sparkContext.broadcast(model)),
         "doc_id long, score double, passages array<struct<first: long, after: long, evidence: double>>",

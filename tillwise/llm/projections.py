@@ -25,6 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.column import Column
 
+from tillwise.llm.shipping import ship
 from tillwise.session import durable, tune
 
 DIMENSIONS = 12
@@ -187,7 +188,7 @@ def _search(k: int):
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id, score: for each row that ``is_query`` (on column ``id``), its ``k`` largest inner products found."""
-    tune(vectors.sparkSession)
+    ship(tune(vectors.sparkSession))
     clean = usable(vectors, vec_id, embedding)
     largest = durable(clean.groupBy("length").agg(F.max("norm").alias("largest"), F.count("*").alias("rows"), F.count_if(is_query).alias("queries")))
     most = largest.agg(F.max("rows"), F.max("queries")).first()

@@ -20,7 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tillwise.llm.shipping import released, utf8
+from tillwise.llm.shipping import released, ship, utf8
 from tillwise.llm.wordids import encoder, rows_of
 from tillwise.session import durable, tune
 
@@ -127,5 +127,5 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, per_group: int = PI
 
 def packed(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per piece of every document: its tokens' place in the document and in a sequence."""
-    tune(docs.sparkSession)
+    ship(tune(docs.sparkSession))
     return pack_pieces(durable(token_pieces(docs, tokenizer, end_id, capacity, doc_id, text)), capacity)
