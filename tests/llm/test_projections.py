@@ -102,3 +102,62 @@ def test_leaves_hold_every_point_once():
     points[:600] = 1.0
     found = P.leaves(points, 32)
     assert sorted(np.concatenate(found).tolist()) == list(range(1000)) and max(map(len, found)) <= 32
+
+
+def clustered(n, length=16, per_cluster=50, seed=6):
+    """Vectors of one norm in tight clusters, their number growing with n."""
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(n // per_cluster, length))
+    vectors = centres[np.arange(n) % len(centres)] + 0.02 * rng.normal(size=(n, length))
+    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+
+
+def test_what_is_sent_grows_with_the_table(spark, monkeypatch):
+    """Four times the vectors and queries: a query is sent to about as many blocks, and finds its neighbours."""
+    monkeypatch.setattr(P, "ROWS", 100)
+    sent, store = [], P.durable
+
+    def spy(df, *more):
+        out = store(df, *more)
+        if "query" in df.columns:
+            sent.append(out.count())
+        return out
+
+    monkeypatch.setattr(P, "durable", spy)
+    routes = {}
+    for n in (2000, 8000):
+        vectors = clustered(n)
+        sent.clear()
+        rows = P.nearest(frame(spark, [(i, v.tolist()) for i, v in enumerate(vectors)]), F.col("id") % 20 == 0, k=5).collect()
+        routes[n] = sum(sent) / (n / 20)
+        single = vectors.astype(np.float32).astype(float)
+        queries = np.arange(0, n, 20)
+        scores = single[queries] @ single.T
+        scores[np.arange(len(queries)), queries] = -2
+        fifth = dict(zip(queries.tolist(), np.sort(scores, axis=1)[:, -5]))
+        assert len(rows) == 5 * len(queries) and np.mean([r.score >= fifth[r.query_id] - 1e-9 for r in rows]) >= 0.95
+    assert routes[8000] < 1.5 * routes[2000] and routes[8000] < 0.25 * 128
+
+
+def test_every_vector_is_in_one_part_and_a_hot_block_has_several(spread, monkeypatch):
+    monkeypatch.setattr(P, "ROWS", 60)
+    vectors = np.round(clustered(600, 6), 3)
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)] + [(1000 + i, [0.5] * 6) for i in range(300)]
+    index = P.Index.of(P.usable(frame(spread, rows)), 5)
+    parts = index.parts.collect()
+    blocks = [P.pickle.loads(r.data) for r in parts]
+    assert sorted(i for b in blocks for i in b.ids.tolist()) == sorted(i for i, _ in rows)
+    assert max(len(b.ids) for b in blocks) < 2 * 60 and max(r.part for r in parts) >= 4
+    numbers, low, high = index.boxes[6]
+    for row, block in zip(parts, blocks):
+        at = numbers.tolist().index(row.block)
+        assert (block.points >= low[at] - 1e-12).all() and (block.points <= high[at] + 1e-12).all()
+
+
+def test_planes_halve_a_sample():
+    points = np.random.default_rng(1).normal(size=(4000, P.DIMENSIONS))
+    planes = P.Planes.fitted(points, 13, 1.0)
+    sizes = np.bincount(planes.block(points), minlength=16)
+    assert planes.levels == 4 and sizes.min() >= 249 and sizes.sum() == 4000
+    assert P.Planes.fitted(points[:0], 1, 1.0).block(points).max() == 0
+    assert P.Planes.fitted(np.ones((50, P.DIMENSIONS)), 4, 1.0).block(points).max() < 4
