@@ -201,7 +201,7 @@ def test_heavy_keys_are_measured_and_split(no_help, how):
 
 def test_raw_sales_with_split_joins_are_the_same(no_help, monkeypatch):
     monkeypatch.setattr(joins, "PIECE", 500)
-    monkeypatch.setattr(joins.split_join, "__defaults__", ("inner", 500))
+    monkeypatch.setattr(joins.split_join, "__defaults__", ("inner", 500, None))
     tables = hot_tables(no_help, 20_000)
     plain, split = marts.raw_sales(tables), marts.raw_sales(tables, split=True)
     assert "_number" in plan(split) and sorted(map(tuple, plain.collect())) == sorted(map(tuple, split.collect()))

@@ -226,3 +226,71 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(Session())
+
+
+def contents(tables):
+    return [sorted(map(tuple, df.collect())) for df in tables]
+
+
+@pytest.mark.parametrize("breaks_at", ["write", "name"])
+def test_a_load_that_ends_midway_leaves_the_old_tables(spark, shop, tmp_path, monkeypatch, breaks_at):
+    folder = str(tmp_path)
+    T.save_tables(shop, folder)
+    before, files = contents(T.load_tables(spark, folder)), sorted((tmp_path / "parts").iterdir())
+    bad = shop._replace(products=shop.products.limit(1), customers=shop.customers.limit(1))
+    if breaks_at == "write":
+        bad = bad._replace(sales=bad.sales.withColumn("id", F.expr("IF(id > 2, raise_error('lost'), id)")))
+        with pytest.raises(Exception, match="lost"):
+            T.save_tables(bad, folder, force=True)
+        assert sorted((tmp_path / "parts").iterdir()) == files
+    else:
+        monkeypatch.setattr(T, "name_tables", lambda *a, **k: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            T.save_tables(bad, folder, force=True)
+    assert contents(T.load_tables(spark, folder)) == before
+
+
+def test_readers_see_one_report_whole(spark, tmp_path):
+    """While a run writes, readers get the tables of the run before; then all of the new one, and a failed table of neither."""
+    from tillwise.sources.publish import published
+    from tillwise.sources.sinks import publish_datasets
+
+    folder, seen = str(tmp_path), []
+
+    def state():
+        return {name: spark.read.parquet(entry.path).count() for name, entry in published(spark, folder).items()}
+
+    def late(n):
+        seen.append(state())
+        return spark.range(n)
+
+    def failing():
+        raise ValueError
+
+    first = publish_datasets({"a": lambda: spark.range(2), "b": lambda: late(3), "c": lambda: spark.range(4)}, folder, at_once=1)
+    assert {name: entry.rows for name, entry in first.items()} == state() == {"a": 2, "b": 3, "c": 4}
+    publish_datasets({"a": lambda: spark.range(5), "b": lambda: late(6), "c": failing}, folder, at_once=1)
+    assert seen == [{}, {"a": 2, "b": 3, "c": 4}] and state() == {"a": 5, "b": 6}
+
+
+def test_old_runs_go_when_newer_ones_have_followed(spark, tmp_path):
+    from tillwise.sources import publish
+    from tillwise.sources.sinks import write_datasets
+
+    for n in range(5):
+        paths = write_datasets({"a": lambda n=n: spark.range(n)}, str(tmp_path))
+    assert len(list((tmp_path / "parts").iterdir())) == len([p for p in (tmp_path / "manifests").iterdir() if p.suffix == ".json"]) == publish.KEPT + 1
+    assert spark.read.parquet(paths["a"]).count() == 4
+
+
+def test_rows_are_counted_as_they_are_written(spark, shop, tmp_path):
+    result = run_report(shop, str(tmp_path), 2024)
+    assert set(result.rows) == {name for name, path in result.datasets.items() if path}
+    assert all(spark.read.parquet(result.datasets[name]).count() == n for name, n in result.rows.items())
+
+
+def test_plain_folders_can_be_read_and_are_kept(spark, shop, tmp_path):
+    for name, schema in T.SCHEMAS.items():
+        T.typed(getattr(shop, name), schema).write.parquet(str(tmp_path / name))
+    T.save_tables(shop._replace(sales=shop.sales.limit(0)), str(tmp_path))
+    assert T.load_tables(spark, str(tmp_path)).sales.count() == 5

@@ -14,7 +14,7 @@ from tillwise.operators import customers, kpis, marts, matrix, products, reports
 from tillwise.plans.model import SalesModel
 from tillwise.session import scratch
 from tillwise.sources.checks import breaches, contract_of, validate
-from tillwise.sources.sinks import write_datasets
+from tillwise.sources.sinks import publish_datasets
 from tillwise.sources.tables import SCHEMAS, Tables
 
 logger = logging.getLogger(__name__)
@@ -27,6 +27,7 @@ class ReportResult:
     seconds: float = 0.0
     error: str | None = None
     warnings: list[str] = field(default_factory=list)
+    rows: dict[str, int] = field(default_factory=dict)
 
 
 def mart_datasets(model: SalesModel) -> dict[str, Callable[[], DataFrame]]:
@@ -100,7 +101,7 @@ def run_report(
     reference_date: str | None = None,
     min_orders: int = 2,
 ) -> ReportResult:
-    """Write all results under ``folder``.
+    """Write all results under ``folder`` and publish them together; the result has their paths and row counts.
 
     A table without its columns or rows, or a dimension that breaks its contract, ends the run; sales that lack values or
     a dimension row are a warning. After that every dataset stands alone: one that fails is logged and reported as
@@ -122,7 +123,8 @@ def run_report(
         builders = {**mart_datasets(model), **report_datasets(model, min_orders)}
         if fmt == "csv":
             builders = {name: (lambda build=build: as_reported(build())) for name, build in builders.items()}
-        written = write_datasets(builders, folder, fmt)
-    done = sum(path is not None for path in written.values())
-    logger.info("%d of %d datasets written", done, len(written))
-    return ReportResult(written["monthly_growth"] is not None, written, time.monotonic() - began, warnings=warnings)
+        written = publish_datasets(builders, folder, fmt)
+    paths = {name: entry and entry.path for name, entry in written.items()}
+    rows = {name: entry.rows for name, entry in written.items() if entry}
+    logger.info("%d of %d datasets written, %d rows", len(rows), len(written), sum(rows.values()))
+    return ReportResult(paths["monthly_growth"] is not None, paths, time.monotonic() - began, warnings=warnings, rows=rows)

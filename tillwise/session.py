@@ -62,14 +62,15 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The file system that a path lies in, and the path as Spark's own code takes it."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
 
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there, in any file system that Spark reaches."""
-    system, hadoop = _file_system(spark, path)
+    system, hadoop = file_system(spark, path)
     return system.exists(hadoop)
 
 
@@ -88,7 +89,7 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         _scope.reset(token)
-        system, hadoop = _file_system(spark, folder)
+        system, hadoop = file_system(spark, folder)
         system.delete(hadoop, True)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 from pathlib import PurePosixPath
 from typing import NamedTuple
@@ -10,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tillwise.functions.dates import in_period
 from tillwise.session import exists
+from tillwise.sources.publish import discard, name_tables, new_run, published, written
+
+logger = logging.getLogger(__name__)
 
 _MONEY = T.DecimalType(18, 2)
 
@@ -59,25 +63,40 @@ def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
 def save_tables(tables: Tables, folder: str, force: bool = False) -> None:
     """Load the three tables into ``folder`` as Parquet.
 
-    A table whose load has been committed (Spark's success marker is there) is kept unless ``force``. Sales are clustered by date, with the
+    A table that has been loaded is kept unless ``force``. All tables of a load are published at once, when the last one has been
+    written; until then, and after a load that failed, readers get the tables of the load before. Sales are clustered by date, with the
     other keys behind it so that one busy day spreads over several files; the row-group
     statistics then let a date filter skip most of the table.
     """
-    for name, schema in SCHEMAS.items():
-        path = str(PurePosixPath(folder) / name)
-        df = typed(getattr(tables, name), schema)
-        if not force and exists(df.sparkSession, f"{path}/_SUCCESS"):
-            continue
-        if name == "sales":
-            df = df.repartitionByRange("date", "id", "product_id").sortWithinPartitions("date")
-        df.write.mode("overwrite").parquet(path)
+    spark = tables.sales.sparkSession
+    there = set() if force else set(published(spark, folder)) | {name for name in SCHEMAS if exists(spark, f"{_plain(folder, name)}/_SUCCESS")}
+    run, entries = new_run(folder), {}
+    try:
+        for name, schema in SCHEMAS.items():
+            if name in there:
+                continue
+            df = typed(getattr(tables, name), schema)
+            if name == "sales":
+                df = df.repartitionByRange("date", "id", "product_id").sortWithinPartitions("date")
+            entries[name] = written(df, f"{run}/{name}")
+            logger.info("%s: %d rows", name, entries[name].rows)
+    except BaseException:
+        discard(spark, run)
+        raise
+    if entries:
+        name_tables(spark, folder, entries, keep_others=True)
+
+
+def _plain(folder: str, name: str) -> str:
+    """Where a table lies that was put there without a manifest."""
+    return str(PurePosixPath(folder) / name)
 
 
 def load_tables(spark: SparkSession, folder: str) -> Tables:
-    """Read what ``save_tables`` wrote; a missing table is an error."""
-    return Tables(*[
-        spark.read.schema(SCHEMAS[name]).parquet(str(PurePosixPath(folder) / name)) for name in Tables._fields
-    ])
+    """Read what ``save_tables`` wrote, or plain folders of the tables' names; a missing table is an error."""
+    named = published(spark, folder)
+    paths = [named[name].path if name in named else _plain(folder, name) for name in Tables._fields]
+    return Tables(*[spark.read.schema(SCHEMAS[name]).parquet(path) for name, path in zip(Tables._fields, paths)])
 
 
 def jdbc_tables(spark: SparkSession, url: str, partitions: int, **options: str) -> Tables:
