@@ -33,15 +33,15 @@ def _sorted(df: DataFrame, ordered: bool, *keys: str | Column) -> DataFrame:
 
 def monthly_revenue(sales: DataFrame, ordered: bool = True) -> DataFrame:
     """Revenue, orders, buyers and mean order value per month."""
-    return _months(sales.groupBy(month_start("date").alias("month")).agg(_revenue(), _orders(), _buyers()), ordered)
+    return months_table(sales.groupBy(month_start("date").alias("month")).agg(_revenue(), _orders(), _buyers()), ordered)
 
 
 def months_of(by_month_and_customer: DataFrame) -> DataFrame:
     """The same from sums per month and customer."""
-    return _months(by_month_and_customer.groupBy("month").agg(_revenue(), F.sum("orders").alias("orders"), F.count("customer_id").alias("unique_customers")), True)
+    return months_table(by_month_and_customer.groupBy("month").agg(_revenue(), F.sum("orders").alias("orders"), F.count("customer_id").alias("unique_customers")), True)
 
 
-def _months(sums: DataFrame, ordered: bool) -> DataFrame:
+def months_table(sums: DataFrame, ordered: bool) -> DataFrame:
     out = (
         sums.select(
             "month",
@@ -74,16 +74,16 @@ def quarters_of(by_month_and_customer: DataFrame) -> DataFrame:
 
 def revenue_by_region_channel(sales: DataFrame, ordered: bool = True) -> DataFrame:
     """Cross table of region and channel in long form."""
-    return _places(sales.groupBy("region", "channel").agg(_revenue(), _orders(), _buyers()), ordered)
+    return places_table(sales.groupBy("region", "channel").agg(_revenue(), _orders(), _buyers()), ordered)
 
 
 def places_of(by_place_and_customer: DataFrame) -> DataFrame:
     """The same from sums per region, channel and customer."""
     counts = [F.sum("orders").alias("orders"), F.count("customer_id").alias("unique_customers")]
-    return _places(by_place_and_customer.groupBy("region", "channel").agg(_revenue(), *counts), True)
+    return places_table(by_place_and_customer.groupBy("region", "channel").agg(_revenue(), *counts), True)
 
 
-def _places(sums: DataFrame, ordered: bool) -> DataFrame:
+def places_table(sums: DataFrame, ordered: bool) -> DataFrame:
     out = sums.select(
         "region", "channel", "revenue", "orders", mean_of_sum("revenue", "orders").alias("avg_order_value"), "unique_customers"
     )

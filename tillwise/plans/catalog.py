@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillwise.functions.text import as_reported
 from tillwise.operators import customers, kpis, marts, matrix, products, reports, timeseries
+from tillwise.operators.daily import DailyRollup
 from tillwise.plans.model import SalesModel
 from tillwise.session import durable, shared_folder
 from tillwise.sources.checks import contract_report
@@ -18,6 +19,7 @@ from tillwise.sources.tables import Tables, load_tables, run_query, save_tables
 
 YEAR = 2000  # the last full year of the data
 PERIOD = ("1998-01-01", "1999-12-31")
+DAYS = ("1997-03-10", "1999-10-21")
 SINCE = "2000-06-15"  # of the period that is open at its end
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,6 +96,22 @@ def _written(t: Tables) -> DataFrame:
     return spark.read.parquet(written["monthly_growth"])
 
 
+def _rollup(t: Tables) -> DailyRollup:
+    """A daily rollup that was loaded with a day missing and another one wrong, and then mended by merging these two."""
+    spark = t.sales.sparkSession
+    rollup = DailyRollup(spark, f"{shared_folder(spark)}/daily-{uuid.uuid4().hex}")
+    first, last = t.sales.agg(F.min("date"), F.max("date")).first()
+    rollup.merge(t.sales.filter(F.col("date") < last).withColumn("revenue", F.when(F.col("date") == first, 0).otherwise(F.col("revenue")).cast("decimal(18,2)")))
+    rollup.merge(t.sales, [first, last])
+    return rollup
+
+
+def _buyers_of_days(t: Tables) -> DataFrame:
+    """Distinct buyers per region and channel in a period that follows no month, from bitmaps."""
+    place = [F.col("region"), F.col("channel")]
+    return _rollup(t).unique_buyers(*place, start=DAYS[0], end=DAYS[1]).toDF("region", "channel", "unique_customers")
+
+
 def _stats(t: Tables) -> DataFrame:
     """Customer stats, stored once for the analyses that read them several times."""
     return durable(marts.customer_lifetime_value(t, ordered=False))
@@ -151,6 +169,8 @@ TABLE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     # tables and results written and read back
     "loaded_tables": _loaded,
     "written_growth": _written,
+    "daily_rollup_months": lambda t: _rollup(t).monthly_revenue(),
+    "daily_rollup_buyers": _buyers_of_days,
     # building blocks not reached above
     "table_contract_check": contract_report,
     "safe_pct_change": lambda t: timeseries.quarter_change(_lean_growth(t)),

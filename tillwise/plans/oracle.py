@@ -304,6 +304,10 @@ _CALENDAR_BASE = f"""
 
 QUERIES = {
     "monthly_revenue": f"SELECT {_MONTH_COLUMNS} FROM monthly ORDER BY 1",
+    "daily_rollup_months": f"SELECT {_MONTH_COLUMNS} FROM monthly ORDER BY 1",
+    "daily_rollup_buyers": """
+      SELECT region, channel, COUNT(DISTINCT customer_id) AS unique_customers
+      FROM sales WHERE date BETWEEN DATE '1997-03-10' AND DATE '1999-10-21' GROUP BY region, channel""",
     "quarterly_revenue": f"""
       SELECT {_int('year(date)')} AS year, 'Q' || CAST(quarter(date) AS VARCHAR) AS quarter,
              {_dbl('SUM(revenue)')} AS revenue, COUNT(*) AS orders, COUNT(DISTINCT customer_id) AS unique_customers
