@@ -180,3 +180,13 @@ def test_top_and_flop_months(months):
 def test_export_keeps_only_known_columns(spark):
     df = spark.createDataFrame([("Lamp", 1.0, 3)], "name string, total_revenue double, other int")
     assert reports.product_export(df).columns == ["Name", "Total Revenue"]
+
+
+def test_the_record_needs_few_levels(shop):
+    from tillwise.plans.model import KPI_LEVELS
+
+    few, every = SalesModel(shop, levels=KPI_LEVELS), SalesModel(shop)
+    assert few.kpis.first() == every.kpis.first()
+    assert len(few.rollup.levels) == 4 and few.rollup._rows.count() < every.rollup._rows.count()
+    with pytest.raises(KeyError):
+        few.rollup.by_buyer()

@@ -8,7 +8,7 @@ customer instead of rows per sale, and reads no other level.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -41,10 +41,15 @@ def missing_values(columns: Sequence[str]) -> Column:
 
 
 class SalesRollup:
-    """The sales summed at each level, materialised once."""
+    """The sales summed at each level that is wanted, all by default, materialised once.
 
-    def __init__(self, sales: DataFrame):
-        sets = [[F.col(key) for key in keys] for keys in _LEVELS.values()]
+    Every sale is expanded once per level before the partial sums, and those with the customer in their key reduce little; so
+    whoever needs few levels should name them.
+    """
+
+    def __init__(self, sales: DataFrame, levels: Collection[str] = tuple(_LEVELS)):
+        self.levels = frozenset(levels)
+        sets = [[F.col(key) for key in keys] for level, keys in _LEVELS.items() if level in self.levels]
         rows = sales.select(
             month_start("date").alias("month"), "product_id", "customer_id", "region", "channel",
             "date", "quantity", "revenue", missing_values(sales.columns).alias("gaps"),
@@ -63,6 +68,8 @@ class SalesRollup:
         )
 
     def _level(self, name: str) -> DataFrame:
+        if name not in self.levels:
+            raise KeyError(f"this rollup has no level {name}")
         return self._rows.filter(F.col("level") == _mark(name))
 
     def by_month(self) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tillwise.functions.text import as_reported
 from tillwise.operators import customers, kpis, marts, matrix, products, reports, timeseries
 from tillwise.operators.daily import DailyRollup
-from tillwise.plans.model import SalesModel
+from tillwise.plans.model import KPI_LEVELS, SalesModel
 from tillwise.session import durable, shared_folder
 from tillwise.sources.checks import contract_report
 from tillwise.sources.retail import retail_tables
@@ -33,7 +33,7 @@ def _over_tables(build: Callable[[Tables], DataFrame]) -> Query:
 
 
 def _over_model(build: Callable[[SalesModel], DataFrame]) -> Query:
-    return _over_tables(lambda tables: build(SalesModel(tables)))
+    return _over_tables(lambda tables: build(SalesModel(tables, levels=KPI_LEVELS)))
 
 
 def _products_abc(t: Tables) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import threading
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from functools import wraps
 
 from pyspark.sql import DataFrame
@@ -29,15 +29,22 @@ def _once(build: Callable) -> property:
     return property(guarded)
 
 
+KPI_LEVELS = ("month", "product", "customer", "place")  # what the KPI record is made of
+
+
 class SalesModel:
     """Everything that follows from one pass over the sales.
 
     The properties are built on first use and stay: the rollup reads the sales once, and the
-    tables that several results start from are made durable.
+    tables that several results start from are made durable. With ``levels`` the rollup has only these, and what
+    would be read by a report only is not stored.
     """
 
-    def __init__(self, tables: Tables, year: int | None = None, reference_date: dt.date | str | None = None):
+    def __init__(
+        self, tables: Tables, year: int | None = None, reference_date: dt.date | str | None = None, levels: Collection[str] | None = None
+    ):
         self.tables = tables
+        self.levels = levels
         self.year = year
         self.reference_date = reference_date
         self._built: dict[str, object] = {}
@@ -45,7 +52,7 @@ class SalesModel:
 
     @_once
     def rollup(self) -> SalesRollup:
-        return SalesRollup(self.tables.sales)
+        return SalesRollup(self.tables.sales) if self.levels is None else SalesRollup(self.tables.sales, self.levels)
 
     @_once
     def growth(self) -> DataFrame:
@@ -69,7 +76,8 @@ class SalesModel:
 
     @_once
     def customer_stats(self) -> DataFrame:
-        return durable(marts.describe_customers(self.rollup.by_customer(), self.tables.customers))
+        stats = marts.describe_customers(self.rollup.by_customer(), self.tables.customers)
+        return durable(stats) if self.levels is None else stats
 
     @_once
     def segments(self) -> DataFrame:
@@ -78,7 +86,7 @@ class SalesModel:
     @_once
     def kpis(self) -> DataFrame:
         """The KPI record; one row, kept because five reports are projections of it."""
-        # three chains of jobs that do not depend on each other
+        # chains of jobs that do not depend on each other
         in_threads(lambda name: getattr(self, name), ("classified_products", "customer_stats", "segments"))
         return durable(
             kpis.kpis(
