@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tillwise.llm.shipping import released, ship, utf8
-from tillwise.llm.wordids import encoder, rows_of
+from tillwise.llm.wordids import CACHE_WORDS, encoder, rows_of
 from tillwise.session import durable, tune
 
 CAPACITY = 2048
@@ -30,9 +30,9 @@ PIECES_PER_GROUP = 1 << 14
 PIECES = "doc_id long, piece long, start long, length long, ids_crc32 long"
 
 
-def _pieces(path: str, end_id: int, capacity: int):
+def _pieces(path: str, end_id: int, capacity: int, words: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, flat, counts in encoder(path).slices(rows_of(batches)):
+        for keys, flat, counts in encoder(path, words).slices(rows_of(batches)):
             ids = np.insert(flat, np.cumsum(counts), end_id).astype("<u4")
             counts = counts + 1
             pieces = -(-counts // capacity)
@@ -50,9 +50,11 @@ def _pieces(path: str, end_id: int, capacity: int):
     return run
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def token_pieces(
+    docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, doc_id: str = "doc_id", text: str = "text", words: int = CACHE_WORDS
+) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: every document's ids with the end id, cut only beyond the capacity."""
-    return utf8(docs, doc_id, text).mapInArrow(released(_pieces(tokenizer, end_id, capacity)), PIECES)
+    return utf8(docs, doc_id, text).mapInArrow(released(_pieces(tokenizer, end_id, capacity, words)), PIECES)
 
 
 def fullest(counts: dict[int, int], room: int) -> dict[int, int]:
@@ -125,7 +127,9 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, per_group: int = PI
     return dealt.groupBy("group").applyInPandas(_pack_group(capacity), f"{fields}, sequence_id long, offset long")
 
 
-def packed(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per piece of every document: its tokens' place in the document and in a sequence."""
+def packed(
+    docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, doc_id: str = "doc_id", text: str = "text", words: int = CACHE_WORDS
+) -> DataFrame:
+    """One row per piece of every document: its tokens' place in the document and in a sequence. ``words``: kept per worker, for speed only."""
     ship(tune(docs.sparkSession))
-    return pack_pieces(durable(token_pieces(docs, tokenizer, end_id, capacity, doc_id, text)), capacity)
+    return pack_pieces(durable(token_pieces(docs, tokenizer, end_id, capacity, doc_id, text, words)), capacity)

@@ -132,9 +132,9 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> WordEncoder:
-    """This worker's encoder of a tokenizer file."""
-    return WordEncoder(path)
+def encoder(path: str, words: int = CACHE_WORDS) -> WordEncoder:
+    """This worker's encoder of a tokenizer file, which keeps so many words."""
+    return WordEncoder(path, words)
 
 
 def rows_of(batches: Iterable) -> Iterator[tuple[int | None, bytes]]:
