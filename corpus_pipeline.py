@@ -43,7 +43,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The place of every document's tokens in sequences of 2,048."""
     ship(tune(spark))
-    return slack.packed(docs, TOKENIZER, END_ID)
+    # the stages before have grown the executors' heaps, so the workers keep fewer words
+    return slack.packed(docs, TOKENIZER, END_ID, words=1 << 18)
 
 
 STAGES = [
