@@ -25,13 +25,14 @@ from tillwise.sources.publish import Entry, discard, name_tables, new_run, publi
 
 ROWS = (
     "level string, date date, product_id long, customer_id long, region string, channel string, bucket long, "
-    "revenue decimal(28,2), units long, orders long, buyers binary"
+    "revenue decimal(28,2), units long, orders long, buyers binary, sketch binary"
 )
+SKETCH = 12  # binary logarithm of a sketch's slots
 _LEVELS = {"product": ["product_id"], "customer": ["customer_id"], "place": ["region", "channel"], "buyer": ["region", "channel", "customer_id"]}
 _KEYS = ["product_id", "customer_id", "region", "channel"]
 
 
-def _day_sums(sales: DataFrame) -> DataFrame:
+def _day_sums(sales: DataFrame, sketches: bool = False) -> DataFrame:
     """The rows of every day, from one pass over its sales; a written table."""
     sets = [[F.col("date"), *map(F.col, keys)] for keys in _LEVELS.values()]
     marks = {sum(1 << (len(_KEYS) - 1 - i) for i, key in enumerate(_KEYS) if key not in keys): name for name, keys in _LEVELS.items()}
@@ -49,14 +50,18 @@ def _day_sums(sales: DataFrame) -> DataFrame:
         .withColumn("level", F.lit("buyers"))
     )
     rows = sums.filter("level != 'buyer'").unionByName(buyers, allowMissingColumns=True)
+    if sketches:
+        each = sums.filter("level = 'buyer' AND customer_id IS NOT NULL").groupBy("date", "region", "channel")
+        rows = rows.unionByName(each.agg(F.hll_sketch_agg("customer_id", F.lit(SKETCH)).alias("sketch")).withColumn("level", F.lit("sketches")), allowMissingColumns=True)
     return durable(rows.to(StructType.fromDDL(ROWS)))
 
 
 class DailyRollup:
-    """The rollup in a folder."""
+    """The rollup in a folder. With ``sketches`` each day's places have a sketch of their buyers as well, for ``about_buyers``."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, sketches: bool = False):
         self.spark = spark
+        self.sketches = sketches
         self.folder = folder.rstrip("/")
 
     def merge(self, sales: DataFrame, days: Iterable[dt.date] | None = None) -> list[dt.date]:
@@ -68,7 +73,7 @@ class DailyRollup:
         run = new_run(self.folder)
         try:
             with scratch(self.spark):
-                rows = _day_sums(sales)
+                rows = _day_sums(sales, self.sketches)
                 found = [row[0] for row in rows.select("date").distinct().orderBy("date").collect()]  # as many as the calendar has
                 if found:
                     # partitions of a fair size, whatever the days' sizes: small days share a task, a large one has several
@@ -100,6 +105,15 @@ class DailyRollup:
         either = rows.groupBy(*names, "bucket").agg(F.bitmap_or_agg("buyers").alias("buyers"))
         return either.groupBy(*names).agg(F.coalesce(F.sum(F.bitmap_count("buyers")), F.lit(0)).alias("unique_customers"))
 
+    def about_buyers(self, *by: Column, start: str | None = None, end: str | None = None) -> DataFrame:
+        """``unique_buyers`` within about 2 %, from sketches of 4 KB a place and day at most, whatever the number of customers."""
+        if not self.sketches:
+            raise ValueError("this rollup keeps no sketches")
+        names = [f"_{i}" for i in range(len(by))]
+        rows = self.rows("sketches", start, end).select(*[column.alias(name) for column, name in zip(by, names)], "sketch")
+        merged = rows.groupBy(*names).agg(F.hll_union_agg("sketch").alias("sketch"))
+        return merged.select(*names, F.coalesce(F.hll_sketch_estimate("sketch"), F.lit(0)).alias("about_customers"))
+
     def _with_buyers(self, sums: DataFrame, keys: dict[str, Column], start: str | None, end: str | None) -> DataFrame:
         buyers = self.unique_buyers(*keys.values(), start=start, end=end)
         same = F.lit(True)

@@ -13,6 +13,7 @@ from tillwise.operators.daily import DailyRollup
 from tillwise.plans.model import KPI_LEVELS, SalesModel
 from tillwise.session import durable, shared_folder
 from tillwise.sources.checks import contract_report
+from tillwise.sources.quarantine import load_checked
 from tillwise.sources.retail import retail_tables
 from tillwise.sources.sinks import write_datasets
 from tillwise.sources.tables import Tables, load_tables, run_query, save_tables
@@ -88,6 +89,23 @@ def _loaded(t: Tables) -> DataFrame:
     )
 
 
+def _quarantined(t: Tables) -> DataFrame:
+    """Sales that came as text with some values spoilt, divided while they are loaded: rows and quantity of both parts by reason."""
+    spark = t.sales.sparkSession
+    folder = f"{shared_folder(spark)}/checked-{uuid.uuid4().hex}"
+    raw = t.sales.select(*[F.col(name).cast("string").alias(name) for name in t.sales.columns]).withColumns({
+        "date": F.when(F.col("id").cast("long") % 97 == 0, "soon").otherwise(F.col("date")),
+        "quantity": F.when(F.col("product_id").cast("long") % 89 == 0, "0").otherwise(F.col("quantity")),
+        "region": F.when(F.col("customer_id").cast("long") % 101 != 0, F.col("region")),
+    })
+    parts = load_checked({"sales": raw}, folder)["sales"]
+    accepted = spark.read.parquet(parts.accepted.path).select("quantity", F.lit("").alias("reasons"))
+    rejected = spark.read.parquet(parts.rejected.path).select("quantity", F.array_join("reasons", ", ").alias("reasons"))
+    counted = accepted.unionByName(rejected).groupBy("reasons").agg(F.count("*").alias("sales"), F.sum("quantity").alias("units"))
+    written = F.when(F.col("reasons") == "", parts.accepted.rows).otherwise(parts.rejected.rows)
+    return counted.withColumn("rows_of_part", written.cast("long"))
+
+
 def _written(t: Tables) -> DataFrame:
     """The growth table as the report writes it, read back with its types."""
     spark = t.sales.sparkSession
@@ -171,6 +189,7 @@ TABLE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "written_growth": _written,
     "daily_rollup_months": lambda t: _rollup(t).monthly_revenue(),
     "daily_rollup_buyers": _buyers_of_days,
+    "quarantined_sales": _quarantined,
     # building blocks not reached above
     "table_contract_check": contract_report,
     "safe_pct_change": lambda t: timeseries.quarter_change(_lean_growth(t)),

@@ -303,6 +303,13 @@ _CALENDAR_BASE = f"""
     LEFT JOIN region_month c ON c.region = a.region AND c.month = a.month - INTERVAL 12 MONTH"""
 
 QUERIES = {
+    "quarantined_sales": """
+      SELECT reasons, COUNT(*) AS sales, CAST(SUM(quantity) AS BIGINT) AS units,
+             CAST(SUM(COUNT(*)) OVER (PARTITION BY reasons = '') AS BIGINT) AS rows_of_part
+      FROM (SELECT CASE WHEN product_id % 89 = 0 THEN 0 ELSE quantity END AS quantity,
+                   concat_ws(', ', CASE WHEN id % 97 = 0 THEN 'unreadable date' END, CASE WHEN customer_id % 101 = 0 THEN 'missing region' END,
+                             CASE WHEN product_id % 89 = 0 THEN 'quantity below 1' END) AS reasons
+            FROM sales) GROUP BY reasons""",
     "monthly_revenue": f"SELECT {_MONTH_COLUMNS} FROM monthly ORDER BY 1",
     "daily_rollup_months": f"SELECT {_MONTH_COLUMNS} FROM monthly ORDER BY 1",
     "daily_rollup_buyers": """
