@@ -27,6 +27,7 @@ ROWS = (
     "level string, date date, product_id long, customer_id long, region string, channel string, bucket long, "
     "revenue decimal(28,2), units long, orders long, buyers binary, sketch binary"
 )
+LISTING, FOLDERS = "spark.sql.sources.parallelPartitionDiscovery.parallelism", 256  # and the folders that a task lists
 SKETCH = 12  # binary logarithm of a sketch's slots
 _LEVELS = {"product": ["product_id"], "customer": ["customer_id"], "place": ["region", "channel"], "buyer": ["region", "channel", "customer_id"]}
 _KEYS = ["product_id", "customer_id", "region", "channel"]
@@ -94,10 +95,18 @@ class DailyRollup:
         """The rows of a level in an inclusive period; only its days are listed and read."""
         found = published(self.spark, self.folder)
         paths = [found[day].path for day in sorted(found) if (start is None or day >= start) and (end is None or day <= end)]
-        stored = self.spark.read.schema(ROWS)
-        rows = stored.parquet(*paths) if paths else self.spark.createDataFrame([], ROWS)
+        rows = self._read(paths) if paths else self.spark.createDataFrame([], ROWS)
         return rows.filter(F.col("level") == level)
 
+    def _read(self, paths: list[str]) -> DataFrame:
+        """The files of some folders; by default Spark would list each folder in a task of its own."""
+        before = self.spark.conf.get(LISTING)
+        self.spark.conf.set(LISTING, str(max(8, len(paths) // FOLDERS)))
+        try:
+            return self.spark.read.schema(ROWS).parquet(*paths)
+        finally:
+            self.spark.conf.set(LISTING, before)
+
     def unique_buyers(self, *by: Column, start: str | None = None, end: str | None = None) -> DataFrame:
         """unique_customers per ``by`` (columns made from date, region and channel), or one row, from bitmaps alone."""
         names = [f"_{i}" for i in range(len(by))]
