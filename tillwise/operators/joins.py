@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
@@ -18,36 +20,47 @@ def beside(rows: DataFrame, one_row: DataFrame) -> DataFrame:
     return rows.withColumn("_facts", facts).select(*rows.columns, "_facts.*")
 
 
-def heavy_keys(rows: DataFrame, key: str, piece: int = PIECE) -> list[tuple[object, int]]:
-    """(key, number of tasks) of the keys that have too many rows for one task, ``HEAVY`` at most.
+Heavy = list[tuple[object, int]]  # keys and over how many tasks they are dealt
+
+
+def heavy_keys(rows: DataFrame, key: str, piece: int = PIECE) -> Heavy:
+    """The keys that have too many rows for one task, ``HEAVY`` at most; see ``measured``."""
+    return measured(rows, [key], piece)[key]
+
+
+def measured(rows: DataFrame, keys: Sequence[str], piece: int = PIECE) -> dict[str, Heavy]:
+    """For each of some columns (key, number of tasks) of the keys that have too many rows for one task.
 
-    One pass fills a frequent-items sketch of ``TRACKED`` keys per task and merges them in two steps, so only sketches are sent. It misses no key with
-    more than a few ``TRACKED``-ths of all rows; a key it names too large is split more than need be. A task is to get
-    ``piece`` rows, or half of what it would get if all were dealt evenly, if that is more.
+    One pass fills a frequent-items sketch of ``TRACKED`` keys per column and task and merges them in two steps, so only sketches are sent. It misses
+    no key with more than a few ``TRACKED``-ths of all rows; a key it names too large is split more than need be. A task is to
+    get ``piece`` rows, or half of what it would get if all were dealt evenly, if that is more.
     """
-    parts = rows.filter(F.col(key).isNotNull()).groupBy(F.pmod(F.spark_partition_id(), F.lit(64)))
-    sketches = parts.agg(F.count("*").alias("n"), F.expr(f"approx_top_k_accumulate(`{key}`, {TRACKED})").alias("sketch"))
+    names = {f"sketch{i}": key for i, key in enumerate(keys)}
+    parts = rows.groupBy(F.pmod(F.spark_partition_id(), F.lit(64)))
+    sketches = parts.agg(F.count("*").alias("n"), *[F.expr(f"approx_top_k_accumulate(`{key}`, {TRACKED})").alias(name) for name, key in names.items()])
     # grouped, so that no rows give no row
-    found = sketches.groupBy(F.lit(1)).agg(F.sum("n").alias("n"), F.expr(f"approx_top_k_combine(sketch, {TRACKED})").alias("sketch")).select(
-        "n", F.expr(f"approx_top_k_estimate(sketch, {HEAVY})").alias("top")
-    ).first()
+    merged = sketches.groupBy(F.lit(1)).agg(F.sum("n").alias("n"), *[F.expr(f"approx_top_k_combine({name}, {TRACKED})").alias(name) for name in names])
+    found = merged.select("n", *[F.expr(f"approx_top_k_estimate({name}, {HEAVY})").alias(name) for name in names]).first()
     if found is None:
-        return []
+        return {key: [] for key in keys}
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     most = max(piece, found.n // (2 * tasks))
-    return [(item.item, -(-item["count"] // most)) for item in found.top if item["count"] > most]
+    return {
+        key: [(item.item, -(-item["count"] // most)) for item in found[name] or () if item["count"] > most and item.item is not None]
+        for name, key in names.items()
+    }
 
 
 def split_join(
-    rows: DataFrame, table: DataFrame, key: str, how: str = "inner", piece: int = PIECE, measured: DataFrame | None = None
+    rows: DataFrame, table: DataFrame, key: str, how: str = "inner", piece: int = PIECE, heavy: Heavy | None = None
 ) -> DataFrame:
     """``rows`` joined with ``table``, which has one row per ``key``; heavy keys of ``rows`` are dealt to several tasks.
 
     Rows of a heavy key get one of as many numbers as it takes tasks, by the hash of all their columns; the one row of the
     table is repeated for each number, and key and number are joined. Other keys join plainly, in the same plan. ``rows`` are read
-    once more for the sketch, so they should be a table, or ``measured`` be one with the same keys. ``how`` is inner or left.
+    once more for the sketch, so they should be a table, unless the heavy keys are given. ``how`` is inner or left.
     """
-    heavy = heavy_keys(rows if measured is None else measured, key, piece)
+    heavy = heavy_keys(rows, key, piece) if heavy is None else heavy
     if not heavy:
         return rows.join(table, key, how)
     schema = StructType([StructField("_key", rows.schema[key].dataType), StructField("_tasks", IntegerType())])
