@@ -54,8 +54,8 @@ def joined_components(roots: DataFrame, edges: DataFrame) -> DataFrame:
     for side in ("a", "b"):
         other = known.toDF("_node", "_root")
         lifted = lifted.join(other, F.col(side) == F.col("_node"), "left").withColumn(side, F.coalesce("_root", side)).drop("_node", "_root")
-    over = durable(components(lifted.select("a", "b")))
-    if over.isEmpty():
+    if edges.isEmpty():
         return known
+    over = durable(components(lifted.select("a", "b")))
     moved = split_join(known, over.toDF("root", "_above"), "root", "left").select("node", F.coalesce("_above", "root").alias("root"))
     return moved.union(over.join(known, "node", "left_anti"))

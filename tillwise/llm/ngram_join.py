@@ -37,7 +37,7 @@ from tillwise.llm.components import components, joined_components
 from tillwise.llm.shipping import let_go, released, ship, utf8
 from tillwise.llm.wordids import rows_of
 from tillwise.llm.words import Words, mixed, shingles, slices
-from tillwise.operators.joins import split_join
+from tillwise.operators.joins import heavy_keys, measured, split_join
 from tillwise.session import durable, tune
 
 SLOTS = 1 << 22  # of the table of shingle counts, for up to 1,024 scan tasks; 16 times as many at most
@@ -330,10 +330,13 @@ class _Verifier:
         spark, like = pairs.sparkSession, self.like
         x, y = (self.bounds.toDF(side, f"n_{side}", f"overlap_{side}") for side in ("x", "y"))
         pairs = durable(pairs)
+        if pairs.isEmpty():
+            return pairs
+        heavy = measured(pairs, ["x", "y"], FAN)
 
         def both(rows: DataFrame, y: DataFrame, x: DataFrame) -> DataFrame:
             """Pairs with what is known of y, then of x; that of a class in many pairs is sent once for each task that its pairs are dealt to."""
-            return split_join(split_join(rows, y, "y", piece=FAN), x, "x", piece=FAN, measured=rows)
+            return split_join(split_join(rows, y, "y", heavy=heavy["y"]), x, "x", heavy=heavy["x"])
 
         possible = durable(both(pairs, y, x).mapInArrow(released(_bounded(like.percent)), "x long, y long").distinct())
         involved = possible.select(F.col("x").alias("cid")).union(possible.select("y")).distinct()
@@ -382,6 +385,7 @@ def linked_classes(docs: DataFrame, like: Similarity = Similarity(), doc_id: str
     listed = durable(
         postings.repartition("token", "salt").sortWithinPartitions("token", "salt", "light", "gid").mapInArrow(released(_with_heads), LISTED)
     )
+    let_go(spark)
 
     members = classes.select("gid", "cid")
     verifier = _Verifier(docs, posted, classes, like, doc_id, text)
@@ -412,7 +416,7 @@ def linked_classes(docs: DataFrame, like: Similarity = Similarity(), doc_id: str
     one_head = listed.join(first.withColumnRenamed("x", "whole_head"), "token", "left").withColumn("head", F.coalesce("whole_head", "head"))
     earlier = one_head.join(of_group, "gid").withColumn("earlier", F.collect_list("token").over(just_before))
     marked = durable(
-        split_join(earlier, of_group.toDF("head", "head_low", "head_high"), "head", piece=FAN, measured=listed)
+        split_join(earlier, of_group.toDF("head", "head_low", "head_high"), "head", heavy=heavy_keys(listed, "head", FAN))
         .withColumn("apart", F.expr("NOT (low = high AND head_low = head_high AND low = head_low)"))
         .select("token", "gid", "n", "pos", "low", "high", "earlier", "apart", "spread")
     )
@@ -426,11 +430,14 @@ def linked_classes(docs: DataFrame, like: Similarity = Similarity(), doc_id: str
     between_groups = expanded(_ordered_pairs(rest, "gid", "gid2"), members)
     # likewise inside a group of several components
     parted = sizes.filter("low != high").select("gid", (1 + F.floor(F.col("classes") / FAN)).cast("int").alias("spread"))
-    split = split_join(rooted, parted, "gid", piece=FAN)
+    parted = durable(parted)
+    split = rooted.join(parted, "gid") if parted.isEmpty() else split_join(rooted, parted, "gid", piece=FAN)
     one = split.select("gid", F.col("cid").alias("cid_x"), F.col("root").alias("root_x"), F.pmod("cid", "spread").cast("int").alias("salt"))
     each = split.select("gid", F.col("cid").alias("cid_y"), F.col("root").alias("root_y"), F.explode(F.sequence(F.lit(0), F.col("spread") - 1)).alias("salt"))
     within = one.join(each, ["gid", "salt"]).filter("root_x != root_y AND cid_x < cid_y")
-    more = verifier.links(_ordered_pairs(between_groups.union(within.select("cid_x", "cid_y")), "cid_x", "cid_y"))
+    pairs = between_groups if parted.isEmpty() else between_groups.union(within.select("cid_x", "cid_y"))
+    let_go(spark)
+    more = verifier.links(_ordered_pairs(pairs, "cid_x", "cid_y"))
     let_go(spark)
     links = links.union(more)
     roots = durable(joined_components(roots, more.toDF("a", "b")).toDF("cid", "root"))

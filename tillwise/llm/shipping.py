@@ -43,6 +43,14 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _trim() -> None:
+    """Give freed memory of this process back."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library only
+    if trim:
+        trim(0)
+
+
 def let_go(spark: SparkSession) -> None:
     """Collect what nobody holds any more, between the parts of a long job.
 
@@ -50,6 +58,7 @@ def let_go(spark: SparkSession) -> None:
     grows to its limit before the JVM does so by itself.
     """
     gc.collect()
+    _trim()
     spark._jvm.System.gc()
 
 
@@ -63,10 +72,7 @@ def released(run: Callable[[Iterable], Iterator]) -> Callable[[Iterable], Iterat
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library only
-            if trim:
-                trim(0)
+            _trim()
 
     return wrapped
 
