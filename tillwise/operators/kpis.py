@@ -236,6 +236,7 @@ def kpi_table(record: DataFrame) -> DataFrame:
             (F.lit(period) if isinstance(period, str) else period).alias("period"),
         )
 
+    # fixed values: the rows of the KPI table with their labels, units and periods, in its order
     rows = [
         row(1, "Total revenue", "€", span, "revenue.total"),
         row(2, "Revenue (last 12 months)", "€", "last 12 months", "revenue.last_12_months"),

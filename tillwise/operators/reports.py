@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tillwise.functions.dates import long_month
 from tillwise.functions.text import magnitude, titled
 
+# fixed values: the columns of the product export, in its order
 PRODUCT_COLUMNS = (
     "name", "category", "price", "margin_pct", "total_revenue", "total_units", "total_orders", "abc_class",
 )
