@@ -110,3 +110,30 @@ def test_one_pass_over_the_sales(spark, sales):
     assert rows.filter("level = 'buyers'").agg(F.sum(F.bitmap_count("buyers"))).first()[0] == sales.filter("date IS NOT NULL").select(
         F.count_distinct("date", F.coalesce("region", F.lit("")), F.coalesce("channel", F.lit("")), "customer_id")
     ).first()[0]
+
+
+def test_a_bitmap_takes_room_for_its_buyers_only(spark, tmp_path):
+    far = [(d, 1, 1 + 5_003 * i, 1.0, "N", "Store") for d in range(2) for i in range(100)]
+    rows = daily._day_sums(sales_of(spark, far)).filter("level = 'buyers'")
+    room = rows.agg(F.sum(F.octet_length("buyers")), F.sum(F.size("at")), F.sum(F.bitmap_count("buyers"))).first()
+    assert tuple(room) == (4 * 200, 200, 200)  # 4,096 bytes for each of the 32 bitmaps before
+
+
+def test_full_bitmaps_and_bitmaps_stored_whole(spark, tmp_path):
+    ids = spark.range(1, 2 * 32_768 + 1).filter("id <= 32768 OR id % 3 = 0")
+    sales = ids.selectExpr(
+        "id", "DATE'2024-01-01' AS date", "1L AS product_id", "id AS customer_id", "1 AS quantity", "CAST(1 AS DECIMAL(18,2)) AS revenue", "'N' AS region", "'Store' AS channel"
+    )
+    rollup = DailyRollup(spark, str(tmp_path))
+    rollup.merge(sales)
+    rollup.merge(sales.filter("id % 2 = 0").withColumn("date", F.lit(DAY + dt.timedelta(1))))
+    assert rollup.unique_buyers().first()[0] == ids.count()
+    assert rollup.unique_buyers(start="2024-01-02").first()[0] == ids.filter("id % 2 = 0").count()
+    # a full one is the plain bitmap, and plain ones with words of zeros, as they were stored before, are read as such
+    bucket, bit = F.bitmap_bucket_number("customer_id"), F.bitmap_bit_position("customer_id")
+    plain = sales.groupBy(bucket.alias("bucket")).agg(F.bitmap_construct_agg(bit).alias("plain"))
+    stored = rollup.rows("buyers", end="2024-01-01").join(plain, "bucket")
+    assert [r.at is None and bytes(r.buyers) == bytes(r.plain) for r in stored.collect()] == [True, True]
+    few = spark.createDataFrame([(c,) for c in (1, 32, 33, 8_001, 32_768)], "customer_id long").agg(F.bitmap_construct_agg(bit).alias("buyers"))
+    read = few.select(F.lit(None).cast("array<smallint>").alias("at"), "buyers").select(F.inline(daily._words("at", "buyers"))).filter("bits != 0")
+    assert {(r.word, r.bits) for r in read.collect()} == {(0, 1 << 24 | 1 << 7), (1, 1 << 24), (250, 1 << 24), (1023, 1 << 7)}
