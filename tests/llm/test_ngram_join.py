@@ -159,3 +159,21 @@ def test_a_hot_list_is_split_at_few_tasks(spark, monkeypatch):
     assert counts.max() >= 700 and counts.sum() == 1400
     monkeypatch.setattr(N, "RUN", 100)
     assert N._common(counts)[2].max() == 8
+
+
+def test_bounded_tables_are_iterated_in_few_jobs(spark, monkeypatch):
+    from tillwise.llm import ngram_join
+
+    parts, plain = [], type(spark.range(0)).toLocalIterator
+    monkeypatch.setattr(type(spark.range(0)), "toLocalIterator", lambda self, *a, **k: (parts.append(self.rdd.getNumPartitions()), plain(self, *a, **k))[1])
+    monkeypatch.setattr(ngram_join, "let_go", lambda spark: None)
+    before = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, None)], "doc_id long, text string")
+        counts = ngram_join.slot_counts(ngram_join.utf8(docs, "doc_id", "text"), 4)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before[0])
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before[1])
+    assert sorted(counts[counts > 0]) == [2, 2, 2] and parts == [4]  # 23 before: a job for each

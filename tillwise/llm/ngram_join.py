@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tillwise.llm.components import components, joined_components
-from tillwise.llm.shipping import let_go, released, ship, utf8
+from tillwise.llm.shipping import in_few_parts, let_go, released, ship, utf8
 from tillwise.llm.wordids import rows_of
 from tillwise.llm.words import Words, mixed, shingles, slices
 from tillwise.operators.joins import heavy_keys, measured, split_join
@@ -120,7 +120,7 @@ def slot_counts(texts: DataFrame, size: int) -> np.ndarray:
     once = made.groupBy("chunk", F.pmod("task", F.lit(width))).applyInArrow(_add_up("<u1"), "chunk int, counts binary")
     twice = once.groupBy("chunk").applyInArrow(_add_up("<u4"), "chunk int, counts binary")
     out = np.zeros(slots, np.uint32)
-    for row in twice.toLocalIterator():
+    for row in in_few_parts(twice, 4 * slots // SLOTS).toLocalIterator():
         out[row.chunk * CHUNK : (row.chunk + 1) * CHUNK] = np.frombuffer(row.counts, np.uint32)
     return out
 
@@ -345,7 +345,7 @@ class _Verifier:
         slot = self._slot(F.col("rep"))
         marks = np.zeros(self.bits // 8, np.uint8)
         bits = needed.groupBy(F.bitmap_bucket_number(slot + 1).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot + 1)).alias("bits"))
-        for row in bits.toLocalIterator():
+        for row in in_few_parts(bits, self.bits // NEEDED_BITS).toLocalIterator():
             part = np.frombuffer(row.bits, np.uint8)
             marks[(row.bucket - 1) * len(part) : row.bucket * len(part)] = part
         shared = spark.sparkContext.broadcast(marks)
