@@ -228,3 +228,11 @@ def test_every_document_has_a_tree_and_a_second_call_starts_from_its_leaves(spar
     assert tree.tokens == sum(tokens) and counting.words == 0
     tree.edit(4, 5, b"parts")
     assert 0 < counting.words <= 4
+
+
+def test_cores_outlast_the_table_of_words():
+    kept = WordEncoder(public_tokenizers.path("word_bpe_49k.json"), 8)
+    first = [ids.tolist() for ids in kept.encode([b"alpha Alpha ALPHA alpha. Alpha. ALPHA. alpha, Alpha, ALPHA,"])]
+    kept.encode([b"beta"])  # the words start anew
+    assert b"alpha" in kept._parts and len(kept._rows) == 1  # it was forgotten with them before
+    assert [ids.tolist() for ids in kept.encode([b"alpha Alpha ALPHA alpha. Alpha. ALPHA. alpha, Alpha, ALPHA,"])] == first
